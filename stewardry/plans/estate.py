@@ -496,6 +496,23 @@ FROM {{customer}}
 """
 
 
+# Rulings on authored purpose entries: entry, key, category, fenced, kind.
+DISPOSITIONS = (
+    ("analytics", None, "analytics", False, "registry_category"),
+    ("marketing", None, "marketing", False, "registry_category"),
+    ("legacy_reporting", "analytics.reporting", None, False, "normalized_key"),
+    ("outreach_0", "marketing.outreach", None, True, "do_not_map"),
+    ("outreach_1", None, None, False, "deliberate_conflict"),
+    ("never_used", None, None, False, None),
+)
+
+PUBLICATIONS = (
+    ("pub-0", "2023-12-31 00:00:00"),
+    ("pub-1", "2024-01-10 00:00:00"),
+    ("pub-2", "2024-01-20 00:00:00"),
+)
+
+
 @dataclass
 class Oracle:
     """Common table expressions the checking SQL builds on, in dependency order."""

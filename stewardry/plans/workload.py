@@ -6,7 +6,9 @@ import re
 from pyspark.sql import functions as F
 
 from stewardry import schemas
+from stewardry.operators import resolve
 from stewardry.plans import estate
+from stewardry.sources import readers
 
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -105,6 +107,27 @@ class Workload:
             F.array("tag").alias("tags"), F.array(*columns).alias("columns"),
         )
 
+    def catalog_columns(self):
+        return readers.catalog_columns(self.catalog_docs(), "master", "public")
+
+    def scoped_tables(self):
+        return self.catalog_tables().select(
+            F.col("db").alias("database"), F.col("sch").alias("schema"), F.col("name").alias("table"),
+            F.array("tag").alias("tags"),
+        )
+
+    def dispositions(self):
+        return self.spark.createDataFrame(
+            list(estate.DISPOSITIONS),
+            "authored_entry string, resolved_key string, resolved_category string, do_not_map boolean, ruled_kind string",
+        )
+
+    def instructions(self):
+        """Policies at scale resolved against the catalog at scale."""
+        return resolve.instructions(
+            self.policies(), self.scoped_tables(), self.catalog_columns(), self.collections()
+        )
+
     def collections(self):
         return self.catalog_tables().select(
             F.col("collection").alias("collection_id"), F.col("name").alias("member_table")
