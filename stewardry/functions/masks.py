@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 # The patterns below are the whole redaction vocabulary, in order.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-CARD = r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b"
-NATIONAL_ID = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
-PHONE = r"\+?[0-9]{1,3}?[ .-]?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}\b"
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
+CARD = r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}"
+NATIONAL_ID = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
+PHONE = r"[+]?[0-9]{0,3} ?[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}"
 REDACTIONS = (
     ("email", EMAIL),
     ("card", CARD),
