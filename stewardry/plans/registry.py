@@ -6,7 +6,7 @@ from stewardry.plans import estate
 from stewardry.plans.workload import Workload
 
 QUERIES = {}
-ORACLES = {}
+_CHECKS = {}
 CTES = estate.Oracle()
 
 
@@ -26,12 +26,19 @@ def query(name, sql=None, needs=()):
     def register(fn):
         QUERIES[name] = lambda spark, folder: fn(Workload(spark, folder))
         if sql:
-            ORACLES[name] = (CTES.with_(*needs) if needs else "") + duck(sql)
+            _CHECKS[name] = (tuple(needs), duck(sql))
         return fn
 
     return register
 
 
+def oracles():
+    """Checking SQL per key; resolved late, so registration order does not matter."""
+    return {
+        name: (CTES.with_(*needs) if needs else "") + sql for name, (needs, sql) in _CHECKS.items()
+    }
+
+
 def values(rows, columns):
     body = ",\n".join("(" + ", ".join(estate.literal(v) for v in row) + ")" for row in rows)
     return f"SELECT * FROM (VALUES {body}) AS v({', '.join(columns)})"
