@@ -5,7 +5,7 @@ from pyspark.sql.types import ArrayType
 
 from stewardry import vocab
 from stewardry.functions.expr import decision_of, lookup, severity
-from stewardry.functions.scale import reference_join
+from stewardry.functions.scale import fits, reference_join
 from stewardry.operators import decide
 from stewardry.operators.prepare import prepared, receipts, signature
 from stewardry.schemas import CONDITION, OBLIGATION
@@ -91,8 +91,8 @@ def ranked_pairs(pairs):
     return pairs.filter("decision IS NOT NULL").withColumn("rank", F.row_number().over(order))
 
 
-def _cited(rule, q):
-    decided = decide.decision(rule, q)
+def _cited(said, q):
+    rule, decided = said["rule"], said["decision"]
     return F.struct(
         rule["column"].isNull().cast("int").alias("table_grain"),
         (-rule["band"]).alias("band_rank"),
@@ -125,12 +125,9 @@ def authorize(requests, rules, publication_id="current", limit=decide.BROADCAST_
         .withColumn("live", live)
         .withColumn("n_live", F.greatest(F.coalesce(F.size("live"), F.lit(0)), F.lit(0)))
         .withColumn("conflicted", F.coalesce(F.exists("live", lambda r: r["conflict_status"] != "none"), F.lit(False)))
-        .withColumn("instructions", F.transform("live", lambda r: _cited(r, q)))
-        .withColumn(
-            "instructions",
-            F.sort_array(F.filter("instructions", lambda c: c["decision"].isNotNull())),
-        )
-        .drop("rules", "live")
+        .withColumn("judged", decide.judged(F.col("live"), q))
+        .withColumn("instructions", F.sort_array(F.transform("judged", lambda x: _cited(x, q))))
+        .drop("rules", "live", "judged")
     )
     summary = answer(
         F.col("n_rules"),
@@ -168,31 +165,41 @@ def next_action():
 
 
 def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS):
-    """State and decision only, array form: the narrow hot path."""
+    """State and decision only: the narrow hot path.
+
+    Array form while the rule table fits the broadcast limit. Beyond it, rules join
+    as rows and one aggregate per request composes them, whatever a scope's size.
+    """
+    asked = prepared(requests)
+    if not fits(rules, limit):
+        pairs = decide.decided_pairs(asked, rules, "left", limit)
+        return asked.join(compose_pairs(pairs), "request_id")
     q = decide.context()
-    matched = decide.with_rule_arrays(prepared(requests), rules, limit)
+    matched = decide.with_rule_arrays(asked, rules, limit)
     live = F.filter("rules", lambda r: decide.effective(r, q["instant"]))
     outcome = F.transform(
-        "live",
-        lambda r: F.struct(
-            severity(decide.decision(r, q)).alias("severity"),
-            decide.reason_code(r, q, decide.decision(r, q)).alias("reason"),
-            (r["conflict_status"] != "none").alias("conflicted"),
+        "judged",
+        lambda x: F.struct(
+            severity(x["decision"]).alias("severity"),
+            decide.reason_code(x["rule"], q, x["decision"]).alias("reason"),
         ),
     )
     cited = (
         matched.withColumn("n_rules", F.greatest(F.coalesce(F.size("rules"), F.lit(0)), F.lit(0)))
         .withColumn("live", live)
+        .withColumn("n_live", F.greatest(F.coalesce(F.size("live"), F.lit(0)), F.lit(0)))
+        .withColumn("conflicted", F.coalesce(F.exists("live", lambda r: r["conflict_status"] != "none"), F.lit(False)))
+        .withColumn("judged", decide.judged(F.col("live"), q))
         .withColumn("outcomes", outcome)
     )
     columns = answer(
         F.col("n_rules"),
-        F.greatest(F.coalesce(F.size("outcomes"), F.lit(0)), F.lit(0)),
-        F.coalesce(F.exists("outcomes", lambda o: o["conflicted"]), F.lit(False)),
+        F.col("n_live"),
+        F.col("conflicted"),
         F.array_min(F.transform("outcomes", lambda o: o["severity"])),
         F.array_min(F.transform("outcomes", lambda o: o["reason"])),
     )
-    return cited.withColumns(columns).drop("rules", "live", "outcomes")
+    return cited.withColumns(columns).drop("rules", "live", "judged", "outcomes", "conflicted")
 
 
 # --- exceptions -------------------------------------------------------------------
@@ -207,16 +214,20 @@ def satisfy_conditions(decisions, exceptions):
     an exception and a denial is never lifted.
     """
     spark = decisions.sparkSession
+    active = exceptions.filter((F.col("state") == "active") & (F.col("kind") == "approval_required"))
+    standing = active.filter("valid_until IS NULL").groupBy("actor").agg(F.min("valid_from").alias("standing_from"))
     days = (
-        exceptions.filter((F.col("state") == "active") & (F.col("kind") == "approval_required"))
-        .filter("valid_from < valid_until")
+        active.filter("valid_from < valid_until")
         .withColumn("day", F.explode(F.sequence(F.to_date("valid_from"), F.to_date("valid_until"))))
         .select("actor", "day", "valid_from", "valid_until")
     )
-    asked = decisions.withColumn("_day", F.to_date("instant"))
+    asked = reference_join(
+        decisions.withColumn("_day", F.to_date("instant")), standing, ["actor"], "left",
+        spread_by=["request_id"], derived="standing",
+    )
     marked = spark.sql(
         """
-        SELECT d.*, EXISTS (
+        SELECT d.*, coalesce(d.standing_from <= d.instant, FALSE) OR EXISTS (
             SELECT 1 FROM {days} e
             WHERE e.actor = d.actor AND e.day = d._day
               AND e.valid_from <= d.instant AND d.instant < e.valid_until
@@ -238,7 +249,7 @@ def satisfy_conditions(decisions, exceptions):
             & (F.size("conditions") > 0)
             & F.forall("conditions", lambda c: c["satisfied"]),
         )
-        .drop("_day")
+        .drop("_day", "standing_from")
     )
 
 

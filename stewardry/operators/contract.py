@@ -46,7 +46,7 @@ def use_inventory(occurrences, served, dispositions):
     in_cases = served.groupBy("entry").agg(F.count("*").alias("n_cases"))
     entries = authored.join(in_cases, "entry", "full_outer")
     ruled = dispositions.withColumnRenamed("authored_entry", "entry")
-    joined = reference_join(entries, known_families(entries), ["entry"], "left")
+    joined = reference_join(entries, known_families(entries), ["entry"], "left", derived="families")
     joined = reference_join(joined, ruled, ["entry"], "left")
     family = F.coalesce(F.col("is_family"), F.lit(False))
     return joined.select(

@@ -14,6 +14,7 @@ from stewardry.functions.scale import BROADCAST_ROWS, fits, salted_join
 from stewardry.schemas import CONDITION, OBLIGATION
 
 SCOPE = ["database", "schema", "table", "column_key", "scenario"]
+MAX_RULES_PER_SCOPE = 10_000
 
 
 def _keyed(df):
@@ -39,22 +40,42 @@ def candidate_rules(requests, rules, how="inner", limit=BROADCAST_ROWS):
     return out.drop("column_key")
 
 
-def rule_arrays(rules):
-    """Rules grouped per scope; the array length is the number of rules on one scope."""
-    return packed_rules(rules).groupBy(*SCOPE).agg(
-        F.sort_array(F.collect_list(F.struct("rule.rule_id", "rule"))).alias("pairs")
-    ).select(*SCOPE, F.transform("pairs", lambda p: p["rule"]).alias("rules"))
-
-
 def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS):
-    keyed, grouped = _keyed(requests), rule_arrays(rules)
-    if fits(rules, limit):
+    """Each request with the rules of its scope as one array; no request is shuffled
+    while the rule table fits the broadcast limit.
+
+    A scope's array is as long as its rules; beyond ``MAX_RULES_PER_SCOPE`` the row
+    forms (:func:`decided_pairs` and the aggregates over it) answer instead.
+    """
+    keyed, packed = _keyed(requests), packed_rules(rules)
+    if fits(packed, limit):
+        grouped = packed.groupBy(*SCOPE).agg(F.collect_list("rule").alias("rules"))
         out = keyed.join(F.broadcast(grouped), SCOPE, "left")
     else:
+        check_scopes(packed, SCOPE)
+        grouped = packed.groupBy(*SCOPE).agg(F.collect_list("rule").alias("rules"))
         out = salted_join(keyed, grouped, SCOPE, "left", spread_by=["request_id"])
     return out.drop("column_key")
 
 
+def check_scopes(packed, scope):
+    """Refuse array forms for a scope whose rules would not fit one row."""
+    crowded = packed.groupBy(*scope).agg(F.count("*").alias("n")).filter(F.col("n") > MAX_RULES_PER_SCOPE)
+    if crowded.limit(1).collect():
+        raise ValueError("a scope holds too many rules for one answer row; use decided_pairs and compose_pairs")
+
+
+def judged(rules, q, decide=None):
+    """Rules in force with what each says: array of (rule, decision), NULLs dropped.
+
+    Later expressions read the decision as a field, so the family chain runs once
+    per rule however often the result is looked at.
+    """
+    decide = decide or decision
+    said = F.transform(rules, lambda r: F.struct(r.alias("rule"), decide(r, q).alias("decision")))
+    return F.filter(said, lambda x: x["decision"].isNotNull())
+
+
 def effective(rule, instant):
     return in_force(rule["effective_from"], rule["effective_until"], instant)
 
@@ -325,9 +346,9 @@ def context(df=None):
     return {name: F.col(name) for name in REQUEST_FIELDS}
 
 
-def decided_pairs(requests, rules, how="inner"):
+def decided_pairs(requests, rules, how="inner", limit=BROADCAST_ROWS):
     """Exploded form: request, rule, in_force, decision, rule_reason, severity."""
-    pairs = candidate_rules(requests, rules, how)
+    pairs = candidate_rules(requests, rules, how, limit)
     rule, q = F.col("rule"), context()
     return (
         pairs.withColumn("in_force", F.coalesce(effective(rule, q["instant"]), F.lit(False)) & rule["rule_id"].isNotNull())

@@ -134,7 +134,7 @@ def anonymize(df, drop, generalise, k):
     coarse = df.drop(*drop).withColumns(generalise)
     keys = list(generalise)
     sizes = coarse.groupBy(*keys).count().filter(F.col("count") >= k).select(*keys)
-    return reference_join(coarse, sizes, keys, "left_semi")
+    return reference_join(coarse, sizes, keys, "left_semi", derived="group-sizes")
 
 
 def transfer_dispositions(exports, destinations, keys):

@@ -292,6 +292,7 @@ def instructions(policies, tables, columns, collections):
     rule = F.col("rule")
     rules = expanded.select(
         *POLICY_KEY,
+        F.when(F.col("rule.family") == "masking", "column").otherwise("table").alias("grain"),
         F.col("name").alias("policy"),
         rule,
         assigned_scenario(rule, F.col("scenario_map")).alias("scenario"),
@@ -301,22 +302,34 @@ def instructions(policies, tables, columns, collections):
         validity(F.col("spec.effective_from")).alias("effective_from"),
         validity(F.col("spec.effective_until")).alias("effective_until"),
     )
-    reached = targets(policies, tables, columns, collections)
-    joined = reference_join(reached, rules, POLICY_KEY, spread_by=[*SCOPE, "source"])
-    grain = joined.withColumn("column", F.when(F.col("rule.family") == "masking", F.col("column")))
-    path = F.struct(source_rank(F.col("source")).alias("rank"), "source", "ref")
-    facts = [c for c in rules.columns if c not in POLICY_KEY]
+    reached = scopes(targets(policies, tables, columns, collections))
+    joined = reference_join(reached, rules, [*POLICY_KEY, "grain"], spread_by=SCOPE)
     return (
-        grain.withColumn("instruction_key", F.col("rule.instruction_key"))
-        .groupBy(*POLICY_KEY, "instruction_key", *SCOPE)
-        .agg(
-            F.sort_array(F.collect_set(path)).alias("resolution_paths"),
-            *[F.any_value(c).alias(c) for c in facts],
-        )
+        joined.drop("grain")
+        .withColumn("instruction_key", F.col("rule.instruction_key"))
         .withColumn("primary_source", F.col("resolution_paths")[0]["source"])
     )
 
 
+def scopes(reached):
+    """Distinct scopes per policy at both grains, with the paths that led there.
+
+    Grouped before the rules join, so the shuffle carries keys and paths only; a
+    group is as long as one policy's selector entries for one scope.
+    """
+    path = F.struct(source_rank(F.col("source")).alias("rank"), "source", "ref")
+    grains = F.array(
+        F.struct(F.lit("table").alias("grain"), F.lit(None).cast("string").alias("column")),
+        F.struct(F.lit("column").alias("grain"), F.col("column").alias("column")),
+    )
+    return (
+        reached.withColumn("_g", F.explode(grains))
+        .withColumns({"grain": F.col("_g.grain"), "column": F.col("_g.column")})
+        .groupBy(*POLICY_KEY, "grain", *SCOPE)
+        .agg(F.sort_array(F.collect_set(path)).alias("resolution_paths"))
+    )
+
+
 def flatten(resolved):
     """Resolved rules in the shape of the served instruction table."""
     return resolved.select(
@@ -354,7 +367,9 @@ def known_families(entries):
 def normalise_entries(entries, dispositions, spread_by=("policy_id",)):
     """Authored entry to key, category or unmapped; a fenced entry stays unmapped."""
     spread = list(spread_by)
-    joined = reference_join(entries, known_families(entries), ["entry"], "left", spread_by=spread)
+    joined = reference_join(
+        entries, known_families(entries), ["entry"], "left", spread_by=spread, derived="families"
+    )
     ruled = dispositions.withColumnRenamed("authored_entry", "entry")
     joined = reference_join(joined, ruled, ["entry"], "left", spread_by=spread)
     fenced = F.coalesce(F.col("do_not_map"), F.lit(False))
@@ -391,7 +406,9 @@ def detect_conflicts(rules):
         )
         .filter("n_permitted > 0 AND n_prohibited > 0")
     )
-    members = reference_join(keyed, groups, ["conflict_group_id"], spread_by=["rule_id"])
+    members = reference_join(
+        keyed, groups, ["conflict_group_id"], spread_by=["rule_id"], derived="conflict-groups"
+    )
     return members.select(
         "rule_id", "kind", *SCOPE, "use", "conflict_group_id",
         F.when(F.col("kind") == "permitted", F.col("n_prohibited")).otherwise(F.col("n_permitted")).alias("n_opponents"),
@@ -401,7 +418,7 @@ def detect_conflicts(rules):
 def mark_conflicts(rules):
     """Rules with their conflict status set."""
     flagged = detect_conflicts(rules).groupBy("rule_id").agg(F.min("conflict_group_id").alias("conflict_group_id"))
-    joined = reference_join(rules, flagged, ["rule_id"], "left", spread_by=["rule_id"])
+    joined = reference_join(rules, flagged, ["rule_id"], "left", spread_by=["rule_id"], derived="flagged")
     return joined.withColumn(
         "conflict_status", F.when(F.col("conflict_group_id").isNotNull(), "conflicted").otherwise("none")
     )

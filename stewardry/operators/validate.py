@@ -94,19 +94,21 @@ def _packed(rules):
 
 def findings(refs, rules, limit=BROADCAST_ROWS):
     """One finding per reference: participating rules in cited order, evaluated in place."""
-    grouped = _packed(rules).groupBy(*TABLE).agg(F.collect_list("rule").alias("rules"))
+    packed = _packed(rules)
+    grouped = packed.groupBy(*TABLE).agg(F.collect_list("rule").alias("rules"))
     prepared = refs.withColumn("instant", F.coalesce("as_of", "requested_at")).withColumn(
         "purpose_category", purpose_category(F.col("purpose"))
     )
-    if fits(rules, limit):
+    if fits(packed, limit):
         joined = prepared.join(F.broadcast(grouped), TABLE, "left")
     else:
+        decide.check_scopes(packed, TABLE)
         joined = salted_join(prepared, grouped, TABLE, "left", spread_by=["query_id", "ref_no"])
     q = context()
     live = F.filter("rules", lambda r: decide.effective(r, q["instant"]) & participates(r, q))
 
-    def cited(r):
-        decided = decision(r, q)
+    def cited(said):
+        r, decided = said["rule"], said["decision"]
         return F.struct(
             r["column"].isNull().cast("int").alias("table_grain"),
             (-r["band"]).alias("band_rank"),
@@ -124,17 +126,14 @@ def findings(refs, rules, limit=BROADCAST_ROWS):
 
     return (
         joined.withColumn("governed", F.col("rules").isNotNull())
-        .withColumn("instructions", F.transform(live, cited))
+        .withColumn("judged", decide.judged(live, q, decision))
         .withColumn(
             "instructions",
-            F.coalesce(
-                F.sort_array(F.filter("instructions", lambda c: c["decision"].isNotNull())),
-                F.array().cast(_cited_type()),
-            ),
+            F.coalesce(F.sort_array(F.transform("judged", cited)), F.array().cast(_cited_type())),
         )
         .withColumn("status", F.when(F.col("governed"), "evaluated").otherwise("not_enough_published_state"))
         .withColumn("finding_decision", F.get("instructions", F.lit(0))["decision"])
-        .drop("rules")
+        .drop("rules", "judged")
     )
 
 
@@ -173,6 +172,23 @@ def verdicts(found):
     )
 
 
+def judge(findings):
+    """Verdict and state of a query whose findings stand on one row."""
+    worst = F.array_min(
+        F.transform(F.flatten(F.transform(findings, lambda f: f["instructions"])), lambda i: i["severity"])
+    )
+    open_refs = F.exists(findings, lambda f: ~f["governed"])
+    review = F.exists(
+        findings, lambda f: F.coalesce(F.get(f["instructions"], F.lit(0))["decision"] == "require_review", F.lit(False))
+    )
+    return {
+        "verdict": F.when(worst == 1, "fail").when((worst <= 5) | open_refs, "warn").otherwise("pass"),
+        "state": F.when(F.forall(findings, lambda f: ~f["governed"]), "not_enough_published_state")
+        .when(review, "review_required")
+        .otherwise("answered"),
+    }
+
+
 def fingerprint(sql):
     return F.concat(F.lit("sha256:"), F.sha2(F.trim(sql), 256))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from stewardry import schemas, vocab
-from stewardry.operators import exceptions, gate, select, validate
+from stewardry.operators import exceptions, gate, select
 from stewardry.plans.estate import div, pick
 from stewardry.plans.q_authorize import authorized
 from stewardry.plans.q_validate import found
@@ -28,8 +28,7 @@ def changes(w):
 
 
 def results(w):
-    refs = found(w)
-    validations = gate.validation_answers(refs, validate.verdicts(refs), "pub-1")
+    validations = gate.validation_answers(found(w), "pub-1")
     return gate.evaluate(changes(w), validations, authorized(w).drop("kind"))
 
 
