@@ -384,6 +384,23 @@ def normalise_entries(entries, dispositions, spread_by=("policy_id",)):
     )
 
 
+def apply_vocabulary(rules, mapping):
+    """Served uses with ruled entries replaced ({entry: key or category}, a short table).
+
+    Run after conflict detection, which looks at entries as they were authored.
+    """
+    if not mapping:
+        return rules
+    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return rules.withColumn("uses", F.transform("uses", lambda u: F.coalesce(F.try_element_at(table, u), u)))
+
+
+def publish(policies, tables, columns, collections, mapping=None):
+    """The served instruction table of one publication."""
+    marked = mark_conflicts(flatten(instructions(policies, tables, columns, collections)))
+    return apply_vocabulary(marked, mapping).drop("conflict_group_id")
+
+
 # --- conflicts ------------------------------------------------------------------------
 
 

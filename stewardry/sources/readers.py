@@ -42,7 +42,7 @@ def catalog_columns(docs, default_database, default_schema):
 
 def change_sets(spark, path, one_per_file=False):
     """Changes of change-set documents: an object with ``changes`` or a raw array."""
-    raw = spark.read.option("wholetext", one_per_file).text(path)
+    raw = spark.read.text(path, wholetext=one_per_file)
     text = F.trim("value")
     is_array = text.startswith("[")
     doc = F.from_json(text, schemas.CHANGE_SET)
@@ -54,7 +54,7 @@ def change_sets(spark, path, one_per_file=False):
 
 
 def manifests(spark, path, one_per_file=False):
-    raw = spark.read.option("wholetext", one_per_file).text(path)
+    raw = spark.read.text(path, wholetext=one_per_file)
     return raw.select(F.from_json("value", schemas.MANIFEST).alias("m")).select("m.*")
 
 
