@@ -175,7 +175,7 @@ def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS):
         pairs = decide.decided_pairs(asked, rules, "left", limit)
         return asked.join(compose_pairs(pairs), "request_id")
     q = decide.context()
-    matched = decide.with_rule_arrays(asked, rules, limit)
+    matched = decide.with_rule_arrays(asked, rules, limit, small=True)
     live = F.filter("rules", lambda r: decide.effective(r, q["instant"]))
     outcome = F.transform(
         "judged",

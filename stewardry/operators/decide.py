@@ -40,7 +40,7 @@ def candidate_rules(requests, rules, how="inner", limit=BROADCAST_ROWS):
     return out.drop("column_key")
 
 
-def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS):
+def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS, small=None):
     """Each request with the rules of its scope as one array; no request is shuffled
     while the rule table fits the broadcast limit.
 
@@ -48,7 +48,7 @@ def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS):
     forms (:func:`decided_pairs` and the aggregates over it) answer instead.
     """
     keyed, packed = _keyed(requests), packed_rules(rules)
-    if fits(packed, limit):
+    if fits(rules, limit) if small is None else small:
         grouped = packed.groupBy(*SCOPE).agg(F.collect_list("rule").alias("rules"))
         out = keyed.join(F.broadcast(grouped), SCOPE, "left")
     else:

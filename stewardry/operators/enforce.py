@@ -103,16 +103,29 @@ def select_source(sources, by_purpose, purposes):
 
 
 def reconcile(feeds, key, state):
-    """Full outer join of the feeds by key: agree, disagree, or missing somewhere."""
-    renamed = [df.select(key, F.col(state).alias(f"{name}_state")) for name, df in feeds.items()]
-    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), renamed)
+    """One row per key over all feeds: agree, disagree, or missing somewhere.
+
+    Keys are unique within a feed, so a union and one aggregate give what a chain of
+    full outer joins would, with one shuffle instead of one per join.
+    """
+    tagged = [df.select(key, F.lit(name).alias("feed"), F.col(state).alias("state")) for name, df in feeds.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b), tagged)
+    mine = {n: F.col("feed") == n for n in feeds}
+    folded = stacked.groupBy(key).agg(
+        *[F.max(F.when(mine[n], F.col("state"))).alias(f"{n}_state") for n in feeds],
+        *[F.bool_or(mine[n]).alias(f"_has_{n}") for n in feeds],
+    )
     states = F.array(*[F.col(f"{n}_state") for n in feeds])
-    missing = F.array_compact(F.array(*[F.when(F.col(f"{n}_state").isNull(), F.lit(n)) for n in feeds]))
-    return joined.withColumn("missing", F.concat_ws(",", missing)).withColumn(
-        "status",
-        F.when(F.col("missing") != "", "missing")
-        .when(F.size(F.array_distinct(states)) == 1, "agree")
-        .otherwise("disagree"),
+    missing = F.array_compact(F.array(*[F.when(~F.col(f"_has_{n}"), F.lit(n)) for n in feeds]))
+    return (
+        folded.withColumn("missing", F.concat_ws(",", missing))
+        .withColumn(
+            "status",
+            F.when(F.col("missing") != "", "missing")
+            .when(F.size(F.array_distinct(states)) == 1, "agree")
+            .otherwise("disagree"),
+        )
+        .drop(*[f"_has_{n}" for n in feeds])
     )
 
 
@@ -152,9 +165,14 @@ def write_dispositions(rows, path):
 
 
 def retention_due(df, trigger, years, as_of, action):
-    """Rows whose trigger plus the period has passed."""
+    """Rows whose trigger plus the period has passed.
+
+    A year has at least 365 days, which gives the scan a plain bound on the trigger;
+    the calendar test decides.
+    """
     due = F.col(trigger) + F.make_interval(years=F.lit(years))
-    return df.withColumn("due_at", due).filter(F.col("due_at") <= F.lit(as_of).cast("timestamp_ntz")).withColumn(
+    newest = F.lit(as_of - timedelta(days=365 * years)).cast("timestamp_ntz")
+    return df.filter(F.col(trigger) <= newest).withColumn("due_at", due).filter(F.col("due_at") <= F.lit(as_of).cast("timestamp_ntz")).withColumn(
         "action", F.lit(action)
     )
 

@@ -144,8 +144,11 @@ def _cited_type():
     )
 
 
-def verdicts(found):
-    """Worst over all participating rules and ungoverned references of a query."""
+def verdicts(found, keep=()):
+    """Worst over all participating rules and ungoverned references of a query.
+
+    ``keep`` names columns that are the same on every reference of a query.
+    """
     worst = F.array_min(F.transform("instructions", lambda c: c["severity"]))
     return (
         found.withColumn("worst", worst)
@@ -155,9 +158,11 @@ def verdicts(found):
             F.count_if(~F.col("governed")).alias("n_ungoverned"),
             F.min("worst").alias("worst"),
             F.bool_or(F.coalesce(F.col("finding_decision") == "require_review", F.lit(False))).alias("needs_review"),
+            *[F.any_value(c).alias(c) for c in keep],
         )
         .select(
             "query_id",
+            *keep,
             "n_refs",
             "n_ungoverned",
             F.when(F.col("worst") == 1, "fail")

@@ -83,11 +83,11 @@ def mask_tokenize(w):
     + " FROM documents",
 )
 def mask_redact_text(w):
-    hits = masks.redaction_hits(F.col("text"))
-    return w.table("documents").select(
+    redacted = masks.redact_counted(w.table("documents").select("doc_id", "text"), "text")
+    return redacted.select(
         "doc_id",
-        F.sha2(masks.redact(F.col("text")), 256).alias("redacted_hash"),
-        *[c.cast("long").alias(f"n_{label}") for label, c in hits.items()],
+        F.sha2("text", 256).alias("redacted_hash"),
+        *[F.col(f"n_{label}").cast("long").alias(f"n_{label}") for label, _ in masks.REDACTIONS],
     )
 
 
@@ -276,6 +276,8 @@ def anonymize(w):
 
 EXPORTS = f"""
 SELECT c_custkey AS export_id, {estate.pick('c_custkey % 4', estate.SYSTEMS)} AS dest_system,
+  CASE WHEN {estate.div('c_custkey', 4)} % 3 = 0 THEN 'product' ELSE 'master' END AS db,
+  CASE WHEN {estate.div('c_custkey', 4)} % 3 = 0 THEN 'product_usage_events' ELSE 'customers' END AS tbl,
   CASE WHEN c_nationkey % 2 = 0 THEN 'EU' ELSE 'US' END AS consumer_jurisdiction
 FROM {{customer}}
 """
@@ -284,23 +286,27 @@ cte("exports", EXPORTS)
 
 def dispositions(w):
     exports = w.sql(EXPORTS)
-    contexts = exports.select("dest_system", "consumer_jurisdiction").distinct()
+    keys = ["db", "tbl", "dest_system", "consumer_jurisdiction"]
+    contexts = exports.select(*keys).distinct()
     null = F.lit(None).cast(S)
     asked = contexts.select(
-        F.xxhash64("dest_system", "consumer_jurisdiction").alias("request_id"),
+        F.xxhash64(*keys).alias("request_id"),
         F.lit("2024-01-15").cast("timestamp_ntz").alias("requested_at"), null.alias("role"),
-        F.lit("master").alias("database"), F.lit("public").alias("schema"), F.lit("customers").alias("table"),
+        F.col("db").alias("database"), F.lit("public").alias("schema"), F.col("tbl").alias("table"),
         null.alias("column"), F.lit("residency.cross_border_transfer").alias("scenario"), null.alias("purpose"),
         F.lit("export").alias("operation"), "dest_system", F.lit("US").alias("dest_jurisdiction"),
         "consumer_jurisdiction", F.lit(None).cast("timestamp_ntz").alias("as_of"),
     )
-    decided = compose.decide_in_place(asked, w.rules()).select("dest_system", "consumer_jurisdiction", "decision")
-    return enforce.transfer_dispositions(exports, decided, ["dest_system", "consumer_jurisdiction"])
+    decided = compose.decide_in_place(asked, w.rules()).select(
+        F.col("database").alias("db"), F.col("table").alias("tbl"), "dest_system", "consumer_jurisdiction", "decision"
+    )
+    return enforce.transfer_dispositions(exports, decided, keys)
 
 
 @query(
     "transfer_partition",
-    """SELECT export_id, dest_system, CASE WHEN dest_system IN ('ADS_PLATFORM', 'EXTERNAL_LLM_VENDOR') THEN 'reject' ELSE 'hold' END AS disposition
+    """SELECT export_id, dest_system, CASE WHEN dest_system IN ('ADS_PLATFORM', 'EXTERNAL_LLM_VENDOR') THEN 'reject'
+      WHEN tbl = 'product_usage_events' AND dest_system <> 'INTERNAL_WAREHOUSE' THEN 'reject' ELSE 'hold' END AS disposition
     FROM exports""",
     ["exports"],
 )
@@ -336,23 +342,25 @@ def ingestion_gate(w):
 
 
 STATUTES = (
-    ("v1", None, "1997-01-01 00:00:00"),
-    ("v2", "1997-01-01 00:00:00", "1999-06-01 00:00:00"),
-    ("v3", "2000-01-01 00:00:00", None),
+    ("F", "v1", None, "1997-01-01 00:00:00"),
+    ("F", "v2", "1997-01-01 00:00:00", "1999-06-01 00:00:00"),
+    ("F", "v3", "2000-01-01 00:00:00", None),
+    ("O", "w1", "1996-01-01 00:00:00", None),
 )
 
 
 @query(
     "statute_in_force_join",
-    """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'v1' WHEN o_orderdate < TIMESTAMP '1999-06-01' THEN 'v2'
-    WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'v3' END AS statute FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'v1'
+      WHEN o_orderdate < TIMESTAMP '1999-06-01' THEN 'v2' WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'v3' END
+      WHEN o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1996-01-01' THEN 'w1' END AS statute FROM orders""",
 )
 def statute_in_force_join(w):
-    versions = w.spark.createDataFrame(list(STATUTES), "statute string, f string, u string").select(
-        F.lit("benefits").alias("law"), "statute",
+    versions = w.spark.createDataFrame(list(STATUTES), "law string, statute string, f string, u string").select(
+        "law", "statute",
         F.col("f").cast("timestamp_ntz").alias("effective_from"), F.col("u").cast("timestamp_ntz").alias("effective_until"),
     )
-    records = w.table("orders").select("o_orderkey", "o_orderdate", F.lit("benefits").alias("law"))
+    records = w.table("orders").select("o_orderkey", "o_orderdate", F.col("o_orderstatus").alias("law"))
     return enforce.in_force_at(records, versions, ["law"], "o_orderdate").select(
         "o_orderkey", F.col("in_force.statute").alias("statute")
     )

@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from stewardry import schemas, vocab
-from stewardry.operators import exceptions, gate, select
+from stewardry.operators import compose, exceptions, gate, select, validate
 from stewardry.plans.estate import div, pick
 from stewardry.plans.q_authorize import authorized
-from stewardry.plans.q_validate import found
+from stewardry.plans.q_validate import refs as refs_of
 from stewardry.plans.registry import cte, query
 from stewardry.session import scratch_dir
 from stewardry.sources import readers, sinks
@@ -28,8 +28,13 @@ def changes(w):
 
 
 def results(w):
-    validations = gate.validation_answers(found(w), "pub-1")
-    return gate.evaluate(changes(w), validations, authorized(w).drop("kind"))
+    sql_changes, use_changes = gate.split(changes(w).select(*gate.CHANGE, "query_id", "request_id"))
+    refs = refs_of(w).join(sql_changes.drop("request_id"), "query_id")
+    found = validate.findings(validate.expand_star(refs, w.catalog()), w.rules())
+    requests = w.requests().join(use_changes.drop("query_id"), "request_id")
+    return gate.evaluate(
+        gate.validation_answers(found, "pub-1"), compose.authorize(requests, w.rules(), "pub-1")
+    )
 
 
 SQLK = "('sql_model', 'migration_sql', 'ad_hoc_sql')"

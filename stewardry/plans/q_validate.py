@@ -213,8 +213,8 @@ def query_fingerprint(w):
     ["vverdicts", "query_refs"],
 )
 def intent_flip_pairs(w):
-    prints = query_fingerprint(w)
-    return validate.intent_flips(judged(w).join(prints, "query_id"))
+    printed = found(w).withColumn("fingerprint", validate.fingerprint(F.col("sql_text")))
+    return validate.intent_flips(validate.verdicts(printed, keep=["fingerprint"]))
 
 
 @query(

@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Stand-in folder per local application.
+_LOCAL = {}
+
 
 def build_session(app="stewardry", master=None, **conf):
     builder = SparkSession.builder.appName(app)
@@ -30,10 +33,11 @@ def scratch_dir(spark, label):
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="stewardry-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _LOCAL.setdefault(context.applicationId, None) or tempfile.mkdtemp(prefix="stewardry-")
+        _LOCAL[context.applicationId] = shared
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
 
 

@@ -44,10 +44,6 @@ def run_available(writer, label, spark):
     return query
 
 
-def read_batches(spark, path, schema):
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
-
-
 def event_time(df, at):
     """Watermarks need an instant: zone-free times are read in the session zone (UTC)."""
     return df.withColumn(at, F.col(at).cast("timestamp"))
