@@ -120,8 +120,8 @@ def explain_receipt(w):
 
 @query(
     "evidence_packet",
-    """SELECT count(*) AS total, count(explanation_current) AS explained, CAST(count_if(explanation_current) AS BIGINT) AS current,
-    CAST(count_if(state <> 'answered') AS BIGINT) AS honest_corners, 'pub-1' AS publication_id FROM evidence""",
+    """SELECT count(*) AS total, count(explanation_current) AS explained, CAST(count(*) FILTER (WHERE explanation_current) AS BIGINT) AS current,
+    CAST(count(*) FILTER (WHERE state <> 'answered') AS BIGINT) AS honest_corners, 'pub-1' AS publication_id FROM evidence""",
     ["evidence"],
 )
 def evidence_packet(w):
@@ -136,7 +136,7 @@ def honest_corners(w):
 @query(
     "cited_policy_usage",
     """SELECT coalesce(policy, 'ALL') AS policy, coalesce(CAST(version AS VARCHAR), 'ALL') AS version, count(*) AS citations,
-    CAST(count_if(decision = 'deny') AS BIGINT) AS denials FROM ranked GROUP BY ROLLUP (policy, version)""",
+    CAST(count(*) FILTER (WHERE decision = 'deny') AS BIGINT) AS denials FROM ranked GROUP BY ROLLUP (policy, version)""",
     ["ranked"],
 )
 def cited_policy_usage(w):
@@ -223,7 +223,7 @@ def decision_context(w):
 # The baseline question at two instants, over conflict-marked rules.
 _BASE = """
 SELECT t.db, t.sch, t.name AS tbl, count(i.policy_id) AS n_rules,
-  count_if(i.policy_id IS NOT NULL AND live) AS n_live, bool_or(live AND marked) AS conflicted,
+  count(*) FILTER (WHERE i.policy_id IS NOT NULL AND live) AS n_live, bool_or(live AND marked) AS conflicted,
   bool_or(live AND i.kind = 'prohibited') AS denied, bool_or(live AND i.kind = 'permitted') AS permitted
 FROM cat_tables t LEFT JOIN (
   SELECT i.*, NOT (i.policy_id % 4 = 1 AND TIMESTAMP '{at}' < TIMESTAMP '2024-01-10')
@@ -350,7 +350,7 @@ _CASE = (
     WHEN request_id % 3 = 0 THEN 'purpose_missing_control' ELSE 'purpose_blind' END AS kind, state, decision, coalesce(families, '') AS families,
     coalesce(n_usage_cited, 0) AS n_usage_cited
     FROM answers LEFT JOIN (SELECT request_id, string_agg(DISTINCT family, ',' ORDER BY family) AS families,
-      CAST(count_if(family = 'usage_guidance') AS BIGINT) AS n_usage_cited FROM ranked GROUP BY 1) USING (request_id)""",
+      CAST(count(*) FILTER (WHERE family = 'usage_guidance') AS BIGINT) AS n_usage_cited FROM ranked GROUP BY 1) USING (request_id)""",
     ["answers", "ranked"],
 )
 def purpose_manifest(w):
@@ -424,8 +424,8 @@ def prohibition_bite_check(w):
 
 @query(
     "parity_counters",
-    """SELECT CAST(count_if(d) AS BIGINT) AS delegated, CAST(count_if(NOT d AND q) AS BIGINT) AS skipped,
-    CAST(count_if(NOT d AND NOT q AND deltas = '') AS BIGINT) AS passed, CAST(count_if(NOT d AND NOT q AND deltas <> '') AS BIGINT) AS failed
+    """SELECT CAST(count(*) FILTER (WHERE d) AS BIGINT) AS delegated, CAST(count(*) FILTER (WHERE NOT d AND q) AS BIGINT) AS skipped,
+    CAST(count(*) FILTER (WHERE NOT d AND NOT q AND deltas = '') AS BIGINT) AS passed, CAST(count(*) FILTER (WHERE NOT d AND NOT q AND deltas <> '') AS BIGINT) AS failed
     FROM (SELECT *, request_id % 13 = 0 AS d, request_id % 31 = 0 AS q FROM parity)""",
     ["parity"],
 )
@@ -464,7 +464,7 @@ def attacks(w):
 
 @query(
     "red_team_eval",
-    """SELECT attack, count(*) AS n_cases, CAST(count_if(got = expect) AS BIGINT) AS n_held, count_if(got = expect) / count(*) AS held_rate
+    """SELECT attack, count(*) AS n_cases, CAST(count(*) FILTER (WHERE got = expect) AS BIGINT) AS n_held, count(*) FILTER (WHERE got = expect) / count(*) AS held_rate
     FROM attacks GROUP BY 1""",
     ["attacks"],
 )
@@ -674,7 +674,7 @@ def session_sequence_check(w):
     """SELECT user_id, strftime(day, '%Y-%m-%d') AS day, n_calls, CAST(least(n_warned, 1) AS BIGINT) AS revisions,
     CASE WHEN n_warned > 1 OR last_verdict = 'fail' THEN 'aborted' WHEN last_verdict = 'pass' THEN 'validated' WHEN last_verdict IS NOT NULL THEN 'open' END AS dashboard,
     coalesce(denied < allowed, FALSE) AS rerouted FROM (
-      SELECT user_id, day, count(*) AS n_calls, count_if(tool = 'validate' AND label = 'warn') AS n_warned,
+      SELECT user_id, day, count(*) AS n_calls, count(*) FILTER (WHERE tool = 'validate' AND label = 'warn') AS n_warned,
         arg_max(label, struct_pack(t := ts, e := event_id)) FILTER (tool = 'validate') AS last_verdict,
         min(ts) FILTER (tool = 'authorize' AND label = 'deny') AS denied, max(ts) FILTER (tool = 'authorize' AND label = 'allow') AS allowed
       FROM calls GROUP BY 1, 2)""",
@@ -692,7 +692,7 @@ def session_outcomes(w):
     "decision_trend",
     """SELECT strftime(day, '%Y-%m-%d') AS day, scenario, n, denied, denied / n AS deny_share,
     avg(denied) OVER (PARTITION BY scenario ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_denied FROM (
-      SELECT CAST(requested_at AS DATE) AS day, scenario, count(*) AS n, CAST(count_if(decision = 'deny') AS BIGINT) AS denied FROM answers GROUP BY 1, 2)""",
+      SELECT CAST(requested_at AS DATE) AS day, scenario, count(*) AS n, CAST(count(*) FILTER (WHERE decision = 'deny') AS BIGINT) AS denied FROM answers GROUP BY 1, 2)""",
     ["answers"],
 )
 def decision_trend(w):

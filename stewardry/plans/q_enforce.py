@@ -166,7 +166,7 @@ def apply_consent(w):
 @query(
     "consent_matrix",
     """SELECT coalesce(segment, 'ALL') AS segment, coalesce(purpose, 'ALL') AS purpose,
-    CAST(count_if(granted) AS BIGINT) AS granted, CAST(count_if(NOT granted) AS BIGINT) AS refused FROM bases GROUP BY CUBE (segment, purpose)""",
+    CAST(count(*) FILTER (WHERE granted) AS BIGINT) AS granted, CAST(count(*) FILTER (WHERE NOT granted) AS BIGINT) AS refused FROM bases GROUP BY CUBE (segment, purpose)""",
     ["bases"],
 )
 def consent_matrix(w):

@@ -181,7 +181,7 @@ def gate_evidence(w):
     return results(w).select("change_id", evidence.alias("evidence"))
 
 
-_COUNT = "CAST(count_if(gate = '{}') AS BIGINT) AS {}"
+_COUNT = "CAST(count(*) FILTER (WHERE gate = '{}') AS BIGINT) AS {}"
 cte(
     "summaries",
     "SELECT change_set_id, count(*) AS total, "
@@ -589,7 +589,7 @@ def resume_payload(w):
 @query(
     "exception_status_counts",
     "SELECT count(*) AS total, "
-    + ", ".join(f"CAST(count_if(status = '{s}') AS BIGINT) AS {s}" for s in vocab.EXCEPTION_STATUSES)
+    + ", ".join(f"CAST(count(*) FILTER (WHERE status = '{s}') AS BIGINT) AS {s}" for s in vocab.EXCEPTION_STATUSES)
     + " FROM reviewed",
     ["reviewed"],
 )

@@ -281,7 +281,7 @@ def normalise_purpose_vocab(w):
 cte(
     "contested",
     """
-SELECT asset, scenario, band, use, count_if(kind = 'permitted') AS n_ok, count_if(kind = 'prohibited') AS n_no FROM (
+SELECT asset, scenario, band, use, count(*) FILTER (WHERE kind = 'permitted') AS n_ok, count(*) FILTER (WHERE kind = 'prohibited') AS n_no FROM (
   SELECT *, unnest(split(uses, ',')) AS use FROM instr WHERE family = 'usage_guidance')
 WHERE NOT contains(use, '.') GROUP BY ALL HAVING n_ok > 0 AND n_no > 0
 """,
@@ -383,11 +383,11 @@ VALUE_PATTERNS = {
 def _value_sql():
     parts = [
         f"SELECT '{c}' AS column_name, '{t}' AS data_type_id, count({c}) AS n_values, "
-        f"CAST(count_if(regexp_matches({c}, '{p}')) AS BIGINT) AS n_hits FROM customers"
+        f"CAST(count(*) FILTER (WHERE regexp_matches({c}, '{p}')) AS BIGINT) AS n_hits FROM customers"
         for c in ("email", "customer_name", "region", "segment")
         for t, p in VALUE_PATTERNS.items()
     ] + [
-        f"SELECT 'text', '{t}', count(text), CAST(count_if(regexp_matches(text, '{p}')) AS BIGINT) FROM documents"
+        f"SELECT 'text', '{t}', count(text), CAST(count(*) FILTER (WHERE regexp_matches(text, '{p}')) AS BIGINT) FROM documents"
         for t, p in VALUE_PATTERNS.items()
     ]
     return " UNION ALL ".join(parts)

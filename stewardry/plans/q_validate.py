@@ -69,7 +69,7 @@ cte(
     "vverdicts",
     """SELECT query_id, n_refs, n_ungoverned, CASE WHEN worst = 1 THEN 'fail' WHEN worst <= 5 OR n_ungoverned > 0 THEN 'warn' ELSE 'pass' END AS verdict,
   CASE WHEN n_ungoverned = n_refs THEN 'not_enough_published_state' WHEN review THEN 'review_required' ELSE 'answered' END AS state
-FROM (SELECT query_id, count(*) AS n_refs, CAST(count_if(NOT governed) AS BIGINT) AS n_ungoverned, min(worst) AS worst,
+FROM (SELECT query_id, count(*) AS n_refs, CAST(count(*) FILTER (WHERE NOT governed) AS BIGINT) AS n_ungoverned, min(worst) AS worst,
   bool_or(coalesce(finding_decision = 'require_review', FALSE)) AS review FROM vfindings GROUP BY 1)""",
     "vfindings",
 )
