@@ -4,7 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from stewardry import vocab
 from stewardry.functions.expr import asset_path
-from stewardry.functions.scale import reference_join
+from stewardry.functions.scale import reference_join, salted_join
 from stewardry.operators import compose
 
 TABLE = ["database", "schema", "table"]
@@ -58,7 +58,7 @@ def explain_receipts(asked, receipts):
     one = asked.withColumn("_n", F.size(named)).withColumn("_r", F.when(F.size(named) == 1, named[0]))
     keyed = one.withColumn("kind", F.col("_r.kind")).withColumn("id", F.col("_r.id"))
     return (
-        reference_join(keyed, known, ["kind", "id"], "left", spread_by=["question_id"])
+        salted_join(keyed, known, ["kind", "id"], "left", spread_by=["question_id"])
         .withColumn(
             "outcome",
             F.when(F.col("_n") != 1, "invalid_question").when(F.col("known"), "explained").otherwise("unknown_id"),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
-from stewardry.functions.scale import reference_join
+from stewardry.functions.scale import reference_join, salted_join
 from stewardry.operators.resolve import known_families
 from stewardry.session import materialize
 
@@ -246,7 +246,7 @@ def resolve_chained(asked, recorded, fields, ref="ref"):
     )
     values = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("string"))])
     answers = recorded.select("case_id", values.alias("_values"))
-    joined = reference_join(keyed, answers, ["case_id"], "left", spread_by=["request_id"])
+    joined = salted_join(keyed, answers, ["case_id"], "left", spread_by=["request_id"])
     return (
         joined.withColumn("resolved", F.try_element_at("_values", F.col("field")))
         .withColumn(

@@ -150,9 +150,9 @@ def anonymize(df, drop, generalise, k):
     return reference_join(coarse, sizes, keys, "left_semi", derived="group-sizes")
 
 
-def transfer_dispositions(exports, destinations, keys):
+def transfer_dispositions(exports, destinations, keys, derived=None):
     """Export rows as release, hold or reject by their destination's decision."""
-    joined = reference_join(exports, destinations, keys, "left")
+    joined = reference_join(exports, destinations, keys, "left", derived=derived)
     disposition = F.coalesce(
         lookup(F.col("decision"), {"allow": "release", "log_only": "release", "retain": "release", "deny": "reject"}),
         F.lit("hold"),
@@ -177,10 +177,10 @@ def retention_due(df, trigger, years, as_of, action):
     )
 
 
-def ingestion_gate(documents, corpora, key="source"):
+def ingestion_gate(documents, corpora, key="source", derived=None):
     """Documents of admitted corpora; ``corpora`` carries the decision per corpus."""
     gated = corpora.withColumn("gate", F.when(F.col("decision") == "allow", "INGEST").otherwise("SKIP"))
-    return reference_join(documents, gated, [key], "left", spread_by=["doc_id"]).withColumn(
+    return reference_join(documents, gated, [key], "left", spread_by=["doc_id"], derived=derived).withColumn(
         "gate", F.coalesce("gate", F.lit("SKIP"))
     )
 

@@ -10,12 +10,20 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from stewardry import vocab
-from stewardry.functions.expr import asset_path, stable_id
+from stewardry.functions.expr import asset_path, lookup, stable_id
 from stewardry.functions.scale import reference_join
 from stewardry.operators.decide import mask_decision
 from stewardry.schemas import PARAMETERS
 
 SOURCE_ORDER = ("selector", "collection", "taxonomy", "tag")
+# Selector field to the source its resolution path names.
+SELECTORS = {
+    "tables": "selector",
+    "columns": "selector",
+    "collections": "collection",
+    "taxonomy_types": "taxonomy",
+    "tags": "tag",
+}
 POLICY_KEY = ["policy_id", "version"]
 SCOPE = ["database", "schema", "table", "column"]
 
@@ -201,15 +209,51 @@ def validity(text):
 # --- selector targets ------------------------------------------------------------
 
 
-def _listed(policies, field, name):
+def selector_keys(policies, fields=tuple(SELECTORS)):
+    """What policies target: one (kind, value) row per selector entry."""
+    empty = F.array().cast("array<string>")
+
+    def entries(field):
+        listed = F.coalesce(F.col(f"spec.selector.{field}"), empty)
+        return F.transform(listed, lambda v: F.struct(F.lit(field).alias("kind"), v.alias("value")))
+
     return policies.select(
         *POLICY_KEY,
         F.col("spec.selector.databases").alias("only_databases"),
         F.col("spec.selector.schemas").alias("only_schemas"),
-        F.explode(f"spec.selector.{field}").alias(name),
+        F.explode(F.concat(*[entries(f) for f in fields])).alias("_k"),
+    ).select(*POLICY_KEY, "only_databases", "only_schemas", "_k.kind", "_k.value")
+
+
+def _keys(df, column, *pairs):
+    found = F.array(*[F.struct(F.lit(kind).alias("kind"), value.alias("value")) for kind, value in pairs])
+    return (
+        df.withColumn("_k", F.explode(F.filter(found, lambda k: k["value"].isNotNull())))
+        .select("database", "schema", "table", column.alias("column"), "_k.kind", "_k.value")
+    )
+
+
+def table_keys(tables):
+    return _keys(tables, F.lit(None).cast("string"), ("tables", F.col("table")))
+
+
+def tag_keys(tables):
+    tagged = tables.withColumn("tag", F.explode(F.array_distinct("tags")))
+    return _keys(tagged, F.lit(None).cast("string"), ("tags", F.col("tag")))
+
+
+def column_keys(columns):
+    return _keys(
+        columns, F.col("column"), ("columns", asset_path(*SCOPE)), ("taxonomy_types", F.col("data_type_id"))
     )
 
 
+def collection_keys(collections, tables):
+    members = collections.withColumnRenamed("member_table", "table")
+    joined = reference_join(members, tables.select("database", "schema", "table"), ["table"], spread_by=["collection_id"])
+    return _keys(joined, F.lit(None).cast("string"), ("collections", F.col("collection_id")))
+
+
 def in_scope():
     """Databases and schemas restrict every target; absent means everywhere."""
     return (F.col("only_databases").isNull() | F.array_contains("only_databases", F.col("database"))) & (
@@ -217,60 +261,42 @@ def in_scope():
     )
 
 
-def _target(joined, source, ref, column=None):
+def meet(scope_keys, wanted):
+    """Scopes each policy reaches, with the source and reference that reached them."""
+    joined = reference_join(scope_keys, wanted, ["kind", "value"], spread_by=SCOPE)
+    source = lookup(F.col("kind"), SELECTORS)
     return joined.select(
-        *POLICY_KEY, "database", "schema", "table",
-        (F.col("column") if column else F.lit(None).cast("string")).alias("column"),
-        F.lit(source).alias("source"),
-        ref.alias("ref"),
+        *POLICY_KEY, *SCOPE, source.alias("source"),
+        F.when(source != "selector", F.col("value")).alias("ref"),
         in_scope().alias("in_scope"),
     )
 
 
 def table_targets(policies, tables):
-    wanted = _listed(policies, "tables", "table")
-    joined = reference_join(tables, wanted, ["table"], spread_by=["database", "schema", "table"])
-    return _target(joined, "selector", F.lit(None).cast("string"))
+    return meet(table_keys(tables), selector_keys(policies, ["tables"]))
 
 
 def column_targets(policies, columns):
-    wanted = _listed(policies, "columns", "path")
-    keyed = columns.withColumn("path", asset_path(*SCOPE))
-    return _target(reference_join(keyed, wanted, ["path"], spread_by=["path"]), "selector", F.lit(None).cast("string"), True)
+    return meet(column_keys(columns), selector_keys(policies, ["columns"]))
 
 
 def taxonomy_targets(policies, columns):
-    wanted = _listed(policies, "taxonomy_types", "data_type_id")
-    joined = reference_join(columns, wanted, ["data_type_id"], spread_by=SCOPE)
-    return _target(joined, "taxonomy", F.col("data_type_id"), True)
+    return meet(column_keys(columns), selector_keys(policies, ["taxonomy_types"]))
 
 
 def collection_targets(policies, collections, tables):
-    wanted = _listed(policies, "collections", "collection_id")
-    members = reference_join(collections, wanted, ["collection_id"], spread_by=["member_table"])
-    joined = reference_join(
-        tables, members.withColumnRenamed("member_table", "table"), ["table"], spread_by=["database", "schema", "table"]
-    )
-    return _target(joined, "collection", F.col("collection_id"))
+    return meet(collection_keys(collections, tables), selector_keys(policies, ["collections"]))
 
 
 def tag_targets(policies, tables):
-    wanted = _listed(policies, "tags", "tag")
-    tagged = tables.withColumn("tag", F.explode(F.array_distinct("tags")))
-    joined = reference_join(tagged, wanted, ["tag"], spread_by=["database", "schema", "table"])
-    return _target(joined, "tag", F.col("tag"))
+    return meet(tag_keys(tables), selector_keys(policies, ["tags"]))
 
 
 def targets(policies, tables, columns, collections):
-    """Every scope a policy reaches, with the reason it was reached."""
-    parts = [
-        table_targets(policies, tables),
-        column_targets(policies, columns),
-        taxonomy_targets(policies, columns),
-        collection_targets(policies, collections, tables),
-        tag_targets(policies, tables),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts).filter("in_scope").drop("in_scope")
+    """Every scope a policy reaches: all selector kinds meet the catalog in one join."""
+    parts = [table_keys(tables), tag_keys(tables), column_keys(columns), collection_keys(collections, tables)]
+    keys = reduce(lambda a, b: a.unionByName(b), parts)
+    return meet(keys, selector_keys(policies)).filter("in_scope").drop("in_scope")
 
 
 # --- instructions ------------------------------------------------------------------

@@ -120,9 +120,10 @@ def changed_by_upstream(current, changed):
         "unique_id", F.explode("node.depends_on.nodes").alias("upstream")
     )
     models_changed = changed.filter("node_group = 'node'").select(F.col("unique_id").alias("upstream"))
-    return reference_join(edges, models_changed, ["upstream"], "left_semi", spread_by=["unique_id"]).select(
-        "unique_id"
-    ).distinct()
+    met = reference_join(
+        edges, models_changed, ["upstream"], "left_semi", spread_by=["unique_id"], derived="changed-models"
+    )
+    return met.select("unique_id").distinct()
 
 
 def changed_by_files(current, files):

@@ -6,6 +6,7 @@ from stewardry.functions.expr import purpose_category
 from stewardry.operators import compose, decide, prepare
 from stewardry.plans import estate
 from stewardry.plans.registry import cte, query
+from stewardry.session import materialize
 
 
 def stamp(name, alias=None):
@@ -38,7 +39,8 @@ def signed(w):
 
 
 def cases(w):
-    return signed(w).filter("actor % 2 = 0").groupBy("signature").agg(F.min("request_id").alias("case_id"))
+    known = signed(w).filter("actor % 2 = 0").groupBy("signature").agg(F.min("request_id").alias("case_id"))
+    return materialize(known, "cases")
 
 
 @query("request_signature", "SELECT request_id, signature FROM signed", ["signed"])

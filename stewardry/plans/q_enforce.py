@@ -300,7 +300,7 @@ def dispositions(w):
     decided = compose.decide_in_place(asked, w.rules()).select(
         F.col("database").alias("db"), F.col("table").alias("tbl"), "dest_system", "consumer_jurisdiction", "decision"
     )
-    return enforce.transfer_dispositions(exports, decided, keys)
+    return enforce.transfer_dispositions(exports, decided, keys, derived="destinations")
 
 
 @query(
@@ -337,7 +337,7 @@ def ingestion_gate(w):
     corpora = docs.select("source").distinct().withColumn(
         "decision", F.when(number % 3 == 0, "allow").when(number % 3 == 1, "conditional").otherwise("deny")
     )
-    gated = enforce.ingestion_gate(docs, corpora)
+    gated = enforce.ingestion_gate(docs, corpora, derived="corpora")
     return gated.groupBy("source", "gate").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
 
 
