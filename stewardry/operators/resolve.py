@@ -31,40 +31,44 @@ SCOPE = ["database", "schema", "table", "column"]
 # --- rules of a policy ---------------------------------------------------------
 
 
-def _rule(family, kind, key, base, **parameters):
-    fields = [
-        F.lit(family).alias("family"),
-        F.lit(kind).cast("string").alias("kind"),
-        key.alias("instruction_key"),
-        base.cast("string").alias("base_decision"),
-    ]
-    for name, kind_ in PARAMETERS.items():
-        value = parameters.get(name)
-        fields.append((value if value is not None else F.lit(None)).cast(kind_).alias(name))
-    return F.struct(*fields)
+def rule_builder():
+    """A function that shapes rule structs; the typed NULLs are made once."""
+    blank = {name: F.lit(None).cast(kind).alias(name) for name, kind in PARAMETERS.items()}
+
+    def rule(family, kind, key, base, **parameters):
+        given = {name: value.cast(PARAMETERS[name]).alias(name) for name, value in parameters.items()}
+        return F.struct(
+            F.lit(family).alias("family"),
+            F.lit(kind).cast("string").alias("kind"),
+            key.alias("instruction_key"),
+            base.cast("string").alias("base_decision"),
+            *{**blank, **given}.values(),
+        )
+
+    return rule
 
 
 def _has(column):
     return F.coalesce(F.size(column), F.lit(0)) > 0
 
 
-def usage_rules(spec):
+def usage_rules(spec, rule):
     permitted, prohibited = spec["permitted_uses"], spec["prohibited_uses"]
     return F.array(
         F.when(
             _has(permitted),
-            _rule("usage_guidance", "permitted", F.lit("usage_guidance:spec.usage.permittedUses:permitted"),
+            rule("usage_guidance", "permitted", F.lit("usage_guidance:spec.usage.permittedUses:permitted"),
                   F.lit("allow"), uses=permitted),
         ),
         F.when(
             _has(prohibited),
-            _rule("usage_guidance", "prohibited", F.lit("usage_guidance:spec.usage.prohibitedUses:prohibited"),
+            rule("usage_guidance", "prohibited", F.lit("usage_guidance:spec.usage.prohibitedUses:prohibited"),
                   F.lit("deny"), uses=prohibited),
         ),
     )
 
 
-def ai_rules(spec):
+def ai_rules(spec, rule):
     ai = spec["ai"]
 
     def key(name):
@@ -73,7 +77,7 @@ def ai_rules(spec):
     def flag(name, column):
         return F.when(
             column.isNotNull(),
-            _rule("ai_governance", name, key(name), F.when(column, "allow").otherwise("deny")),
+            rule("ai_governance", name, key(name), F.when(column, "allow").otherwise("deny")),
         )
 
     return F.array(
@@ -81,22 +85,22 @@ def ai_rules(spec):
         flag("inference", ai["allow_inference"]),
         F.when(
             F.coalesce(ai["requires_anonymization"], F.lit(False)),
-            _rule("ai_governance", "anonymization", key("anonymization"), F.lit("conditional")),
+            rule("ai_governance", "anonymization", key("anonymization"), F.lit("conditional")),
         ),
         F.when(
             _has(ai["restrictions"]),
-            _rule("ai_governance", "restrictions", key("restrictions"), F.lit("conditional"),
+            rule("ai_governance", "restrictions", key("restrictions"), F.lit("conditional"),
                   restrictions=ai["restrictions"]),
         ),
     )
 
 
-def role_rules(spec):
+def role_rules(spec, rule):
     def grants(column, kind, base, path):
         roles = F.coalesce(column, F.array().cast("array<string>"))
         return F.transform(
             roles,
-            lambda role: _rule(
+            lambda role: rule(
                 "role_grant", kind,
                 F.concat(F.lit(f"role_grant:spec.accessControl.{path}:"), F.lower(role), F.lit(f":{kind}")),
                 F.lit(base), grant_role=role, roles=roles,
@@ -109,12 +113,12 @@ def role_rules(spec):
     )
 
 
-def masking_rules(spec):
+def masking_rules(spec, rule):
     masking = spec["masking"]
     return F.array(
         F.when(
             masking.isNotNull(),
-            _rule("masking", None, F.lit("masking:spec.accessControl.masking"),
+            rule("masking", None, F.lit("masking:spec.accessControl.masking"),
                   mask_decision(masking["method"]), masking=masking),
         )
     )
@@ -125,9 +129,9 @@ def _interval(text):
     return F.split_part(text, F.lit(" "), F.lit(1)).cast("int"), F.split_part(text, F.lit(" "), F.lit(2))
 
 
-def context_rules(spec):
+def context_rules(spec, rule):
     def one(present, family, path, base, **parameters):
-        return F.when(present, _rule(family, None, F.lit(f"{family}:{path}"), base, **parameters))
+        return F.when(present, rule(family, None, F.lit(f"{family}:{path}"), base, **parameters))
 
     number, unit = _interval(spec["retention"]["period"])
     keep = F.struct(
@@ -136,7 +140,7 @@ def context_rules(spec):
     )
     regulations = F.transform(
         F.coalesce(spec["regulations"], F.array().cast("array<string>")),
-        lambda name: _rule(
+        lambda name: rule(
             "compliance", None, F.concat(F.lit("compliance:spec.compliance.regulations:"), F.lower(name)),
             F.lit("log_only"), regulation=name,
         ),
@@ -171,8 +175,8 @@ EXPANSIONS = {
 
 def expand(policies, *parts):
     """Rules of each policy: explode of the non-null rule structs, no shuffle."""
-    spec = F.col("spec")
-    rules = F.array_compact(F.concat(*[EXPANSIONS[p](spec) for p in parts or EXPANSIONS]))
+    spec, rule = F.col("spec"), rule_builder()
+    rules = F.array_compact(F.concat(*[EXPANSIONS[p](spec, rule) for p in parts or EXPANSIONS]))
     return policies.withColumn("rule", F.explode(rules))
 
 

@@ -8,7 +8,7 @@ from stewardry.plans.estate import div, pick
 from stewardry.plans.q_authorize import authorized
 from stewardry.plans.q_validate import refs as refs_of
 from stewardry.plans.registry import cte, query
-from stewardry.session import scratch_dir
+from stewardry.session import materialize, scratch_dir
 from stewardry.sources import readers, sinks
 
 KINDS = (
@@ -216,7 +216,7 @@ def gate_worst(w):
 )
 def sink_gate_report(w):
     path = scratch_dir(w.spark, "gate-report")
-    judged = results(w)
+    judged = materialize(results(w), "gate-results")
     sinks.gate_report(judged, gate.summary(judged), path)
     schema = (
         "change_set_id string, piece int, total bigint, passed bigint, failed bigint, release_allowed boolean, "
