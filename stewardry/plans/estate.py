@@ -370,7 +370,7 @@ SELECT event_id AS request_id, ts AS requested_at, user_id AS actor,
 FROM {{events}}
 """
 
-# One reference per query, a second one (the ungoverned backup) for every third query.
+# One reference per query, a second one (the ungoverned backup) for view and error events.
 _QCOLS = {
     CUSTOMERS: ("customer_id,region", "customer_id,email,region", "region,arr"),
     PAYMENTS: ("transaction_id", "transaction_id,amount", "settlement_state"),
@@ -422,7 +422,7 @@ SELECT event_id, CAST(2 AS INT), ts, user_id,
   CAST(NULL AS INT),
   CASE WHEN event_id % 4 = 0 THEN 'recent' ELSE '' END,
   'SELECT ' || CASE WHEN event_id % 11 = 0 THEN '*' ELSE {_columns_case()} END || ' FROM ' || {pick('event_id % 6', _part(2))}
-FROM {{events}} WHERE event_id % 3 = 0
+FROM {{events}} WHERE event_type IN ('view', 'error')
 """
 
 CUSTOMER_TABLE = """
@@ -453,7 +453,7 @@ FROM {lineitem} GROUP BY l_orderkey
 NETWORK_TABLE = """
 SELECT o_orderkey AS transaction_id,
   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 7 <> 0 THEN 'reconciled' ELSE 'pending' END AS settlement_state
-FROM {orders} WHERE o_orderkey % 10 <> 0
+FROM {orders} WHERE o_orderpriority <> '5-LOW'
 """
 
 # Catalog at scale: one table per part; NULL database or schema inherits the default.
@@ -466,7 +466,8 @@ SELECT p_partkey AS table_no, 't' || CAST(p_partkey AS VARCHAR(20)) AS name,
   'Table of ' || p_name AS description,
   'tag' || CAST(CAST(FLOOR(p_partkey / 4) AS BIGINT) AS VARCHAR(20)) AS tag,
   'c' || CAST(CAST(FLOOR(p_partkey / 5) AS BIGINT) AS VARCHAR(20)) AS collection,
-  'custom.type' || CAST(CAST(FLOOR(p_partkey / 8) AS BIGINT) AS VARCHAR(20)) AS custom_type
+  'custom.type' || CAST(CAST(FLOOR(p_partkey / 8) AS BIGINT) AS VARCHAR(20)) AS custom_type,
+  p_type, p_size
 FROM {part}
 """
 

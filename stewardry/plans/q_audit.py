@@ -19,6 +19,10 @@ def served(w):
     return materialize(resolve.flatten(w.instructions()), "instructions")
 
 
+def before(day):
+    return F.col("requested_at") < F.lit(day).cast("timestamp_ntz")
+
+
 # --- evidence ----------------------------------------------------------------------------
 
 cte(
@@ -45,7 +49,7 @@ cte(
 SELECT a.request_id, a.asset, a.scenario, a.state, a.decision, a.reason_code, p.policy, p.version AS policy_version,
   p.ikey AS instruction_key, c.rule_id, coalesce(k.kinds, '') AS conditions, coalesce(d.duties, '') AS obligations,
   coalesce(n.n, 0) AS prohibitions,
-  CASE WHEN a.state = 'answered' AND c.rule_id IS NOT NULL THEN c.rule_id % 7 <> 0 END AS explanation_current
+  CASE WHEN a.state = 'answered' AND c.rule_id IS NOT NULL THEN p.policy NOT IN ('use guardrails', 'email masking') END AS explanation_current
 FROM answers a LEFT JOIN first_policy p USING (request_id) LEFT JOIN cited_first c USING (request_id)
 LEFT JOIN cond_kinds k USING (request_id) LEFT JOIN duty_texts d USING (request_id) LEFT JOIN denials n USING (request_id)
 """,
@@ -58,8 +62,8 @@ def entries(w):
 
 
 def explained(w):
-    """Current rules: the demo rules less every seventh, dropped by a later publication."""
-    return audit.explain_current(entries(w), w.rules().filter("rule_id % 7 <> 0"))
+    """Current rules: two policies were dropped by a later publication."""
+    return audit.explain_current(entries(w), w.rules().filter("policy NOT IN ('use guardrails', 'email masking')"))
 
 
 @query(
@@ -388,7 +392,7 @@ def unaccounted_uses(w):
 cte(
     "parity",
     """
-SELECT request_id, CASE WHEN request_id % 97 = 0 THEN 'unexpected_case'
+SELECT request_id, CASE WHEN scenario = 'retention.lifecycle' THEN 'unexpected_case'
   WHEN request_id % 50 = 0 AND decision IS DISTINCT FROM 'deny' THEN 'decision' ELSE '' END AS deltas FROM answers
 """,
     "answers",
@@ -396,8 +400,10 @@ SELECT request_id, CASE WHEN request_id % 97 = 0 THEN 'unexpected_case'
 
 
 def parity(w):
-    """Expectations from the exploded form, tampered with, against the array form."""
-    expected = compose.compose_pairs(pairs(w, "left")).filter("request_id % 97 <> 0").withColumn(
+    """Expectations from the exploded form, one decision in fifty tampered with and one
+    scenario left out, against the array form."""
+    asked = prepare.prepared(w.requests().filter("scenario <> 'retention.lifecycle'"))
+    expected = compose.compose_pairs(decide.decided_pairs(asked, w.rules(), "left")).withColumn(
         "decision", F.when(F.col("request_id") % 50 == 0, "deny").otherwise(F.col("decision"))
     )
     actual = compose.decide_in_place(w.requests(), w.rules())
@@ -482,14 +488,14 @@ def red_team_failures(w):
 
 @query(
     "set_tripwire",
-    """SELECT name, CASE WHEN table_no % 10 = 0 THEN 'added' ELSE 'removed' END AS change FROM cat_tables
-    WHERE (table_no % 10 = 0) <> (table_no % 7 = 0)""",
+    """SELECT name, CASE WHEN p_size > 40 THEN 'added' ELSE 'removed' END AS change FROM cat_tables
+    WHERE (p_size > 40) <> (p_type = 'ECONOMY')""",
     ["cat_tables"],
 )
 def set_tripwire(w):
     tables = w.catalog_tables()
     return contract.tripwire(
-        tables.filter("table_no % 10 <> 0").select("name"), tables.filter("table_no % 7 <> 0").select("name")
+        tables.filter("p_size <= 40").select("name"), tables.filter("p_type <> 'ECONOMY'").select("name")
     )
 
 
@@ -513,40 +519,42 @@ def classification_drift(w):
 
 cte(
     "estate_sets",
-    """SELECT DISTINCT 't' || l_partkey AS name, l_partkey % 9 = 0 AS intended FROM lineitem""",
+    """SELECT 't' || p_partkey AS name, p_type = 'SMALL' AS intended,
+    p_partkey IN (SELECT l_partkey FROM lineitem) AS required FROM part""",
 )
 
 
 @query(
     "estate_preflight",
-    """SELECT name, 'missing' AS issue FROM estate_sets WHERE NOT intended AND name NOT IN (SELECT tbl FROM instr)
+    """SELECT name, 'missing' AS issue FROM estate_sets WHERE required AND NOT intended AND name NOT IN (SELECT tbl FROM instr)
     UNION ALL SELECT name, 'unexpectedly_governed' FROM estate_sets WHERE intended AND name IN (SELECT tbl FROM instr)""",
     ["estate_sets", "instr"],
 )
 def estate_preflight(w):
-    required = w.table("lineitem").select("l_partkey").distinct()
-    name = F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("name")
+    def named(column):
+        return F.concat(F.lit("t"), F.col(column).cast("string")).alias("name")
+
+    required = w.table("lineitem").select("l_partkey").distinct().select(named("l_partkey"))
+    intended = w.table("part").filter("p_type = 'SMALL'").select(named("p_partkey"))
     served_names = materialize(
         w.instructions().select(F.col("table").alias("name")).distinct(), "served-tables"
     )
-    return contract.preflight(
-        required.select(name), served_names, required.filter("l_partkey % 9 = 0").select(name)
-    )
+    return contract.preflight(required, served_names, intended)
 
 
 @query(
     "recording_completeness",
-    """SELECT 'case-' || request_id AS case_id, CASE WHEN request_id % 17 = 0 THEN 'missing_recording' WHEN request_id % 19 = 0 THEN 'orphan_recording'
+    """SELECT 'case-' || request_id AS case_id, CASE WHEN late THEN 'missing_recording' WHEN role IS NULL THEN 'orphan_recording'
       ELSE 'empty:' || concat_ws(',', CASE WHEN decision IS NULL THEN 'decision' END, CASE WHEN reason_code IS NULL AND state <> 'answered' THEN 'reason' END) END AS issue
-    FROM answers WHERE (request_id % 17 = 0 AND request_id % 19 <> 0) OR (request_id % 19 = 0 AND request_id % 17 <> 0)
-      OR (request_id % 17 <> 0 AND request_id % 19 <> 0 AND decision IS NULL)""",
+    FROM (SELECT *, requested_at >= TIMESTAMP '2024-01-25' AS late FROM answers)
+    WHERE (late AND role IS NOT NULL) OR (NOT late AND role IS NULL) OR (NOT late AND role IS NOT NULL AND decision IS NULL)""",
     ["answers"],
 )
 def recording_completeness(w):
     answers = compose.decide_in_place(w.requests(), w.rules())
     case_id = F.concat(F.lit("case-"), F.col("request_id").cast("string")).alias("case_id")
-    cases = w.requests().filter("request_id % 19 <> 0").select(case_id)
-    recordings = answers.filter("request_id % 17 <> 0").select(case_id, "state", "decision")
+    cases = w.requests().filter("role IS NOT NULL").select(case_id)
+    recordings = answers.filter(before("2024-01-25")).select(case_id, "state", "decision")
     return contract.recording_completeness(cases, recordings, ["state", "decision"])
 
 
@@ -618,7 +626,7 @@ _FIELD = pick("request_id % 4", ("decision", "state", "scenario", "colour"))
     CASE q.request_id % 4 WHEN 0 THEN a.decision WHEN 1 THEN a.state WHEN 2 THEN a.scenario END AS resolved,
     CASE WHEN a.request_id IS NULL THEN 'unknown_case'
       WHEN CASE q.request_id % 4 WHEN 0 THEN a.decision WHEN 1 THEN a.state WHEN 2 THEN a.scenario END IS NULL THEN 'unresolved_field' END AS problem
-    FROM requests q LEFT JOIN (SELECT * FROM answers WHERE request_id % 20 <> 0) a ON a.request_id = (q.request_id // 10) * 10""",
+    FROM requests q LEFT JOIN (SELECT * FROM answers WHERE requested_at < TIMESTAMP '2024-01-25') a ON a.request_id = (q.request_id // 10) * 10""",
     ["requests", "answers"],
 )
 def resolve_chained_refs(w):
@@ -626,7 +634,7 @@ def resolve_chained_refs(w):
     target = F.concat(F.lit("@case-"), (F.floor(n / 10) * 10).cast("string"), F.lit("."))
     names = F.array(*[F.lit(f) for f in ("decision", "state", "scenario", "colour")])
     asked = w.requests().select("request_id", F.concat(target, names[(n % 4).cast("int")]).alias("ref"))
-    recorded = compose.decide_in_place(w.requests().filter("request_id % 20 <> 0"), w.rules()).withColumn(
+    recorded = compose.decide_in_place(w.requests().filter(before("2024-01-25")), w.rules()).withColumn(
         "case_id", F.concat(F.lit("case-"), n.cast("string"))
     )
     return contract.resolve_chained(asked, recorded, ["decision", "state", "scenario"]).select(

@@ -26,10 +26,10 @@ SIGNATURE = (
     "'schema=' || sch, 'table=' || tbl, 'role=' || role))"
 )
 cte("signed", f"SELECT *, {SIGNATURE} AS signature FROM requests", "requests")
-# The cases on record: every signature some request of an even actor carries.
+# The cases on record: every signature first seen in the first half of the month.
 cte(
     "cases",
-    "SELECT signature, min(request_id) AS case_id FROM signed WHERE actor % 2 = 0 GROUP BY 1",
+    "SELECT signature, min(request_id) AS case_id FROM signed WHERE requested_at < @TS('2024-01-16 00:00:00') GROUP BY 1",
     "signed",
 )
 
@@ -39,7 +39,8 @@ def signed(w):
 
 
 def cases(w):
-    known = signed(w).filter("actor % 2 = 0").groupBy("signature").agg(F.min("request_id").alias("case_id"))
+    early = F.col("requested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    known = signed(w).filter(early).groupBy("signature").agg(F.min("request_id").alias("case_id"))
     return materialize(known, "cases")
 
 

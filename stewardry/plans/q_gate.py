@@ -246,7 +246,7 @@ SELECT 'proj' || CAST(CAST(FLOOR(p_partkey / 20) AS BIGINT) AS VARCHAR(20)) AS p
   CASE WHEN p_partkey % 6 = 0 THEN 'access.read' END AS config_scenario,
   p_partkey % 5 = 0 AS has_purpose,
   CASE WHEN p_partkey % 10 = 0 THEN 'analytics.reporting' END AS purpose,
-  p_partkey % 6 = 1 AS edited, p_partkey % 10 <> 3 AS existed
+  p_partkey % 6 = 1 AS edited, p_size <> 3 AS existed
 FROM {part}
 """
 EXPOSURES_M = f"""
@@ -257,7 +257,7 @@ SELECT 'proj' || CAST(CAST(FLOOR(c_custkey / 20) AS BIGINT) AS VARCHAR(20)) AS p
   CASE WHEN c_custkey % 7 <> 0 THEN 'master.public.t' || CAST(c_custkey AS VARCHAR(20)) END AS asset,
   c_custkey % 12 = 5 AS bare, c_custkey % 13 = 0 AS opted_out,
   'model.m' || CAST(c_custkey AS VARCHAR(20)) AS up1, 'model.m' || CAST(c_custkey + 1 AS VARCHAR(20)) AS up2,
-  c_custkey % 8 = 0 AS edited, c_custkey % 9 <> 4 AS existed
+  c_custkey % 8 = 0 AS edited, c_nationkey <> 4 AS existed
 FROM {{customer}}
 """
 cte("nodes", NODES)
@@ -487,7 +487,7 @@ SELECT event_id AS request_id, 'rev-' || CAST(event_id AS VARCHAR(20)) AS review
   'reviewer' || CAST(user_id % 7 AS VARCHAR(20)) AS reviewer,
   {pick(f"({div('event_id', 7)} % 3)", (' Approve', 'reject', 'changes'))} AS review_decision,
   CASE WHEN {div('event_id', 3)} % 2 = 0 THEN 'approval_recorded,anonymization_before_transfer' ELSE 'approval_recorded' END AS attested_text
-FROM {{events}} WHERE event_id % 4 <> 0
+FROM {{events}} WHERE event_type <> 'error'
 """
 cte("reviews", REVIEWS)
 REQUIRED = ("approval_recorded", "anonymization_before_transfer")

@@ -63,7 +63,7 @@ cte(
 cte(
     "cat_columns",
     "SELECT db, sch, name AS tbl, table_no, column_name AS col, data_type, "
-    "CASE WHEN type_id = '*' THEN custom_type ELSE type_id END AS data_type_id, sensitivity, is_pii, tag "
+    "CASE WHEN type_id = '*' THEN custom_type ELSE type_id END AS data_type_id, sensitivity, is_pii, tag, p_type "
     "FROM cat_tables, template",
     "cat_tables", "template",
 )
@@ -303,11 +303,12 @@ def detect_conflicts(w):
     )
 
 
-# Versions at scale: up to three per policy, newest draft of every fifth unapproved.
-_VERSION = """SELECT policy_id, name, CAST(%d AS INT) AS version, priority, NOT (policy_id %% 5 = 0 AND policy_id %% 3 = %d) AS approved,
-  @TS('%s') AS published_at FROM {pol} WHERE policy_id %% 3 >= %d"""
+# Versions at scale: up to three per policy by priority; later drafts of every fifth are unapproved.
+_VERSION = """SELECT policy_id, name, CAST(%d AS INT) AS version, priority, NOT (policy_id %% 5 = 0 AND %d > 1) AS approved,
+  @TS('%s') AS published_at FROM {pol} WHERE priority >= %d"""
 VERSIONS = " UNION ALL ".join(
-    _VERSION % (n + 1, n, at, n) for n, at in enumerate(("2023-12-01 00:00:00", "2024-01-05 00:00:00", "2024-01-15 00:00:00"))
+    _VERSION % (n, n, at, least)
+    for n, at, least in ((1, "2023-12-01 00:00:00", 0), (2, "2024-01-05 00:00:00", 550), (3, "2024-01-15 00:00:00", 700))
 )
 cte("versions", VERSIONS, "pol")
 cte("pubs", values(estate.PUBLICATIONS, ("publication_id", "served_at")))
@@ -409,15 +410,15 @@ def classify_columns_by_value(w):
 @query(
     "classification_manual_override",
     """SELECT db || '.' || sch || '.' || tbl || '.' || col AS asset,
-    CASE WHEN table_no % 7 = 0 AND col = 'notes' THEN 'custom.ruled' ELSE data_type_id END AS data_type_id,
-    CASE WHEN table_no % 7 = 0 AND col = 'notes' THEN 'manual' ELSE 'pattern' END AS source FROM cat_columns""",
+    CASE WHEN p_type = 'SMALL' AND col = 'notes' THEN 'custom.ruled' ELSE data_type_id END AS data_type_id,
+    CASE WHEN p_type = 'SMALL' AND col = 'notes' THEN 'manual' ELSE 'pattern' END AS source FROM cat_columns""",
     ["cat_columns"],
 )
 def classification_manual_override(w):
     columns = w.catalog_columns().select(*resolve.SCOPE, "data_type_id", "source")
     manual = w.sql(
         "SELECT db AS database, sch AS schema, name AS table, 'notes' AS column, 'custom.ruled' AS data_type_id, "
-        "'manual' AS source FROM {t} WHERE table_no % 7 = 0",
+        "'manual' AS source FROM {t} WHERE p_type = 'SMALL'",
         t=w.catalog_tables(),
     )
     best = classify.override(columns.unionByName(manual), resolve.SCOPE)
