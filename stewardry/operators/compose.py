@@ -205,7 +205,7 @@ def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS):
 # --- exceptions -------------------------------------------------------------------
 
 
-def satisfy_conditions(decisions, exceptions):
+def satisfy_conditions(decisions, exceptions, limit=decide.BROADCAST_ROWS):
     """Mark approvals an active exception of the same subject satisfies.
 
     ``exceptions``: actor, kind, state, valid_from, valid_until. Intervals are cut
@@ -213,7 +213,6 @@ def satisfy_conditions(decisions, exceptions):
     of the log; an existence test emits no pairs. Consent is never satisfied by
     an exception and a denial is never lifted.
     """
-    spark = decisions.sparkSession
     active = exceptions.filter((F.col("state") == "active") & (F.col("kind") == "approval_required"))
     standing = active.filter("valid_until IS NULL").groupBy("actor").agg(F.min("valid_from").alias("standing_from"))
     days = (
@@ -225,18 +224,14 @@ def satisfy_conditions(decisions, exceptions):
         decisions.withColumn("_day", F.to_date("instant")), standing, ["actor"], "left",
         spread_by=["request_id"], derived="standing",
     )
-    marked = spark.sql(
-        """
-        SELECT d.*, coalesce(d.standing_from <= d.instant, FALSE) OR EXISTS (
-            SELECT 1 FROM {days} e
-            WHERE e.actor = d.actor AND e.day = d._day
-              AND e.valid_from <= d.instant AND d.instant < e.valid_until
-        ) AS has_approval
-        FROM {asked} d
-        """,
-        days=days,
-        asked=asked,
-    )
+    if fits(days, limit):
+        marked = _has_approval(asked, F.broadcast(days))
+    else:
+        # only rows that ask for an approval are moved to meet the exceptions
+        asks = F.exists("conditions", lambda c: c["kind"] == "approval_required")
+        marked = _has_approval(asked.filter(asks), days).unionByName(
+            asked.filter(~asks).withColumn("has_approval", F.lit(False))
+        )
     met = F.transform(
         "conditions",
         lambda c: c.withField("satisfied", (c["kind"] == "approval_required") & F.col("has_approval")),
@@ -253,6 +248,21 @@ def satisfy_conditions(decisions, exceptions):
     )
 
 
+def _has_approval(asked, days):
+    return asked.sparkSession.sql(
+        """
+        SELECT d.*, coalesce(d.standing_from <= d.instant, FALSE) OR EXISTS (
+            SELECT 1 FROM {days} e
+            WHERE e.actor = d.actor AND e.day = d._day
+              AND e.valid_from <= d.instant AND d.instant < e.valid_until
+        ) AS has_approval
+        FROM {asked} d
+        """,
+        days=days,
+        asked=asked,
+    )
+
+
 def can_proceed(satisfied):
     """Allow proceeds; a conditional with every condition met is flagged apart."""
     return satisfied.withColumn(

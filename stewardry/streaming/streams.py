@@ -25,10 +25,13 @@ def file_stream(spark, folder, name, files_per_trigger=64):
     )
 
 
-def batch_writer(path, transform=None):
+def batch_writer(path, transform=None, partition_by=()):
     def write(batch, batch_id):
         rows = transform(batch, batch_id) if transform else batch
-        rows.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        writer = rows.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(os.path.join(path, f"batch_id={batch_id}"))
 
     return write
 
@@ -60,7 +63,7 @@ def decide_stream(requests, load_rules, path):
         publication_id, rules = load_rules()
         return ledger_rows(compose.authorize(batch, rules, publication_id))
 
-    return requests.writeStream.foreachBatch(batch_writer(path, judge))
+    return requests.writeStream.foreachBatch(batch_writer(path, judge, ("eval_date", "publication_id")))
 
 
 def dedup_receipts(requests, delay="10 minutes"):
