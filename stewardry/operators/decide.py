@@ -65,14 +65,13 @@ def check_scopes(packed, scope):
         raise ValueError("a scope holds too many rules for one answer row; use decided_pairs and compose_pairs")
 
 
-def judged(rules, q, decide=None):
+def judged(rules, q):
     """Rules in force with what each says: array of (rule, decision), NULLs dropped.
 
     Later expressions read the decision as a field, so the family chain runs once
     per rule however often the result is looked at.
     """
-    decide = decide or decision
-    said = F.transform(rules, lambda r: F.struct(r.alias("rule"), decide(r, q).alias("decision")))
+    said = F.transform(rules, lambda r: F.struct(r.alias("rule"), decision(r, q).alias("decision")))
     return F.filter(said, lambda x: x["decision"].isNotNull())
 
 

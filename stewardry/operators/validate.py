@@ -45,30 +45,13 @@ def expand_star(refs, catalog):
 
 
 
-def column_participates(rule, q):
-    return rule["column"].isNotNull() & F.array_contains(q["columns"], rule["column"])
-
-
-def intent_participates(rule, q):
-    """Table rules follow the declared scenario; with no intent role grants still speak."""
-    return rule["column"].isNull() & F.coalesce(
-        (rule["scenario"] == q["scenario"]) | (q["scenario"].isNull() & (rule["family"] == "role_grant")),
-        F.lit(False),
-    )
-
-
-def participates(rule, q):
-    return column_participates(rule, q) | intent_participates(rule, q)
-
-
 def window_proved(rule, q):
     lower, upper = decide.window_bounds(rule, q)
     return F.coalesce((q["window_lower"] >= lower) & (q["window_upper"] <= upper), F.lit(False))
 
 
-def decision(rule, q):
+def proved(rule, decided, q):
     """As for requests, but an access window must be proved by the query's own bounds."""
-    decided = decide.decision(rule, q)
     window = (rule["family"] == "access_window") & (decided == "conditional")
     return F.when(window, F.when(window_proved(rule, q), "allow").otherwise("deny")).otherwise(decided)
 
@@ -92,20 +75,57 @@ def _packed(rules):
     )
 
 
-def findings(refs, rules, limit=BROADCAST_ROWS):
-    """One finding per reference: participating rules in cited order, evaluated in place."""
+NO_INTENT = ""
+
+
+def _meet_rules(refs, rules, limit):
+    """References with the column rules of their table and the table rules of their intent.
+
+    Two short arrays instead of every rule of the table: table rules are keyed by
+    scenario, role grants also by the absence of one.
+    """
     packed = _packed(rules)
-    grouped = packed.groupBy(*TABLE).agg(F.collect_list("rule").alias("rules"))
-    prepared = refs.withColumn("instant", F.coalesce("as_of", "requested_at")).withColumn(
-        "purpose_category", purpose_category(F.col("purpose"))
+    column = F.when(F.col("rule.column").isNotNull(), F.col("rule"))
+    per_table = packed.groupBy(*TABLE).agg(F.collect_list(column).alias("column_rules"), F.lit(True).alias("governed"))
+    intents = F.array_compact(
+        F.array(F.col("rule.scenario"), F.when(F.col("rule.family") == "role_grant", F.lit(NO_INTENT)))
+    )
+    per_intent = (
+        packed.filter("rule.column IS NULL")
+        .withColumn("intent", F.explode(intents))
+        .groupBy(*TABLE, "intent")
+        .agg(F.collect_list("rule").alias("intent_rules"))
     )
+    asked = refs.withColumn("intent", F.coalesce("scenario", F.lit(NO_INTENT)))
     if fits(packed, limit):
-        joined = prepared.join(F.broadcast(grouped), TABLE, "left")
+        met = asked.join(F.broadcast(per_table), TABLE, "left").join(F.broadcast(per_intent), [*TABLE, "intent"], "left")
     else:
         decide.check_scopes(packed, TABLE)
-        joined = salted_join(prepared, grouped, TABLE, "left", spread_by=["query_id", "ref_no"])
+        spread = ["query_id", "ref_no"]
+        met = salted_join(asked, per_table, TABLE, "left", spread_by=spread)
+        met = salted_join(met, per_intent, [*TABLE, "intent"], "left", spread_by=spread)
+    none = F.array().cast(met.schema["intent_rules"].dataType)
+    return met.withColumns(
+        {
+            "governed": F.coalesce("governed", F.lit(False)),
+            "column_rules": F.coalesce("column_rules", none),
+            "intent_rules": F.coalesce("intent_rules", none),
+        }
+    ).drop("intent")
+
+
+def findings(refs, rules, limit=BROADCAST_ROWS):
+    """One finding per reference: participating rules in cited order, evaluated in place."""
+    prepared = refs.withColumn("instant", F.coalesce("as_of", "requested_at")).withColumn(
+        "purpose_category", purpose_category(F.col("purpose"))
+    )
+    joined = _meet_rules(prepared, rules, limit)
     q = context()
-    live = F.filter("rules", lambda r: decide.effective(r, q["instant"]) & participates(r, q))
+    named = F.filter(
+        "column_rules", lambda r: decide.effective(r, q["instant"]) & F.array_contains(q["columns"], r["column"])
+    )
+    meant = F.filter("intent_rules", lambda r: decide.effective(r, q["instant"]))
+    live = F.concat(named, meant)
 
     def cited(said):
         r, decided = said["rule"], said["decision"]
@@ -125,15 +145,21 @@ def findings(refs, rules, limit=BROADCAST_ROWS):
         )
 
     return (
-        joined.withColumn("governed", F.col("rules").isNotNull())
-        .withColumn("judged", decide.judged(live, q, decision))
+        joined.withColumn("judged", decide.judged(live, q))
+        .withColumn(
+            "judged",
+            F.transform(
+                "judged",
+                lambda x: F.struct(x["rule"].alias("rule"), proved(x["rule"], x["decision"], q).alias("decision")),
+            ),
+        )
         .withColumn(
             "instructions",
             F.coalesce(F.sort_array(F.transform("judged", cited)), F.array().cast(_cited_type())),
         )
         .withColumn("status", F.when(F.col("governed"), "evaluated").otherwise("not_enough_published_state"))
         .withColumn("finding_decision", F.get("instructions", F.lit(0))["decision"])
-        .drop("rules", "judged")
+        .drop("column_rules", "intent_rules", "judged")
     )
 
 
