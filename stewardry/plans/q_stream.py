@@ -32,10 +32,11 @@ def stream_decide(w):
     )
 
 
-@query("stream_dedup_receipts")
+@query("stream_dedup_receipts", "SELECT DISTINCT signature FROM signed", ["signed"])
 def stream_dedup_receipts(w):
     path = scratch_dir(w.spark, "stream-receipts")
-    kept = streams.dedup_receipts(requests(w)).select("signature")
+    # the delay covers the whole log, so a retry is recognised however the log is cut into batches
+    kept = streams.dedup_receipts(requests(w), delay="40 days").select("signature")
     return collected(w, kept.writeStream.foreachBatch(streams.batch_writer(path)), path, "dedup").select("signature")
 
 
@@ -54,8 +55,24 @@ def stream_verdict_windows(w):
 
 
 
-@query("stream_agent_sessions")
+@query(
+    "stream_agent_sessions",
+    """SELECT user_id, strftime(started, '%Y-%m-%d %H:%M:%S') AS started, strftime(ended, '%Y-%m-%d %H:%M:%S') AS ended, n_calls, n_revised, n_denied FROM (
+      SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS n_calls,
+        count(*) FILTER (WHERE label = 'warn') AS n_revised, count(*) FILTER (WHERE label = 'deny') AS n_denied
+      FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session_no FROM (
+        SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM calls))
+      GROUP BY user_id, session_no)
+    WHERE ended <= (SELECT max(ts) FROM calls) - INTERVAL 10 MINUTE""",
+    ["calls"],
+)
 def stream_agent_sessions(w):
+    """Sessions the watermark has closed by the end of the log."""
+    closed = closed_sessions(w)
+    return closed.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")})
+
+
+def closed_sessions(w):
     path = scratch_dir(w.spark, "stream-sessions")
     calls = w.sql(CALLS, events=events(w)).select("user_id", "ts", "label")
     writer = streams.agent_sessions(calls, "ts", "user_id").writeStream.outputMode("append").foreachBatch(

@@ -56,7 +56,7 @@ CATALOG = {
     "benefits.public.applicants": (["government"], dict(applicant_id=None, categorical_flag=None)),
     "benefits.public.qualifying_conditions": (["government"], dict(condition_id=None)),
 }
-COLLECTION = ("customer-360", ["customers", "subscriptions", "support_tickets", "customer_exports", "ml_feature_store"])
+COLLECTION = ("customer-view", ["customers", "subscriptions", "support_tickets", "customer_exports", "ml_feature_store"])
 
 
 def on(databases, schemas="public", **targets):
@@ -97,7 +97,7 @@ POLICIES = [
     ("research anonymization", 550, on("care", tables=["member_records"]), dict(ai=(False, None, True, None)), {}),
     ("care use", 550, on("care", tables=["member_records"]),
      uses("care.treatment care.eligibility", "marketing.advertising marketing.personalization"), {BANNED: "purpose.prohibited_use"}),
-    ("customer 360", 550, on("master product", collections=["customer-360"]), uses("analytics.reporting"), {MAPPED: "sharing.internal"}),
+    ("customer view", 550, on("master product", collections=["customer-view"]), uses("analytics.reporting"), {MAPPED: "sharing.internal"}),
     ("customer guardrails", 550,
      on("master product", tables=["customers", "support_tickets", "product_usage_events"], tags=["privacy_sensitive"]),
      dict(uses("analytics reporting support", "marketing advertising personalization ml_training"), ai=(False, True, True, None)),

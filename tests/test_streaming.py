@@ -18,7 +18,7 @@ def test_receipts_are_minted_once(spark):
 
 def test_sessions_closed_by_the_watermark_equal_batch(spark):
     w = Workload(spark, FOLDER)
-    streamed = q_stream.stream_agent_sessions(w)
+    streamed = q_stream.closed_sessions(w)
     calls = w.sql(CALLS).withColumn("ts", F.col("ts").cast("timestamp"))
     newest = calls.agg(F.max("ts")).first()[0]
     batch = (
