@@ -7,7 +7,7 @@ from stewardry import vocab
 from stewardry.functions.expr import decision_of, lookup, severity
 from stewardry.functions.scale import fits, reference_join
 from stewardry.operators import decide
-from stewardry.operators.prepare import prepared, receipts, signature
+from stewardry.operators.prepare import prepared, publication_at, receipts, signature
 from stewardry.schemas import CONDITION, OBLIGATION
 
 # What the caller should do next, by decision.
@@ -164,18 +164,18 @@ def next_action():
     )
 
 
-def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS):
-    """State and decision only: the narrow hot path.
+def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS, by=()):
+    """State and decision only: the narrow hot path. ``request_id`` is unique.
 
     Array form while the rule table fits the broadcast limit. Beyond it, rules join
     as rows and one aggregate per request composes them, whatever a scope's size.
     """
     asked = prepared(requests)
     if not fits(rules, limit):
-        pairs = decide.decided_pairs(asked, rules, "left", limit)
+        pairs = decide.decided_pairs(asked, rules, "left", limit, by)
         return asked.join(compose_pairs(pairs), "request_id")
     q = decide.context()
-    matched = decide.with_rule_arrays(asked, rules, limit, small=True)
+    matched = decide.with_rule_arrays(asked, rules, limit, small=True, by=by)
     live = F.filter("rules", lambda r: decide.effective(r, q["instant"]))
     outcome = F.transform(
         "judged",
@@ -202,6 +202,13 @@ def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS):
     return cited.withColumns(columns).drop("rules", "live", "judged", "outcomes", "conflicted")
 
 
+def decide_as_published(requests, rules, publications, limit=decide.BROADCAST_ROWS):
+    """Decide a log that spans publications: each request meets the rules served when it
+    was asked. ``rules`` carry ``publication_id``."""
+    asked = requests.withColumn("publication_id", publication_at(F.col("requested_at"), publications))
+    return decide_in_place(asked, rules, limit, by=("publication_id",))
+
+
 # --- exceptions -------------------------------------------------------------------
 
 

@@ -21,40 +21,43 @@ def _keyed(df):
     return df.withColumn("column_key", F.coalesce(F.col("column"), F.lit("")))
 
 
-def packed_rules(rules):
-    """Rules as scope keys plus one struct, ready for either join form."""
-    body = [c for c in rules.columns if c not in ("database", "schema", "table", "scenario")]
+def packed_rules(rules, by=()):
+    """Rules as scope keys plus one struct, ready for either join form.
+
+    ``by`` names further equi keys, such as the publication a rule was served in.
+    """
+    body = [c for c in rules.columns if c not in ("database", "schema", "table", "scenario", *by)]
     return _keyed(rules).select(
+        *by,
         *SCOPE,
         F.struct(*[F.col(c) for c in body], asset_path("database", "schema", "table", "column").alias("path")).alias("rule"),
     )
 
 
-def candidate_rules(requests, rules, how="inner", limit=BROADCAST_ROWS):
+def candidate_rules(requests, rules, how="inner", limit=BROADCAST_ROWS, by=()):
     """Requests with each rule of their asset scope and scenario (exploded form)."""
-    keyed, packed = _keyed(requests), packed_rules(rules)
+    keyed, packed, keys = _keyed(requests), packed_rules(rules, by), [*by, *SCOPE]
     if fits(packed, limit):
-        out = keyed.join(F.broadcast(packed), SCOPE, how)
+        out = keyed.join(F.broadcast(packed), keys, how)
     else:
-        out = salted_join(keyed, packed, SCOPE, how, spread_by=["request_id"])
+        out = salted_join(keyed, packed, keys, how, spread_by=["request_id"])
     return out.drop("column_key")
 
 
-def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS, small=None):
+def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS, small=None, by=()):
     """Each request with the rules of its scope as one array; no request is shuffled
     while the rule table fits the broadcast limit.
 
     A scope's array is as long as its rules; beyond ``MAX_RULES_PER_SCOPE`` the row
     forms (:func:`decided_pairs` and the aggregates over it) answer instead.
     """
-    keyed, packed = _keyed(requests), packed_rules(rules)
+    keyed, packed, keys = _keyed(requests), packed_rules(rules, by), [*by, *SCOPE]
+    grouped = packed.groupBy(*keys).agg(F.collect_list("rule").alias("rules"))
     if fits(rules, limit) if small is None else small:
-        grouped = packed.groupBy(*SCOPE).agg(F.collect_list("rule").alias("rules"))
-        out = keyed.join(F.broadcast(grouped), SCOPE, "left")
+        out = keyed.join(F.broadcast(grouped), keys, "left")
     else:
-        check_scopes(packed, SCOPE)
-        grouped = packed.groupBy(*SCOPE).agg(F.collect_list("rule").alias("rules"))
-        out = salted_join(keyed, grouped, SCOPE, "left", spread_by=["request_id"])
+        check_scopes(packed, keys)
+        out = salted_join(keyed, grouped, keys, "left", spread_by=["request_id"])
     return out.drop("column_key")
 
 
@@ -345,9 +348,9 @@ def context(df=None):
     return {name: F.col(name) for name in REQUEST_FIELDS}
 
 
-def decided_pairs(requests, rules, how="inner", limit=BROADCAST_ROWS):
+def decided_pairs(requests, rules, how="inner", limit=BROADCAST_ROWS, by=()):
     """Exploded form: request, rule, in_force, decision, rule_reason, severity."""
-    pairs = candidate_rules(requests, rules, how, limit)
+    pairs = candidate_rules(requests, rules, how, limit, by)
     rule, q = F.col("rule"), context()
     return (
         pairs.withColumn("in_force", F.coalesce(effective(rule, q["instant"]), F.lit(False)) & rule["rule_id"].isNotNull())

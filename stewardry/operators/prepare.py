@@ -82,6 +82,15 @@ def prepared(requests):
     )
 
 
+def publication_at(instant, publications):
+    """Publication current at an instant; ``publications`` is the short list [(id, published_at text)]."""
+    ordered = sorted(publications, key=lambda p: p[1])
+    current = F.lit(None).cast("string")
+    for publication_id, published_at in ordered:
+        current = F.when(instant >= F.lit(published_at).cast("timestamp_ntz"), F.lit(publication_id)).otherwise(current)
+    return current
+
+
 def declared_state(meta, key="purpose_key"):
     """Three states of an annotation map: declared value, declared blind, undeclared."""
     has = F.coalesce(F.map_contains_key(meta, key), F.lit(False))

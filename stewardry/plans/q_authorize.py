@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stewardry.functions.expr import purpose_category
 from stewardry.operators import compose, decide, prepare
 from stewardry.plans import estate
-from stewardry.plans.registry import cte, query
+from stewardry.plans.registry import clone, cte, query
 from stewardry.session import materialize
 
 
@@ -277,6 +277,37 @@ ORDERED = (
 )
 
 
+# Three publications: one policy joins at the second, two leave at the third.
+clone(
+    "p",
+    ("live", "enriched", "pairs", "ranked", "composed", "answers"),
+    "candidates",
+    """SELECT * FROM candidates WHERE CASE WHEN requested_at >= TIMESTAMP '2024-01-20' THEN policy NOT IN ('use guardrails', 'email masking')
+    WHEN requested_at >= TIMESTAMP '2024-01-10' THEN TRUE ELSE policy <> 'audience use' END""",
+    "candidates",
+)
+
+
+@query(
+    "decide_as_published",
+    """SELECT request_id, CASE WHEN requested_at >= TIMESTAMP '2024-01-20' THEN 'pub-2' WHEN requested_at >= TIMESTAMP '2024-01-10' THEN 'pub-1'
+    ELSE 'pub-0' END AS publication_id, state, decision, reason_code FROM panswers""",
+    ["panswers"],
+)
+def decide_as_published(w):
+    rules = w.rules()
+    served = (
+        rules.filter("policy <> 'audience use'").withColumn("publication_id", F.lit("pub-0"))
+        .unionByName(rules.withColumn("publication_id", F.lit("pub-1")))
+        .unionByName(
+            rules.filter("policy NOT IN ('use guardrails', 'email masking')").withColumn("publication_id", F.lit("pub-2"))
+        )
+    )
+    return compose.decide_as_published(w.requests(), served, estate.PUBLICATIONS).select(
+        "request_id", "publication_id", "state", "decision", "reason_code"
+    )
+
+
 @query(
     "rank_instructions",
     f"SELECT request_id, rule_id, decision, {ORDERED} AS cited_rank FROM ranked",

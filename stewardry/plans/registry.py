@@ -39,6 +39,17 @@ def oracles():
     }
 
 
+def clone(prefix, renamed, start, text, *needs):
+    """A chain of checking tables over another first table, names prefixed."""
+    cte(prefix + start, text, *needs)
+    names = (start, *renamed)
+    for name in renamed:
+        needed, body = CTES.parts[name]
+        for old in names:
+            body = re.sub(rf"\b{old}\b", prefix + old, body)
+        CTES.add(prefix + name, tuple(prefix + n if n in names else n for n in needed), body)
+
+
 def values(rows, columns):
     body = ",\n".join("(" + ", ".join(estate.literal(v) for v in row) + ")" for row in rows)
     return f"SELECT * FROM (VALUES {body}) AS v({', '.join(columns)})"

@@ -54,4 +54,4 @@ def compare(con, spark_df, sql):
     if actual != expected:
         pair = next((a, e) for a, e in zip(actual, expected) if a != e)
         return f"values differ, e.g. {pair[0]} != {pair[1]}" + note
-    return ("TYPES" + note) if odd and not actual else (f"ok{note}" if odd else f"ok {len(actual)}")
+    return f"ok{note}" if odd else f"ok {len(actual)}"

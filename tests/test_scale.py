@@ -94,14 +94,22 @@ def test_session_heads_are_limited_before_the_shuffle(w):
     assert "WindowGroupLimit" in text
 
 
-def test_rows_take_over_when_rules_do_not_fit(w):
+def test_rows_take_over_when_rules_do_not_fit(w, monkeypatch):
+    salt_everything(monkeypatch)
     fields = ["request_id", "state", "decision", "reason_code"]
     small = compose.decide_in_place(w.requests(), w.rules()).select(*fields)
     large = compose.decide_in_place(w.requests(), w.rules(), limit=3).select(*fields)
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
 
 
-def test_salted_answers_equal_broadcast_answers(w):
+def salt_everything(monkeypatch):
+    """Every key counts as hot, so each salted join really salts."""
+    monkeypatch.setattr(scale, "SAMPLE", 1.0)
+    monkeypatch.setattr(scale, "MIN_HITS", 1)
+
+
+def test_salted_answers_equal_broadcast_answers(w, monkeypatch):
+    salt_everything(monkeypatch)
     fields = ["request_id", "state", "decision", "next_action"]
     small = compose.authorize(w.requests(), w.rules()).select(*fields)
     large = compose.authorize(w.requests(), w.rules(), limit=3).select(*fields)
@@ -122,6 +130,7 @@ def test_result_does_not_depend_on_order_or_partitions(w):
 
 
 def test_resolution_without_broadcast(w, monkeypatch):
+    salt_everything(monkeypatch)
     def rows():
         found = w.instructions().select("policy_id", "instruction_key", *resolve.SCOPE, "primary_source")
         return {tuple(r) for r in found.collect()}
@@ -137,7 +146,8 @@ def test_global_rank_is_one_to_n(spark):
     assert [r["rank"] for r in ranked] == list(range(1, 5001))
 
 
-def test_queries_validate_without_broadcast(w):
+def test_queries_validate_without_broadcast(w, monkeypatch):
+    salt_everything(monkeypatch)
     refs = validate.expand_star(validate.drop_ctes(validate.qualify(w.query_refs())), w.catalog())
     a = validate.verdicts(validate.findings(refs, w.rules()))
     b = validate.verdicts(validate.findings(refs, w.rules(), limit=3))
