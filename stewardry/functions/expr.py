@@ -5,10 +5,6 @@ from pyspark.sql import functions as F
 from stewardry import vocab
 
 
-def in_list(column, values):
-    return column.isin(*values)
-
-
 def severity(decision):
     """Severity rank of a decision, 1 = most severe; NULL for NULL."""
     rank = F.lit(None).cast("int")

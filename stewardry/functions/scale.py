@@ -29,10 +29,11 @@ def hot_hashes(df, keys):
     balance of the tasks, never the result. Its length is bounded by 1 / HOT_SHARE.
     """
     sampled = df.select(F.xxhash64(*keys).alias("h")).sample(fraction=SAMPLE, seed=17)
-    counts = sampled.groupBy("h").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.col("n").desc()).limit(int(1 / HOT_SHARE)).collect()
-    total = sum(r["n"] for r in top)
-    return [r["h"] for r in top if r["n"] >= MIN_HITS and r["n"] > HOT_SHARE * total]
+    # the rollup's grand total (no hash) comes back beside the largest keys, in one pass
+    counts = sampled.rollup("h").agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.col("n").desc()).limit(1 + int(1 / HOT_SHARE)).collect()
+    total = max((r["n"] for r in top if r["h"] is None), default=0)
+    return [r["h"] for r in top if r["h"] is not None and r["n"] >= MIN_HITS and r["n"] > HOT_SHARE * total]
 
 
 def salted_join(big, small, keys, how="inner", spread_by=None, salts=SALTS):

@@ -344,7 +344,7 @@ REQUEST_FIELDS = (
 )
 
 
-def context(df=None):
+def context():
     return {name: F.col(name) for name in REQUEST_FIELDS}
 
 

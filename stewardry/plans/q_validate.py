@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stewardry.operators import decide, validate
+from stewardry.operators import validate
 from stewardry.plans.registry import DECIDE, ENRICH, SEVERITY, cte, query
 
 cte(

@@ -43,6 +43,12 @@ def test_hot_keys_are_found_and_bounded(spark):
     assert seven in hashes and len(hashes) <= 1 / scale.HOT_SHARE
 
 
+def test_flat_keys_are_not_salted(spark, monkeypatch):
+    monkeypatch.setattr(scale, "SAMPLE", 1.0)
+    flat = spark.range(200_000).select((F.col("id") % 1000).alias("k"))
+    assert scale.hot_hashes(flat, ["k"]) == []
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     big = hot(spark)
