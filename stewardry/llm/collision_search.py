@@ -11,9 +11,9 @@ from stewardry.llm.near_vectors import usable
 # Projections (sorted arrays) of a block; a vector is verified once it lies in the query's
 # window in CROWD of them. Windows start WIDTH wide on either side and grow by GROWTH until
 # FRACTION of the block, and at least SPARE times k vectors, are verified.
-PROJECTIONS, CROWD = 48, 40
-WIDTH, GROWTH = 0.25, 1.25
-FRACTION, SPARE = 0.06, 3
+PROJECTIONS, CROWD = 96, 80
+WIDTH, GROWTH = 0.5, 1.4
+FRACTION, SPARE = 0.08, 3
 # Vectors of one block and queries of one pass over it; both bound a task.
 BLOCK, QUERIES = 8_192, 1_024
 
@@ -33,9 +33,19 @@ class CollisionIndex:
         values = vectors @ self.projection
         self.spread = float(values.std()) or 1.0
         self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
-        self.values = np.sort(values, axis=0).T
-        n = len(vectors)
-        self.need = min(n, max(int(FRACTION * n), 1))
+        # all arrays end to end, each moved into its own range, so that one search finds all ends of a window
+        self.low, top = values.min(axis=0), values.max(axis=0)
+        self.step = 3 * max(float((top - self.low).max()), 1e-300)
+        self.shift = np.arange(PROJECTIONS) * self.step - self.low
+        self.length = top - self.low
+        self.flat = (np.sort(values, axis=0) + self.shift).T.ravel()
+        self.first = np.arange(PROJECTIONS) * len(vectors)
+        self.need = max(int(FRACTION * len(vectors)), 1)
+
+    def _rank(self, values, side):
+        """Where values stand in their own arrays."""
+        inside = np.clip(values - self.low, -self.step / 3, self.length + self.step / 3)
+        return np.searchsorted(self.flat, inside + self.low + self.shift, side) - self.first
 
     def candidates(self, query, k):
         """Rows that collide with the query in at least CROWD arrays, at the first radius with enough of them.
@@ -45,14 +55,14 @@ class CollisionIndex:
         """
         n, need = len(self.vectors), min(len(self.vectors), max(self.need, SPARE * k))
         at = query @ self.projection
-        counts = np.zeros(n, np.int32)
-        low = np.array([np.searchsorted(v, x) for v, x in zip(self.values, at)])
-        high, radius = low.copy(), WIDTH * self.spread
+        counts = np.zeros(n, np.int64)
+        low = high = self._rank(at, "left")
+        radius = WIDTH * self.spread
         while True:
-            left = np.array([np.searchsorted(v, x - radius) for v, x in zip(self.values, at)])
-            right = np.array([np.searchsorted(v, x + radius, "right") for v, x in zip(self.values, at)])
-            fresh = [o[a:b] for o, a, b in zip(self.order, left, low)] + [o[a:b] for o, a, b in zip(self.order, high, right)]
-            counts += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int32)
+            left, right = self._rank(at - radius, "left"), self._rank(at + radius, "right")
+            fresh = [o[a:b] for o, a, b in zip(self.order, left.tolist(), low.tolist())]
+            fresh += [o[a:b] for o, a, b in zip(self.order, high.tolist(), right.tolist())]
+            counts += np.bincount(np.concatenate(fresh), minlength=n)
             low, high = left, right
             found = np.flatnonzero(counts >= CROWD)
             if len(found) >= need or (left == 0).all() and (right == n).all():
@@ -114,7 +124,7 @@ def nearest_vectors(queries, vectors, k=10, vec_id="vec_id", embedding="embeddin
     rows, asked = pick(vectors), pick(queries).dropDuplicates(["id"])
     # spread small tables over all tasks, large ones into blocks of bounded size
     n, q = rows.count(), asked.count()
-    blocks = max(-(-n // BLOCK), min(-(-n // 512), 2 * shuffle_tasks(spark)), 1)
+    blocks = max(-(-n // BLOCK), min(-(-n // 1_024), 2 * shuffle_tasks(spark)), 1)
     parts = max(-(-q // QUERIES), 1)
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -6,34 +6,49 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stewardry.llm.common import Memo, binary, split_words
+from stewardry.session import materialize
 
-# Labelled documents the classifier is fitted on at most; which ones, a hash of the id decides.
+# Labelled documents the classifier is fitted on at most, half of them toxic where there are
+# enough; which ones, a hash of the id decides.
 SAMPLE_DOCS = 6_000
 BUCKETS, DIMS = 1 << 17, 8
 WIDTHS, FILTERS = (1, 2, 3), 8
-EPOCHS, BATCH, RATE = 12, 64, 0.08
+# Batches of one fit, however many documents the sample holds.
+STEPS, BATCH, RATE = 900, 64, 0.08
 THRESHOLD = 0.3
-# Words a scoring step holds at once; longer documents run through in overlapping pieces.
+# Words a scoring step holds at once; longer documents run through in pieces.
 STEP_WORDS = 200_000
 
 
+# A word is looked up by itself and by these many of its first letters, so that forms of one stem share.
+STEMS = (4, 5)
+_BITS, _MASK = 20, (1 << 20) - 1
+
+
 def _bucket(word):
-    """Two buckets of a word in lower case without outer punctuation; 0 is the padding."""
+    """Buckets of a word, in lower case without outer punctuation, and of its stems; 0 is the padding."""
     text = word.decode("utf-8", "replace").lower()
     start, end = 0, len(text)
     while start < end and not text[start].isalnum():
         start += 1
     while end > start and not text[end - 1].isalnum():
         end -= 1
-    h = xxhash.xxh64_intdigest(text[start:end])
-    return (1 + h % (BUCKETS - 1)) << 32 | (1 + (h >> 32) % (BUCKETS - 1))
+    text = text[start:end]
+    packed = 0
+    for k, part in enumerate((text, *(f"{n}:{text[:n]}" for n in STEMS))):
+        packed |= (1 + xxhash.xxh64_intdigest(part) % (BUCKETS - 1)) << (_BITS * k)
+    return packed
+
+
+def _unpacked(packed):
+    return [(packed >> (_BITS * k)) & _MASK for k in range(1 + len(STEMS))]
 
 
 _buckets = Memo(_bucket)
 
 
 def word_buckets(text):
-    """Both bucket numbers of each word of UTF-8 bytes, packed in one integer."""
+    """The bucket numbers of each word of UTF-8 bytes, packed in one integer."""
     words = split_words(text)
     return np.fromiter(map(_buckets.__getitem__, words), np.int64, len(words))
 
@@ -50,7 +65,7 @@ def _padded(docs):
 
 
 class TextCnn:
-    """Embeddings of two hashes summed, filters of several widths, the maximum of each over the text, a logistic unit."""
+    """Embeddings of a word and its stems summed, filters of several widths, the maximum of each over the text, a logistic unit."""
 
     def __init__(self, seed=7):
         rng = np.random.default_rng(seed)
@@ -63,7 +78,7 @@ class TextCnn:
 
     def _maps(self, ids, drop=0):
         """Filter responses at every position; row p of width w covers words p .. p + w - 1."""
-        vectors = self.table[ids >> 32] + self.table[ids & 0xFFFFFFFF]
+        vectors = sum(self.table[part] for part in _unpacked(ids))
         n = len(ids) - max(WIDTHS) + 1
         for w, kernel, shift in zip(WIDTHS, self.kernels, self.shift):
             stacked = np.concatenate([vectors[k : k + n] for k in range(w)], axis=1)
@@ -73,38 +88,57 @@ class TextCnn:
         ids, starts = _padded(docs)
         return np.concatenate([np.maximum.reduceat(m, starts, axis=0) for _, m in self._maps(ids)], axis=1)
 
+    def _long(self, doc):
+        """Features of one document, whose padded words pass in pieces that overlap by a filter's reach."""
+        ids, reach = _padded([doc])[0], max(WIDTHS) - 1
+        top = None
+        for a in range(0, len(ids) - reach, STEP_WORDS):
+            found = np.concatenate([m.max(axis=0) for _, m in self._maps(ids[a : a + STEP_WORDS + reach])])
+            top = found if top is None else np.maximum(top, found)
+        return top
+
     def scores(self, docs):
         """Probability of label 1 for each document of the list, over all its words."""
         if not docs:
             return np.zeros(0)
-        pooled = np.full((len(docs), len(self.out)), -np.inf, np.float32)
-        overlap = max(WIDTHS) - 1
-        part, owner, held = [], [], 0
-
-        def flush():
-            if part:
-                np.maximum.at(pooled, np.array(owner), self.features(part))
-
+        pooled = np.zeros((len(docs), len(self.out)), np.float32)
+        part, held = [], 0
         for i, d in enumerate(docs):
-            for a in range(0, max(len(d) - overlap, 1), STEP_WORDS):
-                piece = d[a : a + STEP_WORDS + overlap]
-                part.append(piece)
-                owner.append(i)
-                held += len(piece)
-                if held >= STEP_WORDS:
-                    flush()
-                    part, owner, held = [], [], 0
-        flush()
+            if len(d) > STEP_WORDS:
+                pooled[i] = self._long(d)
+            else:
+                part.append(i)
+                held += len(d)
+            if part and (held >= STEP_WORDS or i + 1 == len(docs)):
+                pooled[part] = self.features([docs[k] for k in part])
+                part, held = [], 0
         z = np.maximum(pooled, 0) @ self.out + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
 
-    def fit(self, docs, labels, epochs=EPOCHS, seed=11):
+    def _start_from_counts(self, docs, labels):
+        """Sets the first coordinate of a bucket from how often toxic and other documents hold it.
+
+        Only one position per filter and document learns, so words are found much sooner when
+        they start apart; buckets of fewer than four documents start at 0.
+        """
+        seen = [np.unique(np.concatenate(_unpacked(d))) for d in docs]
+        held = np.zeros((2, BUCKETS))
+        for label in (0, 1):
+            rows = [s for s, y in zip(seen, labels) if y == label]
+            held[label] = np.bincount(np.concatenate(rows), minlength=BUCKETS) if rows else 0
+        size = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
+        odds = np.log((held[1] + 0.5) / (size[1] + 1)) - np.log((held[0] + 0.5) / (size[0] + 1))
+        self.table[:, 0] = np.where(held.sum(axis=0) >= 4, odds / 4, 0)
+        self.table[0] = 0
+
+    def fit(self, docs, labels, steps=STEPS, seed=11):
         """Adagrad on the logistic loss; of each filter only the strongest position learns."""
         rng = np.random.default_rng(seed)
         labels = np.asarray(labels, np.float32)
+        self._start_from_counts(docs, labels)
         grown = [np.full_like(x, 1e-4) for x in (*self.kernels, *self.shift, self.out)]
         table_grown, bias_grown = np.full(BUCKETS, 1e-4, np.float32), 1e-4
-        for _ in range(epochs):
+        for _ in range(max(1, steps * BATCH // len(docs))):
             order = rng.permutation(len(docs))
             for at in range(0, len(order), BATCH):
                 chosen = order[at : at + BATCH]
@@ -141,11 +175,11 @@ class TextCnn:
                 bias_grown += float(error.sum()) ** 2
                 self.bias -= np.float32(RATE * error.sum() / np.sqrt(bias_grown))
                 words = ids[np.concatenate(word_rows)]
-                rows = np.concatenate([words >> 32, words & 0xFFFFFFFF])
-                moves = np.concatenate(word_steps * 1)
+                rows = np.concatenate(_unpacked(words))
+                moves = np.concatenate(word_steps)
                 used, inverse = np.unique(rows, return_inverse=True)
                 g = np.zeros((len(used), DIMS), np.float32)
-                np.add.at(g, inverse, np.concatenate([moves, moves]))
+                np.add.at(g, inverse, np.concatenate([moves] * (1 + len(STEMS))))
                 table_grown[used] += (g * g).mean(axis=1)
                 self.table[used] -= RATE * g / np.sqrt(table_grown[used])[:, None]
                 self.table[0] = 0
@@ -181,7 +215,7 @@ def held_out(doc_id="doc_id"):
 def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
     """Fit on at most ``sample_docs`` labelled documents outside the held-out quarter.
 
-    Ids are drawn by a hash before any text is read, so the driver gets a bounded number
+    Ids are drawn by a hash within each label before any text is read, so the driver gets a bounded number
     of documents, as hashed words. One fifth of them is kept from the fit and calibrates
     the thresholds per language; a language with fewer than 20 toxic ones there
     gets the common threshold. Rows with a null id, text or label are not learnt from; of
@@ -193,7 +227,12 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     ids = ids.join(docs.where("text is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    drawn = ids.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample_docs)
+    ids = materialize(ids.withColumn("toxic", (F.col("toxic") >= 1).cast("int")), "toxic-ids")
+    sizes = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    few = min(sizes.get(1, 0), sample_docs // 2)
+    order = (F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    drawn = ids.where("toxic = 1").orderBy(*order).limit(few)
+    drawn = drawn.union(ids.where("toxic = 0").orderBy(*order).limit(sample_docs - few))
 
     def hashed(batches):
         for b in batches:
@@ -207,12 +246,15 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
     rows = texts.join(F.broadcast(drawn), "doc_id").mapInArrow(hashed, f"doc_id {id_type}, words binary, lang string, toxic int")
     rows = sorted(rows.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), bytes(r["words"])))
     words = [np.frombuffer(r["words"], np.int64) for r in rows]
-    toxic = np.array([min(max(r["toxic"], 0), 1) for r in rows], np.int64)
+    toxic = np.array([r["toxic"] for r in rows], np.int64)
     net = TextCnn()
     if len(set(toxic.tolist())) < 2:
         return ToxicityModel(net, {})
     cut = len(rows) - len(rows) // 5
     net.fit(words[:cut], toxic[:cut])
+    # the sample holds more toxic documents than the labels do: back to the odds of the labels
+    n_toxic = int(toxic.sum())
+    net.bias += np.float32(np.log(sizes[1] / sizes[0]) - np.log(n_toxic / (len(toxic) - n_toxic)))
     scores, truth = net.scores(words[cut:]), toxic[cut:]
     langs = np.array([r["lang"] or "" for r in rows[cut:]])
     default = _best_threshold(scores, truth) or THRESHOLD

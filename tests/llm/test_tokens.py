@@ -50,20 +50,27 @@ def test_repeated_ids_and_empty(docs_of):
     assert token_store.store_tokens(docs.where("false"), WORDS)[2].collect() == []
 
 
-def brute(pieces_, fallback, data):
+def brute(known, fallback, data):
     """Best score of any segmentation, by trying every piece at every place."""
     best = {0: 0.0}
     for end in range(1, len(data) + 1):
-        found = [best[end - len(p)] + s for p, (_, s) in pieces_.items() if end - len(p) in best and data[:end].endswith(p)]
+        found = [best[end - len(p)] + s for p, (_, s) in known.items() if end - len(p) in best and data[:end].endswith(p)]
         for width in (1, 2, 3, 4):
-            a = end - width
-            if a in best and len(data[a:end].decode("utf-8", "ignore")) == 1 and data[a:end] not in pieces_:
-                found.append(best[a] + fallback)
+            char = data[max(end - width, 0) : end]
+            if end - width in best and char not in known and _one_character(char):
+                found.append(best[end - width] + fallback)
         if found:
             best[end] = max(found)
     return best[len(data)]
 
 
+def _one_character(data):
+    try:
+        return len(data.decode()) == 1
+    except UnicodeDecodeError:
+        return False
+
+
 def test_viterbi_is_optimal():
     table, byte_ids = pieces.load_pieces(PIECES)
     small = [p for k, p in enumerate(table) if k % 40 == 0 or len(p[0]) <= 3 and k % 3 == 0]
