@@ -5,8 +5,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from stewardry.functions.scale import fits
 from stewardry.session import materialize
 
+# Keys (a few longs each) that a broadcast may hold.
+BROADCAST_KEYS = 500_000
 # Entries of a per-worker word cache; it is emptied when full.
 CACHE_WORDS = 500_000
 
@@ -58,6 +61,27 @@ def shuffle_tasks(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# --- wide rows against narrow keys ------------------------------------------------
+
+
+def few_rows(rows, side, keys):
+    """``rows`` without those that ``side`` does not name, where the keys are few enough to send; else all of them.
+
+    For use before an inner join with ``side``, so that rows without a partner are not shuffled.
+    """
+    names = side.select(*keys).distinct()
+    return rows.join(F.broadcast(names), keys, "left_semi") if fits(names, BROADCAST_KEYS) else rows
+
+
+def split_rows(rows, side, keys):
+    """[rows that ``side`` may name] or [rows that it names, the others], which are read apart and need no shuffle."""
+    names = side.select(*keys).distinct()
+    if not fits(names, BROADCAST_KEYS):
+        return [rows]
+    names = F.broadcast(names)
+    return [rows.join(names, keys, "left_semi"), rows.join(names, keys, "left_anti")]
+
+
 # --- groups that arrive sorted ----------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from stewardry.llm.common import (
     binary,
     block_tasks,
     components,
+    few_rows,
     hash_words,
     join_labels,
     mix,
@@ -302,7 +303,8 @@ def near_documents(docs, text="text", doc_id="doc_id"):
     near = banded.join(buckets, "band").where("id != b").select(F.col("id").alias("a"), "b")
     groups = components(near, "doc-groups").withColumnRenamed("component", "grp")
     members = materialize(_with_sizes(groups), "doc-members")
-    wanted = rows.join(members.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    wanted = members.select(F.col("id").alias("doc_id"))
+    wanted = few_rows(rows, wanted, ["doc_id"]).join(wanted, "doc_id", "left_semi")
     bags = materialize(wanted.mapInArrow(_bags, "id long, bag binary").dropDuplicates(["id", "bag"]), "doc-bags")
     classes = components(_links(members, bags), "doc-near")
     of_class = same.join(classes, "id", "left").select("h1", "h2", "copies", F.coalesce("component", "id").alias("class_id"))

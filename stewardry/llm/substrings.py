@@ -1,14 +1,20 @@
 """Repeated passages across documents: recompression names passages, equal names are verified word by word."""
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import binary, hash_words, mix, split_words
+from stewardry.llm.common import binary, few_rows, hash_words, mix, split_rows, split_words
 from stewardry.session import materialize
 
 WINDOW = 50
-ROUNDS = 8
+# Rounds of recompression whose symbols serve as anchors: the last for most windows, an
+# earlier one for windows that hold no whole symbol of a later one.
+LEVELS = (4, 6, 8, 9)
 # Symbols whose naming read fewer words than this recur by chance; they name nothing on their own.
 LEAST_WORDS = 10
 # Words handled at a time.
@@ -46,12 +52,12 @@ class Spans:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64) * _SALT)
 
 
-def recompress(words, doc, rounds=ROUNDS):
-    """Symbols of the last round as (name, start, end, low, high).
+def recompress(words, doc, levels=LEVELS):
+    """Symbols (name, start, end, low, high) after each of the rounds ``levels``, the last round first.
 
     ``words`` are word names, ``doc`` the number of each word's document (ascending). A round
     first names runs of one symbol by (symbol, length), then parts all symbols by a bit
-    of their name in this round and names every pair left-right. Names are hashes of
+    that this round gives their first word and names every pair left-right. Names are hashes of
     what they stand for, so every task of every executor gives one thing one name.
 
     [low, high) is the stretch of words that the naming has read: two documents that are equal
@@ -61,9 +67,8 @@ def recompress(words, doc, rounds=ROUNDS):
     n = len(words)
     name, start = words.copy(), np.arange(n)
     end, low, high, own = start + 1, start.copy(), start + 1, doc
-    for r in range(rounds):
-        if not len(name):
-            break
+    after = []
+    for r in range(max(levels)):
         # runs
         first = np.ones(len(name), bool)
         first[1:] = (name[1:] != name[:-1]) | (own[1:] != own[:-1])
@@ -87,15 +92,13 @@ def recompress(words, doc, rounds=ROUNDS):
         count = z - a
         name = np.where(count > 1, mix(name[a] + count.astype(np.uint64) * _SALT + np.uint64(2 * r + 1)), name[a])
         start, end, low, high, own = s, e, new_low, new_high, own[a]
-        if len(name) < 2:
-            continue
         # pairs
         coin = mix(np.full(1, r + 1, np.uint64) * _B2)
-        side = (mix(name ^ coin) >> np.uint64(63)).astype(bool)
+        side = (mix(words[start] ^ coin) >> np.uint64(63)).astype(bool)
         same = own[1:] == own[:-1]
         pair = ~side[:-1] & side[1:] & same
         head, tail = np.append(pair, False), np.append(False, pair)
-        next_high = np.append(np.where(same, high[1:], _FAR), _FAR)
+        next_high = np.append(np.where(same, end[:-1] + 1, _FAR), _FAR)
         last_low = np.append(-_FAR, np.where(same, low[:-1], -_FAR))
         alone_left, alone_right = ~side & ~head, side & ~tail
         named = mix(mix(name[:-1] * _B1 + np.uint64(r)) + name[1:] * _B2)
@@ -106,25 +109,34 @@ def recompress(words, doc, rounds=ROUNDS):
         low[at], high[at] = np.minimum(low[at], low[at + 1]), np.maximum(high[at], high[at + 1])
         stay = ~tail
         name, start, end, low, high, own = (x[stay] for x in (name, start, end, low, high, own))
-    return name, start, end, low, high
+        if r + 1 in levels:
+            after.append((name, start, end, low, high))
+    return after[::-1]
 
 
 def anchors(words, doc, spans):
-    """(low, high, key) of the symbols that every equal stretch names alike, and of windows without any.
+    """A list of (low, high, key, served): stretches that equal texts name alike, and the windows each part of them serves.
 
-    The key names the words read and the symbol's place and name. A window of 50 words that holds no such
-    stretch is its own anchor, so that no repeat goes unseen.
+    A window is served by the symbols of the last round that lie in it with all they have read;
+    where there is none, by those of the round before, and so on; where no round has
+    one, by itself. All of that shows inside the window, so a window has the same
+    anchors wherever it stands. The key names the words read and the symbol's place and name.
     """
-    name, start, _, low, high = recompress(words, doc)
-    n = len(words)
-    fits = (high - low >= LEAST_WORDS) & (high - low <= WINDOW) & (low >= 0) & (high <= n)
-    name, start, low, high = name[fits], start[fits], low[fits], high[fits]
-    key = mix(spans.of(low, high) ^ mix(name + (start - low).astype(np.uint64)))
-    bare = np.flatnonzero(_windows(doc) & ~_holding(low, high, n))
-    if len(bare):
-        low, high = np.concatenate([low, bare]), np.concatenate([high, bare + WINDOW])
-        key = np.concatenate([key, spans.of(bare, bare + WINDOW)])
-    return low, high, key
+    n, out = len(words), []
+    bare = _windows(doc)
+    for name, start, _, low, high in recompress(words, doc):
+        fits = (high - low >= LEAST_WORDS) & (high - low <= WINDOW) & (low >= 0) & (high <= n)
+        # of windows without a later symbol, those that start between the ends of this reach
+        upto = np.concatenate([[0], np.cumsum(bare)])
+        fits[fits] = upto[low[fits] + 1] > upto[np.maximum(high[fits] - WINDOW, 0)]
+        name, start, low, high = name[fits], start[fits], low[fits], high[fits]
+        key = mix(spans.of(low, high) ^ mix(name + (start - low).astype(np.uint64)))
+        served = bare & _holding(low, high, n)
+        out.append((low, high, key, served))
+        bare = bare & ~served
+    alone = np.flatnonzero(bare)
+    out.append((alone, alone + WINDOW, spans.of(alone, alone + WINDOW), bare))
+    return out
 
 
 def _windows(doc):
@@ -165,39 +177,45 @@ def _name(batches):
     for b in batches:
         names = b.column(1).to_numpy()
         for rows, words, doc in _steps(binary(b.column(0))):
-            low, _, key = anchors(words, doc, Spans(words, _B1))
+            found = anchors(words, doc, Spans(words, _B1))
+            low, key = (np.concatenate([part[k] for part in found]) for k in (0, 2))
             text = names[np.array(rows)][doc[low]]
             pairs = np.unique(np.stack([key.view(np.int64), text], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["key", "h1"])
 
 
+def _among(keys, owner, known):
+    """Whether each key is in the sorted list of its document."""
+    shared = np.zeros(len(keys), bool)
+    order = np.argsort(owner, kind="stable")
+    bounds = np.searchsorted(owner[order], np.arange(len(known) + 1))
+    for k, x, z in zip(known, bounds, bounds[1:]):
+        at = order[x:z]
+        shared[at] = k[np.minimum(np.searchsorted(k, keys[at]), len(k) - 1)] == keys[at]
+    return shared
+
+
 def _compare(batches):
     """Two names of every window whose anchors are all shared."""
     for b in batches:
         ids, texts, keys = b.column(0).to_numpy(), b.column(3).to_numpy(), b.column(2).to_pylist()
         for rows, words, doc in _steps(binary(b.column(1))):
             spans, other = Spans(words, _B1), Spans(mix(words), _B2)
-            low, high, key = anchors(words, doc, spans)
             known = [np.sort(np.array(keys[i], np.int64)) for i in rows]
-            shared = np.zeros(len(key), bool)
-            owner, signed = doc[low], key.view(np.int64)
-            order = np.argsort(owner, kind="stable")
-            bounds = np.searchsorted(owner[order], np.arange(len(rows) + 1))
-            for k, x, z in zip(known, bounds, bounds[1:]):
-                at = order[x:z]
-                place = np.searchsorted(k, signed[at])
-                shared[at] = k[np.minimum(place, len(k) - 1)] == signed[at]
-            alone = ~shared
-            start = np.flatnonzero(_windows(doc) & ~_holding(low[alone], high[alone], len(words)))
+            open_ = np.zeros(len(words), bool)
+            for low, high, key, served in anchors(words, doc, spans):
+                alone = ~_among(key.view(np.int64), doc[low], known)
+                open_ |= served & ~_holding(low[alone], high[alone], len(words))
+            start = np.flatnonzero(open_)
             begin = np.concatenate([[0], np.cumsum(np.bincount(doc))])
             columns = [
                 ids[np.array(rows)][doc[start]],
-                texts[np.array(rows)][doc[start]],
+                texts[np.array(rows)][doc[start]].astype(np.int32),
                 (start - begin[doc[start]]).astype(np.int32),
                 spans.of(start, start + WINDOW).view(np.int64),
-                other.of(start, start + WINDOW).view(np.int64),
+                (other.of(start, start + WINDOW) >> np.uint64(32)).astype(np.uint32).view(np.int32),
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "h1", "pos", "w1", "w2"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "t1", "pos", "w1", "w2"])
 
 
 def _cut(batches):
@@ -224,6 +242,12 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays(columns + b.columns[4:], names=names + ["row"] * (b.num_columns > 4))
 
 
+def _low(name):
+    """The lower 32 bits of a name, as numpy cuts them."""
+    low = F.pmod(name, F.lit(1 << 32))
+    return F.when(low >= 1 << 31, low - (1 << 32)).otherwise(low).cast("int")
+
+
 def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
     """(doc_id, n_words, n_removed, kept_text) of every row, with ``carry`` also the ``row`` itself: words of windows that a smaller doc_id also has are gone.
 
@@ -233,7 +257,7 @@ def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
 
     Every text is named by recompression; a name that two different texts share is looked up once per
     document, and only windows all of whose names are shared are compared word by word (by two
-    independent 64-bit names of their 50 words), with one minimum of ids per window before rows
+    independent names of their 50 words, 96 bits together), with one minimum of ids per window before rows
     move. Equal texts are one text throughout: all copies but the least id lose every window at once. A name
     or window with a third of all rows is split by the adaptive skew join.
 
@@ -253,15 +277,23 @@ def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
     shared = named.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("z")).where("a != z").select("key")
     known = named.join(shared, "key", "left_semi").groupBy("h1").agg(F.collect_set("key").alias("keys"))
     known = known.join(firsts, "h1").select(F.col("first").alias("doc_id"), "h1", "h2", "keys")
-    asked = signed.join(known, ["doc_id", "h1", "h2"]).select("doc_id", "text", "keys", "h1")
-    windows = materialize(asked.mapInArrow(_compare, "doc_id long, h1 long, pos int, w1 long, w2 long"), "text-windows")
+    known = materialize(known, "text-known")
+    asked = few_rows(signed, known, ["doc_id"]).join(known, ["doc_id", "h1", "h2"]).select("doc_id", "text", "keys", "h1")
+    windows = materialize(asked.mapInArrow(_compare, "doc_id long, t1 int, pos int, w1 long, w2 int"), "text-windows")
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").drop("z")
     again = windows.join(least, ["w1", "w2"]).where("doc_id > a")
-    marks = materialize(again.groupBy("doc_id", "h1").agg(F.collect_set("pos").alias("starts")), "text-marks")
+    marks = materialize(again.groupBy("doc_id", "t1").agg(F.collect_set("pos").alias("starts")), "text-marks")
 
     copies = signed.select("doc_id", "h1", "h2").join(firsts, ["h1", "h2"])
     copies = copies.where("doc_id > first").select("doc_id", "h1", F.lit(True).alias("copy")).distinct()
-    judged = whole.withColumn("h1", F.xxhash64("text")).join(materialize(copies, "text-copies"), ["doc_id", "h1"], "left")
-    judged = judged.join(marks, ["doc_id", "h1"], "left").select("doc_id", "text", "starts", "copy", *["row"] * carry)
+    copies = materialize(copies, "text-copies")
+    judged = whole.withColumn("h1", F.xxhash64("text")).withColumn("t1", _low(F.col("h1")))
+    touched = materialize(copies.select("doc_id").union(marks.select("doc_id")).distinct(), "text-touched")
+    parts = split_rows(judged, touched, ["doc_id"])
+    parts = [
+        parts[0].join(copies, ["doc_id", "h1"], "left").join(marks, ["doc_id", "t1"], "left"),
+        *(p.withColumns({"copy": F.lit(None).cast("boolean"), "starts": F.lit(None).cast("array<int>")}) for p in parts[1:]),
+    ]
+    judged = reduce(DataFrame.unionByName, [p.select("doc_id", "text", "starts", "copy", *["row"] * carry) for p in parts])
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
     return judged.mapInArrow(_cut, schema + (f", row {dict(judged.dtypes)['row']}" if carry else ""))

@@ -64,7 +64,10 @@ def test_equal_stretches_are_named_alike():
     seen = []
     for k in (0, 5, 33):
         words = ss.mix(np.concatenate([rng.integers(50, 90, k).astype(np.uint64), shared, rng.integers(50, 90, 2 * k).astype(np.uint64)]))
-        low, high, key = ss.anchors(words, np.zeros(len(words), np.int64), ss.Spans(words, ss._B1))
-        inside = (low >= k) & (high <= k + 80)
-        seen.append({(int(a) - k, int(z) - k, int(x)) for a, z, x in zip(low[inside], high[inside], key[inside])})
-    assert seen[1] == seen[2] and seen[1] and seen[0] <= seen[1]
+        names = [[] for _ in range(31)]
+        for low, high, key, served in ss.anchors(words, np.zeros(len(words), np.int64), ss.Spans(words, ss._B1)):
+            for p in np.flatnonzero(served[k : k + 31]):
+                inside = (low >= k + p) & (high <= k + p + ss.WINDOW)
+                names[p] += sorted(zip((low[inside] - k).tolist(), (high[inside] - k).tolist(), key[inside].tolist()))
+        seen.append(names)
+    assert seen[0] == seen[1] == seen[2] and all(seen[0])
