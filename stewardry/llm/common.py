@@ -11,7 +11,7 @@ from stewardry.session import materialize
 # Keys (a few longs each) that a broadcast may hold.
 BROADCAST_KEYS = 500_000
 # Entries of a per-worker word cache; it is emptied when full.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)

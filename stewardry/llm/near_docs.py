@@ -26,7 +26,7 @@ BLOCK = 1_024
 # Members of a larger group are first compared with this many of its own, which join most of them.
 PIVOTS = 16
 # Words sketched at a time.
-STEP_WORDS = 1_000_000
+STEP_WORDS = 300_000
 
 _ONE = np.uint64(1)
 _LEVEL = np.uint64(0xD1B54A32D192ED03)
@@ -300,6 +300,7 @@ def near_documents(docs, text="text", doc_id="doc_id"):
     spoken = worded.join(same, (worded.h1 == same.h1) & (worded.h2 == same.h2) & (worded.doc_id == same.id), "left_semi")
     banded = spoken.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").drop("most")
+    buckets = materialize(buckets, "doc-buckets")
     near = banded.join(buckets, "band").where("id != b").select(F.col("id").alias("a"), "b")
     groups = components(near, "doc-groups").withColumnRenamed("component", "grp")
     members = materialize(_with_sizes(groups), "doc-members")

@@ -118,6 +118,7 @@ def near_vectors(vectors, vec_id="vec_id", embedding="embedding"):
     hashed = same.select("id", "embedding", "h1").mapInArrow(_hash, "id long, h1 long, grp long")
     hashed = materialize(hashed, "vector-buckets")
     sizes = hashed.groupBy("grp").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = materialize(sizes, "vector-sizes")
     members = hashed.join(sizes, "grp").join(same.select("id", "h1", "copies", "embedding"), ["id", "h1"])
     links = materialize(per_task(block_tasks(members, BLOCK), _link, "a long, b long, n long"), "vector-links")
     counts = links.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))

@@ -18,7 +18,7 @@ LEVELS = (4, 6, 8, 9)
 # Symbols whose naming read fewer words than this recur by chance; they name nothing on their own.
 LEAST_WORDS = 10
 # Words handled at a time.
-STEP_WORDS = 500_000
+STEP_WORDS = 200_000
 
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -275,12 +275,15 @@ def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
 
     named = materialize(signed.select("text", "h1").mapInArrow(_name, "key long, h1 long"), "text-names")
     shared = named.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("z")).where("a != z").select("key")
+    # written, so that the join's two sides are plain shuffles, which the skew join can split
+    shared = materialize(shared, "text-shared")
     known = named.join(shared, "key", "left_semi").groupBy("h1").agg(F.collect_set("key").alias("keys"))
     known = known.join(firsts, "h1").select(F.col("first").alias("doc_id"), "h1", "h2", "keys")
     known = materialize(known, "text-known")
     asked = few_rows(signed, known, ["doc_id"]).join(known, ["doc_id", "h1", "h2"]).select("doc_id", "text", "keys", "h1")
     windows = materialize(asked.mapInArrow(_compare, "doc_id long, t1 int, pos int, w1 long, w2 int"), "text-windows")
     least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").drop("z")
+    least = materialize(least, "text-least")
     again = windows.join(least, ["w1", "w2"]).where("doc_id > a")
     marks = materialize(again.groupBy("doc_id", "t1").agg(F.collect_set("pos").alias("starts")), "text-marks")
 

@@ -82,6 +82,7 @@ def mark_revisits(pages, page_id="page_id", url="url", html="html"):
     seen = rows.where(F.col("n") >= REVISIT_BYTES).groupBy("digest", "n")
     best = F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url")))
     repeated = seen.agg(best.alias("best"), F.count("*").alias("times")).where("times > 1").drop("times")
+    repeated = materialize(repeated, "warc-repeated")
     marked = rows.join(repeated, ["digest", "n"], "left")
     refers = F.when(F.col("page_id") < F.col("best.page_id"), F.col("best"))
     marked = marked.withColumn("refers", refers)
@@ -237,4 +238,4 @@ def archive_pages(pages, payloads=True):
     ``mark_revisits`` for null html and ids. An empty table writes no archive.
     """
     manifest = write_archives(pages, scratch_dir(pages.sparkSession, "warc"))
-    return resolve_revisits(assemble(read_records(manifest, payloads)))
+    return resolve_revisits(materialize(assemble(read_records(manifest, payloads)), "warc-captures"))
