@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from stewardry.session import materialize
 
 # Keys (a few longs each) that a broadcast may hold.
 BROADCAST_KEYS = 500_000
+# Bytes of texts that a task turns into Python objects at a time.
+SLICE_BYTES = 2 << 20
 # Entries of a per-worker word cache; it is emptied when full.
 CACHE_WORDS = 300_000
 
@@ -57,6 +60,19 @@ def binary(column):
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches, column):
+    """The batches cut so that no cut holds more than SLICE_BYTES of the texts in ``column``, or one text."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(size)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def shuffle_tasks(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

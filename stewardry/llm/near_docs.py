@@ -13,6 +13,7 @@ from stewardry.llm.common import (
     join_labels,
     mix,
     per_task,
+    slices,
     split_words,
 )
 from stewardry.session import materialize
@@ -141,7 +142,7 @@ def _sketch_part(words, part, bands):
 
 
 def _sketches(batches):
-    for b in batches:
+    for b in slices(batches, 1):
         bands, names = _sketch(binary(b.column(1)))
         names = names.view(np.int64)
         columns = [b.column(0), pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(bands, pa.list_(pa.int64()))]
@@ -149,7 +150,7 @@ def _sketches(batches):
 
 
 def _bags(batches):
-    for b in batches:
+    for b in slices(batches, 1):
         bags = [bag(shingles(hash_words(split_words(t)))).tobytes() for t in binary(b.column(1))]
         columns = [b.column(0), pa.array(bags, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "bag"])

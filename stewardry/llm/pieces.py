@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 
-from stewardry.llm.common import Memo
+from stewardry.llm.common import Memo, slices
 
 MARK = "▁"
 # Natural-log penalty of a character that only bytes can spell, below the rarest piece.
@@ -203,7 +203,7 @@ def encode_pieces(docs, path, text="text", doc_id="doc_id"):
     def run(batches):
         tool = _segmenter(shared.value)
         byte_ids = np.array(shared.value.byte_ids, np.int32)
-        for batch in batches:
+        for batch in slices(batches, 1):
             coded = [tool.encode(t) for t in batch.column(1).to_pylist()]
             ids = np.frombuffer(b"".join(coded), np.int32)
             ends = np.cumsum([0] + [len(c) // 4 for c in coded]).astype(np.int32)

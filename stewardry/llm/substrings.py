@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import binary, few_rows, hash_words, mix, split_rows, split_words
+from stewardry.llm.common import binary, few_rows, hash_words, mix, slices, split_rows, split_words
 from stewardry.session import materialize
 
 WINDOW = 50
@@ -174,7 +174,7 @@ def _steps(texts):
 
 def _name(batches):
     """Anchor keys of each text, with the text's first name for its document."""
-    for b in batches:
+    for b in slices(batches, 0):
         names = b.column(1).to_numpy()
         for rows, words, doc in _steps(binary(b.column(0))):
             found = anchors(words, doc, Spans(words, _B1))
@@ -197,7 +197,7 @@ def _among(keys, owner, known):
 
 def _compare(batches):
     """Two names of every window whose anchors are all shared."""
-    for b in batches:
+    for b in slices(batches, 1):
         ids, texts, keys = b.column(0).to_numpy(), b.column(3).to_numpy(), b.column(2).to_pylist()
         for rows, words, doc in _steps(binary(b.column(1))):
             spans, other = Spans(words, _B1), Spans(mix(words), _B2)
@@ -220,7 +220,7 @@ def _compare(batches):
 
 def _cut(batches):
     """Words left of each text, given the starts of its repeated windows or that all repeat."""
-    for b in batches:
+    for b in slices(batches, 1):
         out = ([], [], [])
         for text, starts, copy in zip(binary(b.column(1)), b.column(2), b.column(3).to_pylist()):
             words = split_words(text)

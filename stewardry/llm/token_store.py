@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stewardry.llm.common import Memo, shuffle_tasks, split_words
+from stewardry.llm.common import Memo, shuffle_tasks, slices, split_words
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -65,7 +65,7 @@ def train_dictionary(docs, tokenizer_path, text="text", doc_id="doc_id"):
 
     def code(batches):
         tool = encoder(tokenizer_path)
-        for b in batches:
+        for b in slices(batches, 1):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([tool.encode(t)[: 4 * SAMPLE_IDS] for t in b.column(1).to_pylist()], pa.binary())], names=["ids"]
             )
@@ -166,7 +166,7 @@ def write_tokens(docs, tokenizer_path, folder, dictionary, end_id=END_ID, text="
     def write(batches):
         tool, shard, path = encoder(tokenizer_path), None, None
         tokens = 0
-        for b in batches:
+        for b in slices(batches, 1):
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if shard is None:
                     path = new_file(folder, "ids")

@@ -274,8 +274,15 @@ def score_toxicity(docs, model, text="text", output="score"):
     def score(texts):
         import pandas as pd
 
-        coded = [word_buckets(t.encode() if t else None) for t in texts]
-        return pd.Series(shared.value.scores(coded))
+        found = np.zeros(len(texts))
+        part, held = [], 0
+        for i, t in enumerate(texts):
+            part.append(word_buckets(t.encode() if t else None))
+            held += len(part[-1])
+            if held >= STEP_WORDS or i + 1 == len(texts):
+                found[i + 1 - len(part) : i + 1] = shared.value.scores(part)
+                part, held = [], 0
+        return pd.Series(found)
 
     return docs.withColumn(output, score(F.col(text)))
 

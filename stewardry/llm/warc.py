@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import shuffle_tasks
+from stewardry.llm.common import shuffle_tasks, slices
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -98,7 +98,7 @@ def write_archives(pages, folder, archive_bytes=ARCHIVE_BYTES):
     def write(batches):
         out, path, size, records = None, None, 0, 0
         done = []
-        for batch in batches:
+        for batch in slices(batches, 2):
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if out is None:
                     path = new_file(folder, "capture")
