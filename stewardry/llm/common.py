@@ -13,8 +13,11 @@ from stewardry.session import materialize
 BROADCAST_KEYS = 500_000
 # Bytes of texts that a task turns into Python objects at a time.
 SLICE_BYTES = 2 << 20
+# Bytes of a batch between the JVM and a Python worker.
+BATCH_BYTES = 8 << 20
+_BYTES_PER_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 # Entries of a per-worker word cache; it is emptied when full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -30,12 +33,22 @@ def mix(x):
 
 
 class Memo(dict):
-    """A bounded memo of a function of one argument, kept as long as its Python worker."""
+    """A bounded memo of a function of one argument, kept until its Python worker uses another one."""
+
+    _used = None
 
     def __init__(self, function, limit=CACHE_WORDS):
         super().__init__()
         self.function, self.limit = function, limit
 
+    def all(self, keys):
+        """The values of many keys; only the memo used last holds any, so that memos don't add up in a worker."""
+        if Memo._used is not self:
+            if Memo._used is not None:
+                Memo._used.clear()
+            Memo._used = self
+        return map(self.__getitem__, keys)
+
     def __missing__(self, key):
         if len(self) >= self.limit:
             self.clear()
@@ -52,7 +65,7 @@ def split_words(text):
 
 
 def hash_words(words):
-    return np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(_word_hashes.all(words), np.uint64, len(words))
 
 
 def binary(column):
@@ -73,6 +86,12 @@ def slices(batches, column):
             start = stop
 
 
+def bound_batches(spark):
+    """Let no Arrow batch pass BATCH_BYTES, however long its texts are, unless the session has its own bound."""
+    if spark.conf.get(_BYTES_PER_BATCH, None) in (None, str(2**31 - 1)):
+        spark.conf.set(_BYTES_PER_BATCH, str(BATCH_BYTES))
+
+
 def shuffle_tasks(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stewardry.llm.common import (
     binary,
     block_tasks,
+    bound_batches,
     components,
     few_rows,
     hash_words,
@@ -290,6 +291,7 @@ def near_documents(docs, text="text", doc_id="doc_id"):
     under one id share their links.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    bound_batches(docs.sparkSession)
     sketches = rows.where("doc_id is not null").mapInArrow(
         _sketches, "doc_id long, h1 long, h2 long, bands array<long>"
     )

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 
-from stewardry.llm.common import Memo, slices
+from stewardry.llm.common import Memo, bound_batches, slices
 
 MARK = "▁"
 # Natural-log penalty of a character that only bytes can spell, below the rarest piece.
@@ -167,11 +167,11 @@ class Segmenter:
         if not text:
             return b""
         if MARK not in text:
-            return b"".join(map(self.units.__getitem__, self.pieces.units(MARK + text.replace(" ", MARK))))
+            return b"".join(self.units.all(self.pieces.units(MARK + text.replace(" ", MARK))))
         spelt = np.array([self.pieces.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
         plain = text.split(MARK)
         marked = [(MARK if k == 0 else "") + p.replace(" ", MARK) for k, p in enumerate(plain)]
-        return spelt.join(b"".join(map(self.units.__getitem__, self.pieces.units(p))) for p in marked)
+        return spelt.join(b"".join(self.units.all(self.pieces.units(p))) for p in marked)
 
     def decode(self, ids):
         """The text of a list of ids: marks are blanks, the first one goes; broken UTF-8 is replaced."""
@@ -198,6 +198,7 @@ def encode_pieces(docs, path, text="text", doc_id="doc_id"):
     empty text. Rows keep their number; null and repeated ids stay as they are. No shuffle; what
     travels is the vocabulary, whose size does not follow the data.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Pieces(*load_pieces(path)))
 
     def run(batches):

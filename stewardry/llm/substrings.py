@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import binary, few_rows, hash_words, mix, slices, split_rows, split_words
+from stewardry.llm.common import binary, bound_batches, few_rows, hash_words, mix, slices, split_rows, split_words
 from stewardry.session import materialize
 
 WINDOW = 50
@@ -265,6 +265,7 @@ def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
     from others. Rows of one id are not smaller than each other; different texts under one
     id are judged apart. Repeated rows are judged alike.
     """
+    bound_batches(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *[row] * carry)
     rows = whole.select("doc_id", "text")

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stewardry.llm.common import Memo, shuffle_tasks, slices, split_words
+from stewardry.llm.common import Memo, bound_batches, shuffle_tasks, slices, split_words
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -45,7 +45,7 @@ class WordIds:
         self.memo = Memo(lambda word: np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes())
 
     def encode(self, text):
-        return b"".join(map(self.memo.__getitem__, split_words(text.encode()))) if text else b""
+        return b"".join(self.memo.all(split_words(text.encode()))) if text else b""
 
 
 _encoders = {}
@@ -161,6 +161,7 @@ def write_tokens(docs, tokenizer_path, folder, dictionary, end_id=END_ID, text="
     rows of one id stay together in one shard.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches):
@@ -217,6 +218,7 @@ def read_tokens(manifest, dictionary):
 
 def store_tokens(docs, tokenizer_path):
     """Write, then read back: (manifest, dictionary, rows per document)."""
+    bound_batches(docs.sparkSession)
     folder = scratch_dir(docs.sparkSession, "tokens")
     dictionary = train_dictionary(docs, tokenizer_path)
     manifest = materialize(write_tokens(docs, tokenizer_path, folder, dictionary), "token-starts")

@@ -5,7 +5,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import Memo, binary, split_words
+from stewardry.llm.common import Memo, binary, bound_batches, slices, split_words
 from stewardry.session import materialize
 
 # Labelled documents the classifier is fitted on at most, half of them toxic where there are
@@ -50,7 +50,7 @@ _buckets = Memo(_bucket)
 def word_buckets(text):
     """The bucket numbers of each word of UTF-8 bytes, packed in one integer."""
     words = split_words(text)
-    return np.fromiter(map(_buckets.__getitem__, words), np.int64, len(words))
+    return np.fromiter(_buckets.all(words), np.int64, len(words))
 
 
 def _padded(docs):
@@ -234,8 +234,10 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
     drawn = ids.where("toxic = 1").orderBy(*order).limit(few)
     drawn = drawn.union(ids.where("toxic = 0").orderBy(*order).limit(sample_docs - few))
 
+    bound_batches(docs.sparkSession)
+
     def hashed(batches):
-        for b in batches:
+        for b in slices(batches, 1):
             coded = [word_buckets(t).tobytes() for t in binary(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(coded, pa.binary()), b.column(2), b.column(3)], names=["doc_id", "words", "lang", "toxic"]
@@ -268,6 +270,7 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
 
 def score_toxicity(docs, model, text="text", output="score"):
     """``docs`` with ``output`` (0 to 1): a function of the whole text alone; null and empty texts get that of no words."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model.net)
 
     @F.pandas_udf("double")

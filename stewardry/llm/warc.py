@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import shuffle_tasks, slices
+from stewardry.llm.common import bound_batches, shuffle_tasks, slices
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -95,6 +95,8 @@ def write_archives(pages, folder, archive_bytes=ARCHIVE_BYTES):
     A task streams its rows into files that are closed at ``archive_bytes``.
     """
 
+    bound_batches(pages.sparkSession)
+
     def write(batches):
         out, path, size, records = None, None, 0, 0
         done = []
