@@ -1,5 +1,6 @@
 """Token ids in binary shards: every document compressed alone against one shared dictionary."""
 
+import os
 import struct
 import zlib
 from array import array
@@ -13,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stewardry.llm.common import Memo, bound_batches, shuffle_tasks, slices, split_words
+from stewardry.llm.common import bound_batches, shuffle_tasks, slices, split_words
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -24,6 +25,8 @@ END_ID = 1
 # The dictionary learns from this many documents at most, and from this many ids of each.
 # It only changes the size of the files, never what is read from them.
 SAMPLE_DOCS, SAMPLE_IDS = 512, 4_096
+# Words of a worker's two memos: words as they stand, and their parts; each is emptied when full.
+WHOLE_WORDS, PART_WORDS = 300_000, 600_000
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 
@@ -35,17 +38,46 @@ def _load(path):
 
 
 class WordIds:
-    """Ids of a text, word by word through the tokenizer, each distinct word once per worker.
+    """Ids of texts, word by word through the tokenizer, each distinct word once per worker.
 
-    Right for tokenizers that never join across ASCII white space and drop it.
+    Right for tokenizers that never join across ASCII white space and drop it, fold case, and never
+    join a letter to a following full stop, comma, colon, semicolon, exclamation or question mark. Words
+    are then looked up in lower case and apart from such an ending.
     """
 
     def __init__(self, path):
-        tokenizer = _load(path)
-        self.memo = Memo(lambda word: np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes())
-
-    def encode(self, text):
-        return b"".join(self.memo.all(split_words(text.encode()))) if text else b""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = _load(path)
+        self.whole, self.parts = {}, {}
+
+    def encode_all(self, texts):
+        """The ids of each text, little-endian unsigned 32-bit, as bytes."""
+        words = [split_words(t.encode()) if t else [] for t in texts]
+        seen = set().union(*words) if words else set()
+        new = seen - self.whole.keys()
+        if len(self.whole) + len(new) > WHOLE_WORDS:
+            self.whole, new = {}, seen
+        cut = {w: _cut(w) for w in new}
+        missing = {p for pair in cut.values() for p in pair} - self.parts.keys()
+        if len(self.parts) + len(missing) > PART_WORDS:
+            self.parts = {}
+            missing = {p for pair in cut.values() for p in pair}
+        missing = list(missing)
+        for part, found in zip(missing, self.tokenizer.encode_batch_fast([m.decode() for m in missing], add_special_tokens=False)):
+            self.parts[part] = np.array(found.ids, "<u4").tobytes()
+        parts = self.parts
+        for w, (core, end) in cut.items():
+            self.whole[w] = parts[core] + parts[end] if end else parts[core]
+        look = self.whole.__getitem__
+        return [b"".join(map(look, ws)) for ws in words]
+
+
+def _cut(word):
+    """A word in lower case (where that is plain) and its ending, which may be empty."""
+    if word.isascii() and b"<" not in word:
+        word = word.lower()
+    core = word.rstrip(b".,:;!?")
+    return (core, word[len(core) :]) if core[-1:].isalpha() else (word, b"")
 
 
 _encoders = {}
@@ -67,7 +99,7 @@ def train_dictionary(docs, tokenizer_path, text="text", doc_id="doc_id"):
         tool = encoder(tokenizer_path)
         for b in slices(batches, 1):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([tool.encode(t)[: 4 * SAMPLE_IDS] for t in b.column(1).to_pylist()], pa.binary())], names=["ids"]
+                [pa.array([x[: 4 * SAMPLE_IDS] for x in tool.encode_all(b.column(1).to_pylist())], pa.binary())], names=["ids"]
             )
 
     samples = sorted(bytes(r[0]) for r in texts.mapInArrow(code, "ids binary").limit(2 * SAMPLE_DOCS).collect())
@@ -168,11 +200,11 @@ def write_tokens(docs, tokenizer_path, folder, dictionary, end_id=END_ID, text="
         tool, shard, path = encoder(tokenizer_path), None, None
         tokens = 0
         for b in slices(batches, 1):
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, ids in zip(b.column(0).to_pylist(), tool.encode_all(b.column(1).to_pylist())):
                 if shard is None:
                     path = new_file(folder, "ids")
                     shard = ShardWriter(path, dictionary)
-                data = tool.encode(t) + end
+                data = ids + end
                 shard.add(i, data)
                 tokens += len(data) // 4
         if shard is not None:
