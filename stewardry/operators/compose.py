@@ -235,10 +235,13 @@ def satisfy_conditions(decisions, exceptions, limit=decide.BROADCAST_ROWS):
         marked = _has_approval(asked, F.broadcast(days))
     else:
         # only rows that ask for an approval are moved to meet the exceptions
-        asks = F.exists("conditions", lambda c: c["kind"] == "approval_required")
+        asks = F.coalesce(F.exists("conditions", lambda c: c["kind"] == "approval_required"), F.lit(False))
         marked = _has_approval(asked.filter(asks), days).unionByName(
             asked.filter(~asks).withColumn("has_approval", F.lit(False))
         )
+    # the flag speaks of rows that ask for an approval, in either form
+    needs = F.coalesce(F.exists("conditions", lambda c: c["kind"] == "approval_required"), F.lit(False))
+    marked = marked.withColumn("has_approval", F.col("has_approval") & needs)
     met = F.transform(
         "conditions",
         lambda c: c.withField("satisfied", (c["kind"] == "approval_required") & F.col("has_approval")),

@@ -6,7 +6,7 @@ from stewardry.functions.scale import reference_join, salted_join
 from stewardry.operators.resolve import known_families
 from stewardry.session import materialize
 
-UUID = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+UUID = r"\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b"
 NON_PERMISSIVE = ("deny", "require_review")
 
 
@@ -239,11 +239,12 @@ def pin_windows(windows, pinned):
 
 
 def resolve_chained(asked, recorded, fields, ref="ref"):
-    """'@case.field' to that field of the earlier answer; what does not resolve is named."""
+    """'@case.field' to that field of the earlier answer; what does not resolve is named. The last dot parts the two."""
     text = F.col(ref)
-    keyed = asked.withColumn("case_id", F.split_part(F.substring(text, 2, 10_000), F.lit("."), F.lit(1))).withColumn(
-        "field", F.split_part(text, F.lit("."), F.lit(2))
-    )
+    after = F.instr(F.reverse(text), ".")
+    case = F.when(after > 0, F.substr(text, F.lit(2), F.length(text) - after - 1)).otherwise(F.substr(text, F.lit(2)))
+    field = F.when(after > 0, F.substring_index(text, ".", -1)).otherwise("")
+    keyed = asked.withColumn("case_id", case).withColumn("field", field)
     values = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("string"))])
     answers = recorded.select("case_id", values.alias("_values"))
     joined = salted_join(keyed, answers, ["case_id"], "left", spread_by=["request_id"])

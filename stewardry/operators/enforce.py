@@ -145,14 +145,17 @@ def anonymize(df, drop, generalise, k):
     share of the rows never lands in one task.
     """
     coarse = df.drop(*drop).withColumns(generalise)
-    keys = list(generalise)
-    sizes = coarse.groupBy(*keys).count().filter(F.col("count") >= k).select(*keys)
-    return reference_join(coarse, sizes, keys, "left_semi", derived="group-sizes")
+    # a struct is never null, so rows without a value form groups of their own
+    coarse = coarse.withColumn("_group", F.struct(*generalise))
+    sizes = coarse.groupBy("_group").count().filter(F.col("count") >= k).select("_group")
+    return reference_join(coarse, sizes, ["_group"], "left_semi", derived="group-sizes").drop("_group")
 
 
 def transfer_dispositions(exports, destinations, keys, derived=None):
-    """Export rows as release, hold or reject by their destination's decision."""
-    joined = reference_join(exports, destinations, keys, "left", derived=derived)
+    """Export rows as release, hold or reject by their destination's decision; a null key meets a null key."""
+    keyed = exports.withColumn("_to", F.struct(*keys))
+    decided = destinations.withColumn("_to", F.struct(*[F.col(k).cast(exports.schema[k].dataType) for k in keys])).drop(*keys)
+    joined = reference_join(keyed, decided, ["_to"], "left", derived=derived).drop("_to")
     disposition = F.coalesce(
         lookup(F.col("decision"), {"allow": "release", "log_only": "release", "retain": "release", "deny": "reject"}),
         F.lit("hold"),

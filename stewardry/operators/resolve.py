@@ -206,8 +206,13 @@ def weight(priority, explicit=None):
 
 
 def validity(text):
-    """ISO instant ('2027-01-01T00:00:00Z') to a zone-free UTC timestamp."""
-    return F.to_timestamp_ntz(F.substring(F.replace(text, F.lit("T"), F.lit(" ")), 1, 19), F.lit("yyyy-MM-dd HH:mm:ss"))
+    """ISO instant ('2027-01-01T00:00:00Z', any offset, or a plain date) to a zone-free UTC timestamp.
+
+    A text without an offset is UTC; the session's time zone plays no part.
+    """
+    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & text.contains(":")
+    instant = F.to_timestamp(F.when(zoned, text).otherwise(F.concat(text, F.when(text.contains(":"), "Z").otherwise("T00:00:00Z"))))
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
 # --- selector targets ------------------------------------------------------------

@@ -421,8 +421,7 @@ def gq_join_sum(w):
     ["payments", "network"],
 )
 def gq_cte_sum(w):
-    net = w.network().select("transaction_id", F.lit(True).alias("net"))
-    recent = w.payments().join(net, "transaction_id", "left").filter("net IS NULL")
+    recent = w.payments().join(w.network().select("transaction_id"), "transaction_id", "left_anti")
     return recent.groupBy("customer_id").agg(money("amount").alias("amount"))
 
 
