@@ -42,7 +42,8 @@ class WordIds:
 
     Right for tokenizers that never join across ASCII white space and drop it, fold case, and never
     join a letter to a following full stop, comma, colon, semicolon, exclamation or question mark. Words
-    are then looked up in lower case and apart from such an ending.
+    are then looked up in lower case and apart from such an ending, and plain lower-case words go
+    straight to the tokenizer's model, which its other steps would hand them to unchanged.
     """
 
     def __init__(self, path):
@@ -62,7 +63,11 @@ class WordIds:
         if len(self.parts) + len(missing) > PART_WORDS:
             self.parts = {}
             missing = {p for pair in cut.values() for p in pair}
-        missing = list(missing)
+        model = self.tokenizer.model.tokenize
+        plain = {p for p in missing if p.isascii() and p.isalpha() and p.islower()}
+        for part in plain:
+            self.parts[part] = np.array([token.id for token in model(part.decode())], "<u4").tobytes()
+        missing = list(missing - plain)
         for part, found in zip(missing, self.tokenizer.encode_batch_fast([m.decode() for m in missing], add_special_tokens=False)):
             self.parts[part] = np.array(found.ids, "<u4").tobytes()
         parts = self.parts
