@@ -15,6 +15,8 @@ from stewardry.session import materialize, scratch_dir
 REVISIT_BYTES = 1_000
 # An archive is closed once it holds this many compressed bytes.
 ARCHIVE_BYTES = 64 << 20
+# Members are small; higher levels cost several times the time for a few percent.
+LEVEL = 1
 # Read and decompressed at a time; also the payload bytes of one Arrow batch.
 CHUNK = 4 << 20
 # Fixed values of the format.
@@ -106,8 +108,7 @@ def write_archives(pages, folder, archive_bytes=ARCHIVE_BYTES):
                     path = new_file(folder, "capture")
                     out, size, records = writer(path), 0, 0
                 for record in _capture(*row):
-                    member = zlib.compressobj(6, zlib.DEFLATED, 31)
-                    data = member.compress(record) + member.flush()
+                    data = zlib.compress(record, LEVEL, 31)
                     out.write(data)
                     size += len(data)
                     records += 1
@@ -240,4 +241,6 @@ def archive_pages(pages, payloads=True):
     ``mark_revisits`` for null html and ids. An empty table writes no archive.
     """
     manifest = write_archives(pages, scratch_dir(pages.sparkSession, "warc"))
-    return resolve_revisits(materialize(assemble(read_records(manifest, payloads)), "warc-captures"))
+    # written once: captures and their side records are both taken from it
+    records = materialize(read_records(manifest, payloads), "warc-records")
+    return resolve_revisits(materialize(assemble(records), "warc-captures"))
