@@ -53,6 +53,11 @@ def first_seen(values):
 
 
 def stable_id(*parts):
-    """Deterministic id: a retried task mints the same value."""
-    filled = [F.coalesce(p.cast("string"), F.lit("∅")) for p in parts]
-    return F.sha2(F.concat_ws("~", *filled), 256)
+    """Deterministic id: a retried task mints the same value, other parts another one."""
+    return F.sha2(F.concat(*[framed(p) for p in parts]), 256)
+
+
+def framed(part):
+    """Text behind its length, a dash for NULL: joined parts can be told apart whatever they hold."""
+    text = part.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))

@@ -9,6 +9,7 @@ from stewardry.functions.scale import fits, reference_join
 from stewardry.operators import decide
 from stewardry.operators.prepare import prepared, publication_at, receipts, signature
 from stewardry.schemas import CONDITION, OBLIGATION
+from stewardry.session import materialize
 
 # What the caller should do next, by decision.
 NEXT_ACTIONS = {
@@ -62,10 +63,10 @@ def coverage(pairs):
     )
 
 
-def compose_pairs(pairs):
+def compose_pairs(pairs, key="request_id"):
     """Exploded form: one aggregate per request, partial before the shuffle."""
     live = F.col("in_force")
-    summary = pairs.groupBy("request_id").agg(
+    summary = pairs.groupBy(key).agg(
         F.count("rule.rule_id").alias("n_rules"),
         F.count_if(live).alias("n_live"),
         F.coalesce(F.bool_or(live & (F.col("rule.conflict_status") != "none")), F.lit(False)).alias("conflicted"),
@@ -74,7 +75,7 @@ def compose_pairs(pairs):
     )
     columns = answer(*[F.col(c) for c in ("n_rules", "n_live", "conflicted", "worst", "rule_reason")])
     return summary.select(
-        "request_id", "n_rules", "n_live", *[c.alias(name) for name, c in columns.items()]
+        key, "n_rules", "n_live", *[c.alias(name) for name, c in columns.items()]
     )
 
 
@@ -165,15 +166,19 @@ def next_action():
 
 
 def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS, by=()):
-    """State and decision only: the narrow hot path. ``request_id`` is unique.
+    """State and decision only: the narrow hot path. One row out per row in, whatever its ``request_id``.
 
     Array form while the rule table fits the broadcast limit. Beyond it, rules join
-    as rows and one aggregate per request composes them, whatever a scope's size.
+    as rows and one aggregate per request composes them, whatever a scope's size. The
+    rows are numbered and written first, so null and repeated ids stay apart and a
+    task run again reads the same numbers.
     """
     asked = prepared(requests)
+    columns_out = [*asked.columns, "n_rules", "n_live", "state", "decision", "reason_code"]
     if not fits(rules, limit):
-        pairs = decide.decided_pairs(asked, rules, "left", limit, by)
-        return asked.join(compose_pairs(pairs), "request_id")
+        numbered = materialize(asked.withColumn("_row", F.monotonically_increasing_id()), "asked")
+        pairs = decide.decided_pairs(numbered, rules, "left", limit, by, spread_by="_row")
+        return numbered.join(compose_pairs(pairs, "_row"), "_row").select(*columns_out)
     q = decide.context()
     matched = decide.with_rule_arrays(asked, rules, limit, small=True, by=by)
     live = F.filter("rules", lambda r: decide.effective(r, q["instant"]))
@@ -199,7 +204,7 @@ def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS, by=()):
         F.array_min(F.transform("outcomes", lambda o: o["severity"])),
         F.array_min(F.transform("outcomes", lambda o: o["reason"])),
     )
-    return cited.withColumns(columns).drop("rules", "live", "judged", "outcomes", "conflicted")
+    return cited.withColumns(columns).select(*columns_out)
 
 
 def decide_as_published(requests, rules, publications, limit=decide.BROADCAST_ROWS):

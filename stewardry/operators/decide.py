@@ -34,13 +34,13 @@ def packed_rules(rules, by=()):
     )
 
 
-def candidate_rules(requests, rules, how="inner", limit=BROADCAST_ROWS, by=()):
+def candidate_rules(requests, rules, how="inner", limit=BROADCAST_ROWS, by=(), spread_by="request_id"):
     """Requests with each rule of their asset scope and scenario (exploded form)."""
     keyed, packed, keys = _keyed(requests), packed_rules(rules, by), [*by, *SCOPE]
     if fits(packed, limit):
         out = keyed.join(F.broadcast(packed), keys, how)
     else:
-        out = salted_join(keyed, packed, keys, how, spread_by=["request_id"])
+        out = salted_join(keyed, packed, keys, how, spread_by=[spread_by])
     return out.drop("column_key")
 
 
@@ -348,9 +348,9 @@ def context():
     return {name: F.col(name) for name in REQUEST_FIELDS}
 
 
-def decided_pairs(requests, rules, how="inner", limit=BROADCAST_ROWS, by=()):
+def decided_pairs(requests, rules, how="inner", limit=BROADCAST_ROWS, by=(), spread_by="request_id"):
     """Exploded form: request, rule, in_force, decision, rule_reason, severity."""
-    pairs = candidate_rules(requests, rules, how, limit, by)
+    pairs = candidate_rules(requests, rules, how, limit, by, spread_by)
     rule, q = F.col("rule"), context()
     return (
         pairs.withColumn("in_force", F.coalesce(effective(rule, q["instant"]), F.lit(False)) & rule["rule_id"].isNotNull())

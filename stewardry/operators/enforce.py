@@ -6,29 +6,39 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from stewardry.functions import masks
-from stewardry.functions.expr import lookup
+from stewardry.functions.expr import in_force, lookup, role_is_listed, severity
 from stewardry.functions.scale import fits, reference_join, salted_join
+from stewardry.operators.decide import mask_decision
 
 
-def mask_map(rules, asset, role):
-    """{column: method} of one table for a caller's role.
+def mask_map(rules, asset, role, columns=(), at=None):
+    """{column: method} of one table for a caller's role at an instant (now, where none is given).
 
-    The rules of one table are as many as its columns, so the map is small; data
-    rows are never collected.
+    As in a decision the most severe method of a column wins; ties go to the higher
+    band, then to the policy and the rule. A rule without a column covers ``columns``,
+    those of the catalog. One row per column is collected, data rows never.
     """
     database, schema, table = asset.split(".")
+    instant = (F.current_timestamp() if at is None else F.lit(at)).cast("timestamp_ntz")
+    covered = F.when(F.col("column").isNull(), F.array(*[F.lit(c) for c in columns]).cast("array<string>")).otherwise(
+        F.array("column")
+    )
+    strength = F.struct(severity(mask_decision(F.col("masking.method"))), -F.col("band"), "policy", "rule_id")
     rows = (
         rules.filter(
             (F.col("family") == "masking")
             & (F.col("database") == database)
             & (F.col("schema") == schema)
             & (F.col("table") == table)
+            & in_force(F.col("effective_from"), F.col("effective_until"), instant)
+            & ~role_is_listed(F.col("masking.exempt_roles"), F.lit(role))
         )
-        .select("column", "band", "masking.method", "masking.exempt_roles")
-        .orderBy(F.col("band").asc())
+        .withColumn("covered", F.explode(covered))
+        .groupBy("covered")
+        .agg(F.min_by("masking.method", strength).alias("method"))
         .collect()
     )
-    return {r["column"]: r["method"] for r in rows if role not in (r["exempt_roles"] or [])}
+    return {r["covered"]: r["method"] for r in rows}
 
 
 def apply_masks(df, chosen, secret):

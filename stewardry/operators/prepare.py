@@ -23,13 +23,12 @@ SIGNATURE_FIELDS = (
 
 
 def signature(tool, role="role", fields=SIGNATURE_FIELDS):
-    """Identity of a call: nulls dropped, strings trimmed, keys sorted, tool and role added."""
-    pairs = [
-        F.concat(F.lit(f"{name}="), F.trim(F.col(f"`{name}`").cast("string"))) for name in fields
-    ]
-    return F.sha2(
-        F.concat_ws("|", F.lit(tool), *pairs, F.concat(F.lit("role="), F.trim(F.col(role)))), 256
-    )
+    """Identity of a call: strings trimmed, keys in one order, tool and role added.
+
+    Every part stands behind its length, so no value can pass for another field.
+    """
+    named = [F.trim(F.col(f"`{name}`").cast("string")) for name in (*fields, role)]
+    return stable_id(F.lit(tool), *named)
 
 
 def with_signature(requests, tool="authorize"):
@@ -100,8 +99,9 @@ def declared_state(meta, key="purpose_key"):
 
 
 def receipts(publication, sig, instant):
-    """Deterministic decision, authorization and validation ids."""
+    """Deterministic decision, authorization and validation ids, of the instant to the microsecond."""
+    at = F.date_format(instant, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return {
-        f"{kind}_id": stable_id(F.lit(kind), publication, sig, instant)
+        f"{kind}_id": stable_id(F.lit(kind), publication, sig, at)
         for kind in ("decision", "authorization", "validation")
     }

@@ -7,7 +7,7 @@ from stewardry.functions.expr import asset_path
 from stewardry.operators import audit, classify, compose, contract, decide, prepare, resolve
 from stewardry.plans.estate import div, pick
 from stewardry.plans.q_authorize import authorized, pairs, signed
-from stewardry.plans.registry import cte, query
+from stewardry.plans.registry import cte, query, receipt_sql
 from stewardry.session import materialize
 
 TBL = "db || '.' || sch || '.' || tbl"
@@ -66,14 +66,24 @@ def explained(w):
     return audit.explain_current(entries(w), w.rules().filter("policy NOT IN ('use guardrails', 'email masking')"))
 
 
+cte(
+    "receipts",
+    "SELECT *, " + ", ".join(f"{receipt_sql(k)} AS {k}_id" for k in audit.RECEIPT_KINDS) + " FROM signed",
+    "signed",
+)
+
+
 @query(
     "evidence_entries",
-    "SELECT request_id, asset, scenario, state, decision, reason_code, policy, policy_version, instruction_key, conditions, obligations, prohibitions FROM evidence",
-    ["evidence"],
+    """SELECT request_id, asset, scenario, state, decision, reason_code, policy, policy_version, instruction_key, conditions, obligations, prohibitions,
+    CASE WHEN state <> 'not_enough_published_state' THEN r.decision_id END AS decision_id
+    FROM evidence JOIN (SELECT request_id, decision_id FROM receipts) r USING (request_id)""",
+    ["evidence", "receipts"],
 )
 def evidence_entries(w):
     return entries(w).select(
         "request_id", "asset", "scenario", "state", "decision", "reason_code", "policy", "policy_version", "instruction_key",
+        "decision_id",
         F.concat_ws(",", "conditions").alias("conditions"), F.concat_ws(",", "obligations").alias("obligations"),
         F.col("prohibitions").cast("long").alias("prohibitions"),
     )
@@ -84,22 +94,8 @@ def explain_current(w):
     return explained(w).select("request_id", "state", "explanation_current")
 
 
-def _receipt(kind, sig="signature"):
-    return (
-        f"sha256(concat_ws('~', '{kind}', 'pub-1', {sig}, strftime(coalesce(as_of, requested_at), '%Y-%m-%d %H:%M:%S')))"
-    )
-
-
-cte(
-    "receipts",
-    "SELECT *, " + ", ".join(f"{_receipt(k)} AS {k}_id" for k in audit.RECEIPT_KINDS) + " FROM signed",
-    "signed",
-)
-
-
 def receipt_rows(w):
-    at = F.date_format(prepare.evaluation_instant(), "yyyy-MM-dd HH:mm:ss")
-    return signed(w).withColumns(prepare.receipts(F.lit("pub-1"), F.col("signature"), at))
+    return signed(w).withColumns(prepare.receipts(F.lit("pub-1"), F.col("signature"), prepare.evaluation_instant()))
 
 
 @query(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stewardry.functions.expr import purpose_category
 from stewardry.operators import compose, decide, prepare
 from stewardry.plans import estate
-from stewardry.plans.registry import clone, cte, query
+from stewardry.plans.registry import clone, cte, framed_sql, query, receipt_sql
 from stewardry.session import materialize
 
 
@@ -19,11 +19,9 @@ def dstamp(expr, alias):
 
 # --- request preparation -----------------------------------------------------------
 
-SIGNATURE = (
-    "sha256(concat_ws('|', 'authorize', 'as_of=' || strftime(as_of, '%Y-%m-%d %H:%M:%S'), 'column=' || col, "
-    "'consumer_jurisdiction=' || consumer_jurisdiction, 'database=' || db, 'dest_jurisdiction=' || dest_jurisdiction, "
-    "'dest_system=' || dest_system, 'operation=' || operation, 'purpose=' || purpose, 'scenario=' || scenario, "
-    "'schema=' || sch, 'table=' || tbl, 'role=' || role))"
+SIGNATURE = framed_sql(
+    "'authorize'", "strftime(as_of, '%Y-%m-%d %H:%M:%S')", "col", "consumer_jurisdiction", "db", "dest_jurisdiction",
+    "dest_system", "operation", "purpose", "scenario", "sch", "tbl", "role",
 )
 cte("signed", f"SELECT *, {SIGNATURE} AS signature FROM requests", "requests")
 # The cases on record: every signature first seen in the first half of the month.
@@ -461,21 +459,12 @@ def next_action(w):
     )
 
 
-def _receipt(kind):
-    return (
-        f"sha256(concat_ws('~', '{kind}', 'pub-1', signature, "
-        "strftime(coalesce(as_of, requested_at), '%Y-%m-%d %H:%M:%S')))"
-    )
-
-
 @query(
     "mint_receipts",
-    "SELECT request_id, " + ", ".join(f"{_receipt(k)} AS {k}_id" for k in ("decision", "authorization", "validation"))
+    "SELECT request_id, " + ", ".join(f"{receipt_sql(k)} AS {k}_id" for k in ("decision", "authorization", "validation"))
     + " FROM signed",
     ["signed"],
 )
 def mint_receipts(w):
-    ids = prepare.receipts(
-        F.lit("pub-1"), F.col("signature"), F.date_format(prepare.evaluation_instant(), "yyyy-MM-dd HH:mm:ss")
-    )
+    ids = prepare.receipts(F.lit("pub-1"), F.col("signature"), prepare.evaluation_instant())
     return signed(w).select("request_id", *[c.alias(n) for n, c in ids.items()])

@@ -104,7 +104,7 @@ def apply_masks(w):
     rules = w.rules()
 
     def masked(df, asset):
-        return enforce.apply_masks(df, enforce.mask_map(rules, asset, "marketing"), SECRET)
+        return enforce.apply_masks(df, enforce.mask_map(rules, asset, "marketing", df.columns), SECRET)
 
     usage = w.table("events").select("event_id", F.concat(F.lit("dev-"), F.col("user_id").cast("string")).alias("device_id"))
     tickets = w.table("documents").select("doc_id", F.col("text").alias("ticket_text"))

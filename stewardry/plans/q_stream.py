@@ -32,12 +32,12 @@ def stream_decide(w):
     )
 
 
-@query("stream_dedup_receipts", "SELECT DISTINCT signature FROM signed", ["signed"])
+@query("stream_dedup_receipts", "SELECT DISTINCT signature, actor FROM signed", ["signed"])
 def stream_dedup_receipts(w):
     path = scratch_dir(w.spark, "stream-receipts")
     # the delay covers the whole log, so a retry is recognised however the log is cut into batches
-    kept = streams.dedup_receipts(requests(w), delay="40 days").select("signature")
-    return collected(w, kept.writeStream.foreachBatch(streams.batch_writer(path)), path, "dedup").select("signature")
+    kept = streams.dedup_receipts(requests(w), delay="40 days").select("signature", "actor")
+    return collected(w, kept.writeStream.foreachBatch(streams.batch_writer(path)), path, "dedup").select("signature", "actor")
 
 
 @query(

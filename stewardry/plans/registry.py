@@ -50,6 +50,16 @@ def clone(prefix, renamed, start, text, *needs):
         CTES.add(prefix + name, tuple(prefix + n if n in names else n for n in needed), body)
 
 
+def framed_sql(*parts):
+    """Checking SQL of ``expr.stable_id`` over text expressions."""
+    return "sha256(" + " || ".join(f"coalesce(length({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+
+def receipt_sql(kind, signature="signature"):
+    at = "strftime(coalesce(as_of, requested_at), '%Y-%m-%d %H:%M:%S.%f')"
+    return framed_sql(f"'{kind}'", "'pub-1'", signature, at)
+
+
 def values(rows, columns):
     body = ",\n".join("(" + ", ".join(estate.literal(v) for v in row) + ")" for row in rows)
     return f"SELECT * FROM (VALUES {body}) AS v({', '.join(columns)})"

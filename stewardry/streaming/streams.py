@@ -67,11 +67,14 @@ def decide_stream(requests, load_rules, path):
 
 
 def dedup_receipts(requests, delay="10 minutes"):
-    """Retried calls mint one receipt while the retry arrives within the delay."""
+    """Retried calls of one caller mint one receipt while the retry arrives within the delay.
+
+    The signature holds the question and its declared instant; other callers with the same question keep theirs.
+    """
     return (
         event_time(with_signature(requests), "requested_at")
         .withWatermark("requested_at", delay)
-        .dropDuplicatesWithinWatermark(["signature"])
+        .dropDuplicatesWithinWatermark(["signature", "actor"])
     )
 
 

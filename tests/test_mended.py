@@ -4,7 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stewardry.operators import contract, enforce, exceptions, resolve
+from stewardry.operators import compose, contract, enforce, exceptions, prepare, resolve
+from stewardry.plans.workload import Workload
+from tests.harness import DATA as FOLDER
 
 
 def test_validity_reads_offsets_and_dates(spark):
@@ -61,3 +63,49 @@ def test_ids_inside_longer_runs_stay(spark):
     df = spark.createDataFrame([(f"a {one} b", f"ff{one}ff")], "plain string, inside string")
     found = df.select(*[F.size(F.regexp_extract_all(c, F.lit(f"({contract.UUID})"))).alias(c) for c in df.columns]).first()
     assert tuple(found) == (1, 0)
+
+
+def test_no_value_passes_for_another_field(spark):
+    fields = ", ".join(f"`{f}` string" for f in prepare.SIGNATURE_FIELDS) + ", role string"
+    blank = dict.fromkeys((*prepare.SIGNATURE_FIELDS, "role"))
+    rows = [blank | {"purpose": "x|role=y"}, blank | {"purpose": "x", "role": "y"}, blank | {"purpose": "x", "scenario": "y"}, blank]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], fields)
+    assert prepare.with_signature(df).select("signature").distinct().count() == len(rows)
+
+
+def test_issued_ids_are_the_receipts(spark):
+    w = Workload(spark, FOLDER)
+    issued = compose.authorize(w.requests(), w.rules(), "pub-1").select("request_id", "authorization_id")
+    ids = prepare.receipts(F.lit("pub-1"), F.col("signature"), prepare.evaluation_instant())
+    minted = prepare.with_signature(w.requests()).select("request_id", ids["authorization_id"].alias("authorization_id"))
+    assert issued.exceptAll(minted).count() == 0 == minted.exceptAll(issued).count()
+
+
+def test_null_and_repeated_ids_decide_alike_beyond_the_limit(spark):
+    w = Workload(spark, FOLDER)
+    some = F.when(F.col("request_id") % 2 == 0, F.col("request_id") % 7)
+    asked = w.requests().withColumn("request_id", some)
+    small = compose.decide_in_place(asked, w.rules())
+    large = compose.decide_in_place(asked, w.rules(), limit=3)
+    assert small.columns == large.columns
+    assert small.count() == asked.count()
+    assert small.exceptAll(large).count() == 0 == large.exceptAll(small).count()
+
+
+def test_masks_follow_the_decision(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [
+        (1, "p", 3, "email", None, None, ("partial", None)),
+        (2, "q", 2, "email", None, None, ("redact", None)),
+        (3, "r", 3, "phone", None, day, ("redact", None)),
+        (4, "s", 1, None, None, None, ("partial", ["auditor"])),
+    ]
+    rules = spark.createDataFrame(
+        rows, "rule_id long, policy string, band int, column string, effective_from timestamp_ntz, "
+        "effective_until timestamp_ntz, masking struct<method:string,exempt_roles:array<string>>",
+    ).selectExpr("*", "'masking' AS family", "'d' AS database", "'s' AS schema", "'t' AS table")
+    columns = ["email", "phone", "id"]
+    later = dt.datetime(2024, 6, 1)
+    assert enforce.mask_map(rules, "d.s.t", "x", columns, later) == {"email": "redact", "phone": "partial", "id": "partial"}
+    assert enforce.mask_map(rules, "d.s.t", "auditor", columns, later) == {"email": "redact"}
+    assert enforce.mask_map(rules, "d.s.t", "auditor", columns, dt.datetime(2023, 6, 1)) == {"email": "redact", "phone": "redact"}
