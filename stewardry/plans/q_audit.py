@@ -563,7 +563,7 @@ _UUID = (
 )
 NOTES = f"""
 SELECT event_id, user_id, 'actor ' || {_UUID.format(k='user_id')} || ' did ' || event_type ||
-  CASE WHEN event_id % 4 = 0 THEN ' for ' || {_UUID.format(k='event_id % 500 + 100000')} ELSE '' END AS note
+  CASE WHEN event_id % 4 = 0 THEN ' for ' || {_UUID.format(k='event_id - event_id % 8 + 100000')} ELSE '' END AS note
 FROM {{events}}
 """
 cte("notes", NOTES)
@@ -573,7 +573,7 @@ cte(
 SELECT k, printf('00000000-0000-4000-8000-%012d', row_number() OVER (ORDER BY e, pos)) AS canonical FROM (
   SELECT k, min(struct_pack(e := event_id, pos := pos)).e AS e, min(struct_pack(e := event_id, pos := pos)).pos AS pos FROM (
     SELECT event_id, 0 AS pos, user_id AS k FROM notes UNION ALL
-    SELECT event_id, 1, event_id % 500 + 100000 FROM notes WHERE event_id % 4 = 0) GROUP BY 1)
+    SELECT event_id, 1, event_id - event_id % 8 + 100000 FROM notes WHERE event_id % 4 = 0) GROUP BY 1)
 """,
     "notes",
 )
@@ -582,8 +582,8 @@ SELECT k, printf('00000000-0000-4000-8000-%012d', row_number() OVER (ORDER BY e,
 @query(
     "canonicalise_ids",
     f"""SELECT event_id, replace(replace(note, {_UUID.format(k='user_id')}, a.canonical),
-      CASE WHEN event_id % 4 = 0 THEN {_UUID.format(k='event_id % 500 + 100000')} ELSE 'none' END, coalesce(b.canonical, '')) AS note
-    FROM notes n JOIN first_ids a ON a.k = n.user_id LEFT JOIN first_ids b ON b.k = n.event_id % 500 + 100000 AND n.event_id % 4 = 0""",
+      CASE WHEN event_id % 4 = 0 THEN {_UUID.format(k='event_id - event_id % 8 + 100000')} ELSE 'none' END, coalesce(b.canonical, '')) AS note
+    FROM notes n JOIN first_ids a ON a.k = n.user_id LEFT JOIN first_ids b ON b.k = n.event_id - event_id % 8 + 100000 AND n.event_id % 4 = 0""",
     ["notes", "first_ids"],
 )
 def canonicalise_ids(w):

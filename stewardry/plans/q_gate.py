@@ -416,9 +416,9 @@ def changed_by_upstream(w):
 
 
 FILES = """
-SELECT CASE WHEN o_orderkey % 3 = 0 THEN '  models/m' || CAST(o_orderkey % 3000 AS VARCHAR(20)) || '.yml '
-  WHEN o_orderkey % 3 = 1 THEN 'exposures/e' || CAST(o_orderkey % 3000 AS VARCHAR(20)) || '.yml' ELSE '  ' END AS line
-FROM {orders} WHERE o_orderstatus = 'F'
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN '  models/m' || CAST(o_orderkey AS VARCHAR(20)) || '.yml '
+  WHEN o_orderkey % 3 = 1 THEN 'exposures/e' || CAST(o_orderkey AS VARCHAR(20)) || '.yml' ELSE '  ' END AS line
+FROM {orders}
 """
 cte("file_lines", FILES)
 cte("files", "SELECT DISTINCT trim(line) AS path FROM file_lines WHERE trim(line) <> ''", "file_lines")
