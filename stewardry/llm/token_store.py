@@ -1,6 +1,7 @@
 """Token ids in binary shards: every document compressed alone against one shared dictionary."""
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -9,12 +10,13 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stewardry.llm.common import bound_batches, shuffle_tasks, slices, split_words
+from stewardry.llm.common import bound_batches, shuffle_tasks, slices
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -25,8 +27,8 @@ END_ID = 1
 # The dictionary learns from this many documents at most, and from this many ids of each.
 # It only changes the size of the files, never what is read from them.
 SAMPLE_DOCS, SAMPLE_IDS = 512, 4_096
-# Words of a worker's two memos: words as they stand, and their parts; each is emptied when full.
-WHOLE_WORDS, PART_WORDS = 300_000, 600_000
+# Words of a generation of a worker's two memos: words as they stand, and their parts.
+WHOLE_WORDS, PART_WORDS = 400_000, 400_000
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 
@@ -37,52 +39,91 @@ def _load(path):
     return Tokenizer.from_file(path)
 
 
+class Recent:
+    """A bounded memo. Past its limit it starts anew and keeps one older generation, whose entries come back with use."""
+
+    def __init__(self, limit, make):
+        self.limit, self.make, self.now, self.older = limit, make, {}, {}
+
+    def all(self, keys):
+        """The values of distinct keys in their order; ``make`` gives those of a list of unknown keys."""
+        if len(self.now) > self.limit:
+            self.now, self.older = {}, self.now
+        found = list(map(self.now.get, keys))
+        gaps = [k for k, value in enumerate(found) if value is None]
+        unknown = []
+        for k in gaps:
+            found[k] = self.older.get(keys[k])
+            if found[k] is None:
+                unknown.append(k)
+        for k, value in zip(unknown, self.make([keys[k] for k in unknown])):
+            found[k] = value
+        self.now.update((keys[k], found[k]) for k in gaps)
+        return found
+
+
 class WordIds:
     """Ids of texts, word by word through the tokenizer, each distinct word once per worker.
 
     Right for tokenizers that never join across ASCII white space and drop it, fold case, and never
-    join a letter to a following full stop, comma, colon, semicolon, exclamation or question mark. Words
-    are then looked up in lower case and apart from such an ending, and plain lower-case words go
-    straight to the tokenizer's model, which its other steps would hand them to unchanged.
+    join a letter to following ASCII punctuation. Words of Latin letters (ASCII and Latin-1, all
+    composed) are then looked up in lower case and apart from their ending, and go straight
+    to the tokenizer's model in its own byte letters; its other steps would hand them over the same way.
     """
 
     def __init__(self, path):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = _load(path)
-        self.whole, self.parts = {}, {}
+        self.words, self.parts = Recent(WHOLE_WORDS, self._of_words), Recent(PART_WORDS, self._of_parts)
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100) if chr(c).isalpha()}
+
+    def _of_parts(self, parts):
+        model, found, others = self.tokenizer.model.tokenize, {}, []
+        for part in parts:
+            if part.isascii() and part.isalpha():
+                found[part] = [token.id for token in model(part)]
+            elif _PLAIN.fullmatch(part):
+                found[part] = [token.id for token in model(part.translate(self.letters))]
+            else:
+                others.append(part)
+        coded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        found.update((part, one.ids) for part, one in zip(others, coded))
+        return [struct.pack(f"<{len(found[part])}I", *found[part]) for part in parts]
+
+    def _of_words(self, words):
+        cut = [_cut(w) for w in words]
+        parts = list({part for pair in cut for part in pair})
+        ids = dict(zip(parts, self.parts.all(parts)))
+        return [ids[core] + ids[end] for core, end in cut]
 
     def encode_all(self, texts):
-        """The ids of each text, little-endian unsigned 32-bit, as bytes."""
-        words = [split_words(t.encode()) if t else [] for t in texts]
-        seen = set().union(*words) if words else set()
-        new = seen - self.whole.keys()
-        if len(self.whole) + len(new) > WHOLE_WORDS:
-            self.whole, new = {}, seen
-        cut = {w: _cut(w) for w in new}
-        missing = {p for pair in cut.values() for p in pair} - self.parts.keys()
-        if len(self.parts) + len(missing) > PART_WORDS:
-            self.parts = {}
-            missing = {p for pair in cut.values() for p in pair}
-        model = self.tokenizer.model.tokenize
-        plain = {p for p in missing if p.isascii() and p.isalpha() and p.islower()}
-        for part in plain:
-            self.parts[part] = np.array([token.id for token in model(part.decode())], "<u4").tobytes()
-        missing = list(missing - plain)
-        for part, found in zip(missing, self.tokenizer.encode_batch_fast([m.decode() for m in missing], add_special_tokens=False)):
-            self.parts[part] = np.array(found.ids, "<u4").tobytes()
-        parts = self.parts
-        for w, (core, end) in cut.items():
-            self.whole[w] = parts[core] + parts[end] if end else parts[core]
-        look = self.whole.__getitem__
-        return [b"".join(map(look, ws)) for ws in words]
+        """The ids of each text of an Arrow column, as arrays of little-endian unsigned 32-bit integers; null is empty."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        ids = self.words.all(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(ids), "<u4")
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        flat = ids[np.repeat(starts[at] - ends[:-1], n) + np.arange(ends[-1])]
+        bounds = ends[words.offsets.to_numpy()]
+        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+# Composed Latin letters and an ending of ASCII punctuation; without "<", which may open a special token.
+_LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:;=-@\[-`{-~]*)")
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 def _cut(word):
-    """A word in lower case (where that is plain) and its ending, which may be empty."""
-    if word.isascii() and b"<" not in word:
-        word = word.lower()
-    core = word.rstrip(b".,:;!?")
-    return (core, word[len(core) :]) if core[-1:].isalpha() else (word, b"")
+    """A word of Latin letters in lower case and its ending, which may be empty; any other word as it is."""
+    if word.isascii() and word.isalpha():
+        return word.lower(), ""
+    match = _LATIN.fullmatch(word)
+    return (match[1].lower(), match[2]) if match else (word, "")
 
 
 _encoders = {}
@@ -104,7 +145,7 @@ def train_dictionary(docs, tokenizer_path, text="text", doc_id="doc_id"):
         tool = encoder(tokenizer_path)
         for b in slices(batches, 1):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[: 4 * SAMPLE_IDS] for x in tool.encode_all(b.column(1).to_pylist())], pa.binary())], names=["ids"]
+                [pa.array([x[:SAMPLE_IDS].tobytes() for x in tool.encode_all(b.column(1))], pa.binary())], names=["ids"]
             )
 
     samples = sorted(bytes(r[0]) for r in texts.mapInArrow(code, "ids binary").limit(2 * SAMPLE_DOCS).collect())
@@ -205,11 +246,11 @@ def write_tokens(docs, tokenizer_path, folder, dictionary, end_id=END_ID, text="
         tool, shard, path = encoder(tokenizer_path), None, None
         tokens = 0
         for b in slices(batches, 1):
-            for i, ids in zip(b.column(0).to_pylist(), tool.encode_all(b.column(1).to_pylist())):
+            for i, ids in zip(b.column(0).to_pylist(), tool.encode_all(b.column(1))):
                 if shard is None:
                     path = new_file(folder, "ids")
                     shard = ShardWriter(path, dictionary)
-                data = ids + end
+                data = ids.tobytes() + end
                 shard.add(i, data)
                 tokens += len(data) // 4
         if shard is not None:
