@@ -33,26 +33,34 @@ def mix(x):
 
 
 class Memo(dict):
-    """A bounded memo of a function of one argument, kept until its Python worker uses another one."""
+    """A bounded memo of a function of one argument, kept until its Python worker uses another one.
+
+    When full it is emptied; with ``keep`` one older generation stays, whose entries come back with use.
+    """
 
     _used = None
 
-    def __init__(self, function, limit=CACHE_WORDS):
+    def __init__(self, function, limit=CACHE_WORDS, keep=False):
         super().__init__()
-        self.function, self.limit = function, limit
+        self.function, self.limit, self.keep, self.older = function, limit, keep, {}
 
     def all(self, keys):
         """The values of many keys; only the memo used last holds any, so that memos don't add up in a worker."""
         if Memo._used is not self:
             if Memo._used is not None:
                 Memo._used.clear()
+                Memo._used.older = {}
             Memo._used = self
         return map(self.__getitem__, keys)
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.older = dict(self) if self.keep else {}
             self.clear()
-        value = self[key] = self.function(key)
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.function(key)
+        self[key] = value
         return value
 
 

@@ -119,7 +119,7 @@ class Segmenter:
     def __init__(self, pieces):
         self.pieces = pieces
         self.base, self.check, self.leaf = (x.tolist() for x in (pieces.base, pieces.check, pieces.leaf))
-        self.units = Memo(self._unit)
+        self.units = Memo(self._unit, keep=True)
         self._spell = pieces.spelling
 
     def viterbi(self, data):
