@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from stewardry.llm import pieces, token_store
@@ -119,3 +120,21 @@ def test_double_array():
 
     assert [find(k) for k in keys] == list(range(len(keys)))
     assert find(b"\x00\x01\x02\x03\x04") == -1
+
+
+def test_ids_of_odd_words_equal_the_tokenizer():
+    texts = [
+        None, "", "  a  b ", "\x0b\x0c\t\r\n", "\x1fa\x1c b", "foo's bar'S don't'' it'll, x'", "word.'s a'sb !'s 's",
+        "a<|endoftext|>b <|startoftext|>. foo<|endoftext|>!", "ÀÉß ÿ÷× Ångstrom éa̸. ≠ ªº µ", "İI ΣΑΣ. ς ﬁ x​.",
+        "x`~^_{|}@[]\\ café'll É'S ŒUVRE", "a b a\u0085c éé", "Ciónm### sur.***, 4.5,6",
+    ]
+    tool = token_store.WordIds(WORDS)
+    expected = [tool.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [ids.tolist() for ids in tool.encode_all(pa.array(texts, pa.string()))] == expected
+
+
+def test_a_full_memo_forgets_nothing_it_returns():
+    memo = token_store.Recent(3, lambda keys: [k.upper().encode() for k in keys])
+    for keys in (["a", "b"], ["c", "d", "e"], ["a", "f"], ["e", "a", "g"], []):
+        assert memo.all(keys) == [k.upper().encode() for k in keys]
