@@ -5,7 +5,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import Memo, binary, bound_batches, slices, split_words
+from stewardry.llm.common import Memo, binary, bound_batches, few_rows, slices, split_words
 from stewardry.session import materialize
 
 # Labelled documents the classifier is fitted on at most, half of them toxic where there are
@@ -16,6 +16,9 @@ WIDTHS, FILTERS = (1, 2, 3), 8
 # Batches of one fit, however many documents the sample holds.
 STEPS, BATCH, RATE = 900, 64, 0.08
 THRESHOLD = 0.3
+# Scores lie between the logits -LOGIT_BOUND and LOGIT_BOUND; they are counted in bins of equal width there.
+LOGIT_BOUND, BINS_PER_LOGIT = 30, 50
+BINS = 2 * LOGIT_BOUND * BINS_PER_LOGIT
 # Words a scoring step holds at once; longer documents run through in pieces.
 STEP_WORDS = 200_000
 
@@ -113,7 +116,7 @@ class TextCnn:
                 pooled[part] = self.features([docs[k] for k in part])
                 part, held = [], 0
         z = np.maximum(pooled, 0) @ self.out + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
+        return 1 / (1 + np.exp(-np.clip(z, -LOGIT_BOUND, LOGIT_BOUND).astype(np.float64)))
 
     def _start_from_counts(self, docs, labels):
         """Sets the first coordinate of a bucket from how often toxic and other documents hold it.
@@ -186,17 +189,15 @@ class TextCnn:
         return self
 
 
-def _best_threshold(scores, labels):
-    """The cut with the largest F1, halfway between neighbouring scores; None without both labels."""
-    order = np.argsort(-scores, kind="stable")
-    hits = np.cumsum(labels[order])
-    if not len(hits) or hits[-1] in (0, len(labels)):
+def _best_threshold(counts):
+    """The cut with the largest F1 of ``counts`` (2 x BINS, per label), halfway between the bins that hold any; None without both labels."""
+    held = np.flatnonzero(counts.sum(axis=0))[::-1]
+    if not counts[0].any() or not counts[1].any():
         return None
-    f1 = 2 * hits / (np.arange(1, len(hits) + 1) + hits[-1])
-    f1[:-1][scores[order][1:] == scores[order][:-1]] = -1
-    k = int(np.argmax(f1))
-    below = scores[order][k + 1] if k + 1 < len(order) else 0.0
-    return float((scores[order][k] + below) / 2)
+    hits, taken = np.cumsum(counts[1, held]), np.cumsum(counts[:, held].sum(axis=0))
+    k = int(np.argmax(2 * hits / (taken + hits[-1])))
+    below = held[k + 1] + 1 if k + 1 < len(held) else 0
+    return float(1 / (1 + np.exp(LOGIT_BOUND - (held[k] + below) / 2 / BINS_PER_LOGIT)))
 
 
 class ToxicityModel:
@@ -213,13 +214,12 @@ def held_out(doc_id="doc_id"):
 
 
 def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
-    """Fit on at most ``sample_docs`` labelled documents outside the held-out quarter.
+    """Fit on at most ``sample_docs`` labelled documents outside the held-out quarter; calibrate on all others.
 
     Ids are drawn by a hash within each label before any text is read, so the driver gets a bounded number
-    of documents, as hashed words. One fifth of them is kept from the fit and calibrates
-    the thresholds per language; a language with fewer than 20 toxic ones there
-    gets the common threshold. Rows with a null id, text or label are not learnt from; of
-    several labels of one id the largest counts.
+    of documents, as hashed words. One fifth of them is kept from the fit; it and all labelled documents that
+    were not drawn calibrate the thresholds per language (:func:`calibrate`). Rows with a null id, text or
+    label are not learnt from; of several labels of one id the largest counts.
     """
     ids = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -240,12 +240,12 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
         for b in slices(batches, 1):
             coded = [word_buckets(t).tobytes() for t in binary(b.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(coded, pa.binary()), b.column(2), b.column(3)], names=["doc_id", "words", "lang", "toxic"]
+                [b.column(0), pa.array(coded, pa.binary()), b.column(2)], names=["doc_id", "words", "toxic"]
             )
 
     id_type = dict(docs.dtypes)["doc_id"]
-    texts = docs.where("text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    rows = texts.join(F.broadcast(drawn), "doc_id").mapInArrow(hashed, f"doc_id {id_type}, words binary, lang string, toxic int")
+    texts = docs.where("text is not null").select("doc_id", "text")
+    rows = texts.join(F.broadcast(drawn), "doc_id").mapInArrow(hashed, f"doc_id {id_type}, words binary, toxic int")
     rows = sorted(rows.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), bytes(r["words"])))
     words = [np.frombuffer(r["words"], np.int64) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], np.int64)
@@ -257,14 +257,45 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
     # the sample holds more toxic documents than the labels do: back to the odds of the labels
     n_toxic = int(toxic.sum())
     net.bias += np.float32(np.log(sizes[1] / sizes[0]) - np.log(n_toxic / (len(toxic) - n_toxic)))
-    scores, truth = net.scores(words[cut:]), toxic[cut:]
-    langs = np.array([r["lang"] or "" for r in rows[cut:]])
-    default = _best_threshold(scores, truth) or THRESHOLD
-    thresholds = {}
-    for lang in set(langs.tolist()):
-        at = langs == lang
-        if truth[at].sum() >= 20:
-            thresholds[lang] = _best_threshold(scores[at], truth[at]) or default
+    fitted = docs.sparkSession.createDataFrame([(i,) for i in {r["doc_id"] for r in rows[:cut]}], f"doc_id {id_type}")
+    return calibrate(docs, ids, fitted, net)
+
+
+def calibrate(docs, ids, fitted, net):
+    """Thresholds from all of ``ids`` (doc_id, toxic) that are not ``fitted``, scored where their texts are.
+
+    Only counts per language, label and bin of the score come to the driver. The fit took more
+    of one label than of the other, so both are weighed back to their share among all ids of the
+    language. A language with fewer than 20 toxic ids there gets the common threshold. Of several
+    documents of one id that with the least text hash counts.
+    """
+    texts = docs.where(F.col("text").isNotNull() & ~held_out())
+    texts = few_rows(texts.select("doc_id", "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")), ids, ["doc_id"])
+    scored = score_toxicity(texts, ToxicityModel(net, {}), output="score")
+    # text alone decides the score, so a copy is only told apart by its language
+    scored = scored.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "lang", "score")).alias("r"))
+    unseen = ids.join(F.broadcast(fitted.select("doc_id", F.lit(False).alias("unseen"))), "doc_id", "left")
+    told = scored.join(unseen.withColumn("unseen", F.coalesce("unseen", F.lit(True))), "doc_id")
+    logit = F.log(F.col("r.score") / (1 - F.col("r.score")))
+    bin_ = F.least(F.greatest(F.floor((logit + LOGIT_BOUND) * BINS_PER_LOGIT), F.lit(0)), F.lit(BINS - 1))
+    counts = told.groupBy(F.col("r.lang").alias("lang"), "toxic", F.when(F.col("unseen"), bin_).cast("int").alias("bin"))
+    counts = materialize(counts.agg(F.count("*").alias("n")), "toxic-counts")
+    many = counts.where("toxic = 1 and bin is not null").groupBy("lang").agg(F.sum("n").alias("n")).where("n >= 20")
+
+    def weighed(rows):
+        found, whole = np.zeros((2, BINS)), np.zeros(2)
+        for r in rows:
+            whole[r["toxic"]] += r["n"]
+            if r["bin"] is not None:
+                found[r["toxic"], r["bin"]] += r["n"]
+        return found * (whole / np.maximum(found.sum(axis=1), 1))[:, None]
+
+    common = counts.groupBy("toxic", "bin").agg(F.sum("n").alias("n")).collect()
+    default = _best_threshold(weighed(common)) or THRESHOLD
+    of_lang = {}
+    for r in counts.join(F.broadcast(many.select("lang")), "lang", "left_semi").collect():
+        of_lang.setdefault(r["lang"], []).append(r)
+    thresholds = {lang: _best_threshold(weighed(rows)) or default for lang, rows in of_lang.items()}
     return ToxicityModel(net, thresholds, default)
 
 

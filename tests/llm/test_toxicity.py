@@ -63,3 +63,44 @@ def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(tx, "STEP_WORDS", 7)
     assert np.allclose(net.scores(docs), whole, rtol=1e-5)
     assert len(whole) == 5
+
+
+def test_thresholds_at_the_labels_own_prevalence(spark):
+    """A tenth is toxic: all with "vile", a quarter of those with "rude". Taking "rude" only pays where half is toxic."""
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(6000):
+        word, toxic = ("vile", 1) if i % 20 == 0 else ("rude", int(i % 20 == 1)) if i % 20 < 5 else ("fine", 0)
+        rows.append((i, " ".join(rnd.choices(words, k=20) + [word]), ("en", "de")[i // 20 % 2], word, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, word string, toxic int")
+    for sample in (300, 6000):
+        model = tx.fit_toxicity(docs.drop("toxic"), docs.select("doc_id", "toxic"), sample_docs=sample)
+        assert set(model.thresholds) == {"en", "de"}
+        scored = tx.score_toxicity(docs, model)
+        cut = tx.toxic_by_language(F.col("score"), F.col("lang"), model).cast("int")
+        flagged = {r["word"]: r["f"] for r in scored.groupBy("word").agg(F.avg(cut).alias("f")).collect()}
+        assert flagged["vile"] > 0.9 and flagged["rude"] < 0.3 and flagged["fine"] < 0.05, (sample, flagged)
+
+
+def test_every_unfitted_label_calibrates(spark, docs_of):
+    """Counts of all ids that were not fitted, weighed back to all ids; repeated documents count once."""
+    net = tx.TextCnn()
+    net.bias = np.float32(0)
+    docs = docs_of([(i, "w" if i % 10 else "scum") for i in range(1000)] + [(7, "w")] * 500)
+    ids = spark.range(1000).where(~tx.held_out("id")).select(F.col("id").alias("doc_id"), (F.col("id") % 10 == 0).cast("int").alias("toxic"))
+    seen = []
+
+    class Spy:
+        def __call__(self, counts):
+            seen.append(counts.sum(axis=1))
+            return 0.4
+
+    before, tx._best_threshold = tx._best_threshold, Spy()
+    try:
+        model = tx.calibrate(docs, ids, ids.where("doc_id % 20 = 0"), net)
+    finally:
+        tx._best_threshold = before
+    sizes = [ids.where(f"toxic = {k}").count() for k in (0, 1)]
+    assert model.default == 0.4 and set(model.thresholds) == {"en"}
+    assert all(np.allclose(s, sizes) for s in seen) and len(seen) == 2
