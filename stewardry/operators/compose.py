@@ -159,6 +159,33 @@ def authorize(requests, rules, publication_id="current", limit=decide.BROADCAST_
     )
 
 
+def authorize_rows(requests, rules, publication_id="current", limit=decide.BROADCAST_ROWS):
+    """Full answers as two tables, whatever the size of the rules or of a scope: (answers, cited).
+
+    ``answers`` has one row per request with the columns of :func:`authorize` that hold no list.
+    ``cited`` has one row per rule in force that speaks, in the cited order (``rank``), with the
+    conditions and obligations of that rule; prohibitions are its rows with decision ``deny``.
+    ``row_id`` ties them, so null and repeated request ids stay apart. Equal in content to the arrays.
+    """
+    asked = prepared(requests).withColumn("row_id", F.monotonically_increasing_id())
+    asked = materialize(asked, "asked")
+    pairs = decide.decided_pairs(asked, rules, "left", limit, spread_by="row_id")
+    ids = receipts(F.lit(publication_id), F.col("signature"), F.col("instant"))
+    answers = (
+        asked.join(compose_pairs(pairs, "row_id"), "row_id")
+        .withColumn("can_proceed_now", F.coalesce(F.col("decision") == "allow", F.lit(False)))
+        .withColumn("next_action", next_action())
+        .withColumn("publication_id", F.lit(publication_id))
+        .withColumn("signature", signature("authorize"))
+        .withColumn("decision_id", F.when(F.col("n_live") > 0, ids["decision_id"]))
+        .withColumn("authorization_id", ids["authorization_id"])
+    )
+    said = {"rule": F.col("rule"), "decision": F.col("decision")}
+    cited = pairs.filter("decision IS NOT NULL").select("row_id", "request_id", _cited(said, decide.context()).alias("c"))
+    rank = F.row_number().over(Window.partitionBy("row_id").orderBy("c"))
+    return answers, cited.withColumn("rank", rank).select("row_id", "request_id", "rank", "c.*")
+
+
 def next_action():
     return F.coalesce(
         lookup(F.col("reason_code"), NEXT_BY_REASON), lookup(F.col("decision"), NEXT_ACTIONS)

@@ -4,11 +4,12 @@ Input is one row per query and table reference: the columns it names, whether it
 is a star, the declared intent and the time bounds the query states.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from stewardry.functions.expr import purpose_category, severity
 from stewardry.functions.scale import BROADCAST_ROWS, fits, reference_join, salted_join
 from stewardry.operators import decide
+from stewardry.session import materialize
 
 TABLE = ["database", "schema", "table"]
 # Recorded guard routes per verdict.
@@ -78,6 +79,20 @@ def _packed(rules):
 NO_INTENT = ""
 
 
+def _by_intent(packed):
+    """Table rules, once per intent that meets them."""
+    intents = F.array_compact(
+        F.array(F.col("rule.scenario"), F.when(F.col("rule.family") == "role_grant", F.lit(NO_INTENT)))
+    )
+    return packed.filter("rule.column IS NULL").withColumn("intent", F.explode(intents))
+
+
+def _prepared(refs):
+    return refs.withColumn("instant", F.coalesce("as_of", "requested_at")).withColumn(
+        "purpose_category", purpose_category(F.col("purpose"))
+    )
+
+
 def _meet_rules(refs, rules, limit):
     """References with the column rules of their table and the table rules of their intent.
 
@@ -87,12 +102,8 @@ def _meet_rules(refs, rules, limit):
     packed = _packed(rules)
     column = F.when(F.col("rule.column").isNotNull(), F.col("rule"))
     per_table = packed.groupBy(*TABLE).agg(F.collect_list(column).alias("column_rules"), F.lit(True).alias("governed"))
-    intents = F.array_compact(
-        F.array(F.col("rule.scenario"), F.when(F.col("rule.family") == "role_grant", F.lit(NO_INTENT)))
-    )
     per_intent = (
-        packed.filter("rule.column IS NULL")
-        .withColumn("intent", F.explode(intents))
+        _by_intent(packed)
         .groupBy(*TABLE, "intent")
         .agg(F.collect_list("rule").alias("intent_rules"))
     )
@@ -116,10 +127,7 @@ def _meet_rules(refs, rules, limit):
 
 def findings(refs, rules, limit=BROADCAST_ROWS):
     """One finding per reference: participating rules in cited order, evaluated in place."""
-    prepared = refs.withColumn("instant", F.coalesce("as_of", "requested_at")).withColumn(
-        "purpose_category", purpose_category(F.col("purpose"))
-    )
-    joined = _meet_rules(prepared, rules, limit)
+    joined = _meet_rules(_prepared(refs), rules, limit)
     q = context()
     named = F.filter(
         "column_rules", lambda r: decide.effective(r, q["instant"]) & F.array_contains(q["columns"], r["column"])
@@ -127,23 +135,6 @@ def findings(refs, rules, limit=BROADCAST_ROWS):
     meant = F.filter("intent_rules", lambda r: decide.effective(r, q["instant"]))
     live = F.concat(named, meant)
 
-    def cited(said):
-        r, decided = said["rule"], said["decision"]
-        return F.struct(
-            r["column"].isNull().cast("int").alias("table_grain"),
-            (-r["band"]).alias("band_rank"),
-            (-r["weight"]).alias("weight_rank"),
-            severity(decided).alias("severity"),
-            r["policy"].alias("policy"),
-            r["rule_id"].alias("rule_id"),
-            r["version"].alias("version"),
-            r["instruction_key"].alias("instruction_key"),
-            r["scenario"].alias("scenario"),
-            r["column"].alias("column"),
-            decided.alias("decision"),
-            reason(r, decided).alias("reason"),
-        )
-
     return (
         joined.withColumn("judged", decide.judged(live, q))
         .withColumn(
@@ -155,7 +146,7 @@ def findings(refs, rules, limit=BROADCAST_ROWS):
         )
         .withColumn(
             "instructions",
-            F.coalesce(F.sort_array(F.transform("judged", cited)), F.array().cast(_cited_type())),
+            F.coalesce(F.sort_array(F.transform("judged", lambda x: _cited(x["rule"], x["decision"]))), F.array().cast(_cited_type())),
         )
         .withColumn("status", F.when(F.col("governed"), "evaluated").otherwise("not_enough_published_state"))
         .withColumn("finding_decision", F.get("instructions", F.lit(0))["decision"])
@@ -163,6 +154,64 @@ def findings(refs, rules, limit=BROADCAST_ROWS):
     )
 
 
+def finding_rows(refs, rules, limit=BROADCAST_ROWS):
+    """Findings as two tables, whatever the size of the rules or of a table's share: (findings, cited).
+
+    ``findings`` has one row per reference with ``worst`` (severity) and ``finding_decision``, which
+    :func:`verdicts` takes too. ``cited`` has one row per participating rule in the cited order (``rank``).
+    ``row_id`` ties them. Equal in content to :func:`findings`.
+    """
+    asked = _prepared(refs).withColumn("row_id", F.monotonically_increasing_id())
+    asked, packed = materialize(asked, "asked-refs"), _packed(rules)
+    meets = {"spread_by": ["row_id"], "limit": limit}
+    of_column = packed.filter("rule.column IS NOT NULL").withColumn("meets", F.col("rule.column"))
+    named = reference_join(
+        asked.withColumn("meets", F.explode(F.array_distinct("columns"))), of_column, [*TABLE, "meets"], **meets
+    )
+    meant = reference_join(
+        asked.withColumn("meets", F.coalesce("scenario", F.lit(NO_INTENT))),
+        _by_intent(packed).withColumnRenamed("intent", "meets"), [*TABLE, "meets"], **meets,
+    )
+    rule, q = F.col("rule"), context()
+    said = (
+        named.unionByName(meant)
+        .filter(decide.effective(rule, q["instant"]))
+        .withColumn("said", decide.decision(rule, q))
+        .filter("said IS NOT NULL")
+        .withColumn("said", proved(rule, F.col("said"), q))
+        .select("row_id", "query_id", "ref_no", _cited(rule, F.col("said")).alias("c"))
+    )
+    first = said.groupBy("row_id").agg(
+        F.min("c.severity").alias("worst"), F.min("c")["decision"].alias("finding_decision")
+    )
+    known = packed.select(*TABLE).distinct().withColumn("governed", F.lit(True))
+    found = (
+        reference_join(asked, known, TABLE, "left", derived="governed", **meets)
+        .withColumn("governed", F.coalesce("governed", F.lit(False)))
+        .withColumn("status", F.when(F.col("governed"), "evaluated").otherwise("not_enough_published_state"))
+        .join(first, "row_id", "left")
+    )
+    rank = F.row_number().over(Window.partitionBy("row_id").orderBy("c"))
+    return found, said.withColumn("rank", rank).select("row_id", "query_id", "ref_no", "rank", "c.*")
+
+
+def _cited(r, decided):
+    return F.struct(
+        r["column"].isNull().cast("int").alias("table_grain"),
+        (-r["band"]).alias("band_rank"),
+        (-r["weight"]).alias("weight_rank"),
+        severity(decided).alias("severity"),
+        r["policy"].alias("policy"),
+        r["rule_id"].alias("rule_id"),
+        r["version"].alias("version"),
+        r["instruction_key"].alias("instruction_key"),
+        r["scenario"].alias("scenario"),
+        r["column"].alias("column"),
+        decided.alias("decision"),
+        reason(r, decided).alias("reason"),
+    )
+
+
 def _cited_type():
     return (
         "array<struct<table_grain:int,band_rank:int,weight_rank:double,severity:int,policy:string,rule_id:bigint,"
@@ -175,10 +224,10 @@ def verdicts(found, keep=()):
 
     ``keep`` names columns that are the same on every reference of a query.
     """
-    worst = F.array_min(F.transform("instructions", lambda c: c["severity"]))
+    if "worst" not in found.columns:
+        found = found.withColumn("worst", F.array_min(F.transform("instructions", lambda c: c["severity"])))
     return (
-        found.withColumn("worst", worst)
-        .groupBy("query_id")
+        found.groupBy("query_id")
         .agg(
             F.count("*").alias("n_refs"),
             F.count_if(~F.col("governed")).alias("n_ungoverned"),
