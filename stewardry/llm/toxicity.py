@@ -244,8 +244,10 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
             )
 
     id_type = dict(docs.dtypes)["doc_id"]
-    texts = docs.where("text is not null").select("doc_id", "text")
-    rows = texts.join(F.broadcast(drawn), "doc_id").mapInArrow(hashed, f"doc_id {id_type}, words binary, toxic int")
+    texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # a repeated id brings one document, that with the least text hash
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic"))
+    rows = texts.mapInArrow(hashed, f"doc_id {id_type}, words binary, toxic int")
     rows = sorted(rows.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), bytes(r["words"])))
     words = [np.frombuffer(r["words"], np.int64) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], np.int64)

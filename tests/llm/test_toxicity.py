@@ -104,3 +104,14 @@ def test_every_unfitted_label_calibrates(spark, docs_of):
     sizes = [ids.where(f"toxic = {k}").count() for k in (0, 1)]
     assert model.default == 0.4 and set(model.thresholds) == {"en"}
     assert all(np.allclose(s, sizes) for s in seen) and len(seen) == 2
+
+
+def test_a_repeated_id_is_fitted_on_once(small, docs_of, monkeypatch):
+    docs, labels = small
+    copies = docs_of([(i, f"scum copy{k}") for i in (0, 4, 8, 12) for k in range(300)])
+    sizes = []
+    fit = tx.TextCnn.fit
+    monkeypatch.setattr(tx.TextCnn, "fit", lambda net, words, toxic: sizes.append(len(words)) or fit(net, words, toxic, steps=1))
+    tx.fit_toxicity(docs, labels)
+    tx.fit_toxicity(docs.union(copies), labels)
+    assert sizes[0] == sizes[1]
