@@ -81,7 +81,8 @@ def source_weights(docs, budget=None, max_repeats=None, target_entropy=None, sou
 
     ``budget`` counts tokens; a fraction is given as a float of all tokens. Without a
     budget the mix is the smallest one that draws every source at least once whole.
-    A null source is a source of its own; one without tokens gets weight 0.
+    A null source is a source of its own; one without tokens gets weight 0 and, without a
+    budget and beside sources with tokens, one whole epoch.
     """
     counted = docs.select(_key(source), tokens_of("text").alias("n"))
     sources = materialize(counted.groupBy("_s").agg(F.sum("n").alias("tokens")), "mix-sources")
@@ -105,7 +106,8 @@ def source_weights(docs, budget=None, max_repeats=None, target_entropy=None, sou
     else:
         quota = F.floor(F.lit(float(drawn)) * F.col("weight"))
     sources = sources.withColumn("weight", weight).withColumn("quota", quota.cast("long"))
-    whole = F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(0).cast("int")
+    wordless = F.lit(int(drawn is None and total > 0))
+    whole = F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(wordless).cast("int")
     sources = sources.withColumn("epochs", whole)
     sources = sources.withColumn("rest", F.col("quota") - F.col("epochs") * F.col("tokens"))
     blocks = F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("tokens") / BLOCK_TOKENS))).cast("int")
@@ -135,7 +137,7 @@ def mix(docs, budget=None, max_repeats=None, target_entropy=None, seed="mix", so
     keyed = docs.withColumns({"_s": _key(source), "_d": F.col(doc_id)})
     narrow = reference_join(
         keyed.select("_s", "_d", tokens_of("text").alias("n")),
-        sources.select("_s", "epochs", "rest", "blocks").where("quota > 0"),
+        sources.select("_s", "epochs", "rest", "blocks").where("quota > 0 or epochs > 0"),
         ["_s"],
         spread_by=["_d"],
     )
@@ -159,7 +161,7 @@ def mix(docs, budget=None, max_repeats=None, target_entropy=None, seed="mix", so
     inside = inside.withColumn("sofar", F.sum("n").over(ordered)).where("sofar <= room")
     last = materialize(inside.groupBy("_s").agg(F.max("doc_key").alias("cut_doc")), "mix-last")
 
-    limits = sources.where("quota > 0").join(cuts.drop("room", "block"), "_s", "left").join(last, "_s", "left")
+    limits = sources.where("quota > 0 or epochs > 0").join(cuts.drop("room", "block"), "_s", "left").join(last, "_s", "left")
     limits = materialize(limits.select("_s", "epochs", "rest", "blocks", "cut_block", "cut_doc"), "mix-limits")
     drawn = reference_join(keyed, limits, ["_s"], spread_by=["_d"]).withColumn("block", block)
     drawn = drawn.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs"))))

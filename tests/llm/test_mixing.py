@@ -56,6 +56,13 @@ def test_empty_table(corpus):
     assert mixing.mix(corpus.where("doc_id = 200"), max_repeats=2.0).collect() == []
 
 
+def test_a_wordless_source_beside_others_is_drawn_once(corpus, docs_of):
+    docs = corpus.union(docs_of([(300, None, "mute"), (301, "", "mute"), (302, "  ", "mute")]))
+    epochs = {r["doc_id"]: r["epoch"] for r in mixing.mix(docs, max_repeats=2.0).where("source = 'mute'").collect()}
+    assert epochs == {300: 0, 301: 0, 302: 0}
+    assert mixing.mix(docs, 1.0, max_repeats=4.0).where("source = 'mute'").count() == 0
+
+
 def test_no_python_in_the_plan(corpus, capsys):
     mixing.mix(corpus, 1.0, max_repeats=4.0).explain()
     plan = capsys.readouterr().out
