@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stewardry.llm import collision_search, mixing, near_docs, near_vectors, pieces, substrings, token_store, toxicity, url_filter, warc
+from stewardry.llm import collision_search, mixing, near_docs, near_vectors, pieces, prefix_trie, substrings, token_store, toxicity, url_filter, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -184,3 +184,55 @@ def encode(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_pieces", "n_bytes", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _crc32_sql(text):
+    """Unsigned CRC-32 of a string in SQL: its UTF-8 bytes, each with eight shifts."""
+    size = f"octet_length(encode({text}))"
+    byte = f"list_transform(generate_series(1, {size}), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i - 1, 2) AS BIGINT))"
+    step = "xor(c, b)"
+    for k in range(8):
+        step = f"list_transform([{step}], lambda v{k}: xor(v{k} >> 1, (v{k} & 1) * 3988292384))[1]"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {byte}), lambda c, b: {step}), 4294967295)"
+
+
+# The first 0 to 8 turns of a conversation come from the first of its five.
+HEAD_TURNS = 9
+
+
+@query(
+    "op11_prefix_trie",
+    f"""
+WITH turns AS (SELECT conv_id, coalesce(text, '') AS text, coalesce(role, '') AS role, turn,
+    md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+original AS (SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks,
+    list(octet_length(encode(text))::BIGINT ORDER BY turn NULLS FIRST, k) AS bs FROM turns GROUP BY conv_id),
+cut AS (SELECT *, conv_id - conv_id % 5 AS donor, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % {HEAD_TURNS} AS h FROM original),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(d.ks[1:h], []), c.ks[h + 1:]) AS ks, list_concat(coalesce(d.bs[1:h], []), c.bs[h + 1:]) AS bs
+  FROM cut c LEFT JOIN original d ON d.conv_id = c.donor),
+prefixes AS (SELECT conv_id, d, len(ks) AS n, array_to_string(ks[1:d], ' ') AS node, array_to_string(ks[1:d - 1], ' ') AS parent,
+    CASE WHEN d = 0 THEN 0 ELSE bs[d] END AS bytes FROM (SELECT *, unnest(generate_series(0, len(ks))) AS d FROM rebuilt)),
+nodes AS (SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256 FROM prefixes GROUP BY node, d),
+kids AS (SELECT parent, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+marked AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.parent = n.node),
+sums AS (SELECT p.node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * m.bytes) AS saved_tokens
+  FROM marked m JOIN prefixes p ON p.conv_id = m.conv_id AND p.d <= m.d GROUP BY p.node)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(m.n_convs AS BIGINT) AS n_convs,
+  CAST(m.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM marked m JOIN sums s USING (node) LEFT JOIN nodes u ON m.d > 0 AND u.node = m.parent
+""",
+)
+def trie(spark, folder):
+    conv = F.col("conv_id")
+    turns, lengths = prefix_trie.graft_heads(
+        table(spark, folder, "conversations"),
+        donor=conv - conv % 5,
+        n_head=F.crc32(conv.cast("string").cast("binary")) % HEAD_TURNS,
+        most=HEAD_TURNS - 1,
+    )
+    nodes = prefix_trie.prefix_trie(turns, lengths)
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
