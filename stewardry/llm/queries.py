@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stewardry.llm import collision_search, mixing, near_docs, near_vectors, pieces, prefix_trie, substrings, token_store, toxicity, url_filter, warc
+from stewardry.llm import collision_search, mixing, near_docs, near_vectors, pieces, prefix_trie, secret_scan, spelling, substrings, token_store, toxicity, url_filter, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -236,3 +236,52 @@ def trie(spark, folder):
     return nodes.select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
     )
+
+
+def _joined(spans):
+    places = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(places, ",")
+
+
+def _count_kind(kind):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op12_secrets")
+def secrets(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = secret_scan.scan_secrets(docs, secret_scan.ranked_words(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id",
+        *[_count_kind(k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]],
+        F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query(
+    "op13_spellings",
+    rf"""
+WITH runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), '{url_filter.UPPER}', '{url_filter.LOWER}') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc32_sql("keyed")} AS h FROM counted),
+spelt AS (SELECT CASE WHEN h % {spelling.SHORTENED} = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= {spelling.MIN_LETTERS} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}),
+holes AS (SELECT word, n, unnest(list_transform(generate_series(1, length(word)), lambda i: substr(word, 1, i - 1) || '*' || substr(word, i + 1))) AS hole FROM words),
+shorter AS (SELECT DISTINCT word, n, replace(hole, '*', '') AS cut FROM holes),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.cut = w.word
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.cut = w.word),
+best AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS b FROM near GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b[1] >= {spelling.RATIO} * w.n THEN b[2] END AS form,
+    CASE WHEN -b[1] >= {spelling.RATIO} * w.n THEN -b[1] END AS form_n FROM words w LEFT JOIN best USING (word)),
+roots AS (WITH RECURSIVE walk(word, here, form) AS (
+  SELECT word, word, form FROM forms UNION ALL
+  SELECT k.word, f.word, f.form FROM walk k JOIN forms f ON f.word = k.form) SELECT word, here AS root FROM walk WHERE form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM forms JOIN roots USING (word)
+""",
+)
+def spellings(spark, folder):
+    return spelling.group_spellings(spelling.vocabulary(table(spark, folder, "documents")))
