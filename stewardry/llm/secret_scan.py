@@ -15,9 +15,11 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stewardry.llm.common import binary, bound_batches, slices
 from stewardry.llm.letters import count_words
+from stewardry.session import materialize
 
 # The base patterns, and the least length of what each must hold.
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -51,9 +53,19 @@ MAX_UNIT, MIN_WALK = 8, 4
 
 
 def ranked_words(docs, limit=RANKED_WORDS):
-    """{word: rank} of stand-ins and of the corpus's ``limit`` most frequent words, counted over all documents."""
-    counts = count_words(docs, least=MIN_WORD).where(F.length("word") <= MAX_WORD)
-    top = counts.orderBy(F.col("n").desc(), "word").limit(limit).collect()
+    """{word: rank} of stand-ins and of the corpus's ``limit`` most frequent words, counted over all documents.
+
+    Counts are first counted by size, eight sizes to an octave, so that only words of the sizes that reach
+    the limit compete: the driver's share does not follow the number of tasks.
+    """
+    counts = materialize(count_words(docs, least=MIN_WORD).where(F.length("word") <= MAX_WORD), "secret-words")
+    size = F.floor(F.log2("n") * 8).cast("int")
+    held, least = 0, 0
+    for r in counts.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(F.col("size").desc()).collect():
+        held, least = held + r["n"], r["size"]
+        if held >= limit:
+            break
+    top = counts.where(size >= least).orderBy(F.col("n").desc(), "word").limit(limit).collect()
     words = [*STAND_INS, *(r["word"] for r in top)]
     ranks = {}
     for word in words:
@@ -265,6 +277,5 @@ def scan_secrets(docs, ranks, keep=("doc_id",)):
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], names=[*keep, "spans"])
 
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    schema = ", ".join([*fields, "spans array<struct<kind: string, start: bigint, end: bigint, guesses: double>>"])
-    return rows.mapInArrow(run, schema)
+    added = StructType.fromDDL("spans array<struct<kind: string, start: bigint, end: bigint, guesses: double>>")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], *added.fields]))
