@@ -1,6 +1,7 @@
 """Word hashes, streamed groups, block tasks and connected components shared by the operators."""
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -125,6 +126,70 @@ def split_rows(rows, side, keys):
     return [rows.join(names, keys, "left_semi"), rows.join(names, keys, "left_anti")]
 
 
+# Segments of a filter of keys, 64 KB each, so that it is 32 MB however many keys it holds.
+FILTER_SEGMENTS, SEGMENT_BYTES = 512, 1 << 16
+_FILTER_HASHES = 4
+
+
+def quoted(name):
+    """A column name that may hold dots or quotes."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def _filter_places(h):
+    """Byte and bit in its segment of each of a hash's bits; all lie in one block of 512 bits."""
+    block = (h >> np.uint64(45)) & np.uint64(1023)
+    for k in range(_FILTER_HASHES):
+        bit = (h >> np.uint64(9 * k)) & np.uint64(511)
+        yield block * np.uint64(64) + (bit >> np.uint64(3)), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8)
+
+
+def _fill_segments(batches):
+    for table, bounds in whole_groups(batches, ["segment"]):
+        h, segment = table.column("h").to_numpy().view(np.uint64), table.column("segment").to_numpy()
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            bits = np.zeros(SEGMENT_BYTES, np.uint8)
+            for at, bit in _filter_places(h[s:e]):
+                np.bitwise_or.at(bits, at.astype(np.int64), bit)
+            yield pa.RecordBatch.from_pydict({"segment": [int(segment[s])], "bits": [bits.tobytes()]})
+
+
+def key_filter(names, key):
+    """A test of ``key`` against a broadcast Bloom filter of ``names``: no named row fails it."""
+    spark = names.sparkSession
+    h = F.xxhash64(key)
+    rows = names.select(h.alias("h"), F.shiftrightunsigned(h, 55).alias("segment"))
+    rows = rows.repartition(shuffle_tasks(spark), "segment").sortWithinPartitions("segment")
+    whole = np.zeros(FILTER_SEGMENTS * SEGMENT_BYTES, np.uint8)
+    for r in rows.mapInArrow(_fill_segments, "segment long, bits binary").toLocalIterator():
+        whole[r["segment"] * SEGMENT_BYTES :][:SEGMENT_BYTES] = np.frombuffer(r["bits"], np.uint8)
+    sent = spark.sparkContext.broadcast(whole)
+
+    @F.pandas_udf("boolean")
+    def held(hashes: pd.Series) -> pd.Series:
+        x = hashes.to_numpy(np.int64).view(np.uint64)
+        start = (x >> np.uint64(55)) * np.uint64(SEGMENT_BYTES)
+        found = np.ones(len(x), bool)
+        for at, bit in _filter_places(x):
+            found &= (sent.value[(start + at).astype(np.int64)] & bit) != 0
+        return pd.Series(found)
+
+    return held(h)
+
+
+def named_rows(rows, wanted, known, key):
+    """(rows that ``wanted`` names, rows that ``known``, which holds all of wanted, does not name).
+
+    Wide rows stay in place where the keys are few enough to send. Beyond that a filter of the keys, of one
+    size, tells the rows that may be named; only these are shuffled.
+    """
+    if fits(known, BROADCAST_KEYS):
+        return rows.join(F.broadcast(wanted), key, "left_semi"), rows.join(F.broadcast(known), key, "left_anti")
+    maybe = key_filter(known, key) & F.col(key).isNotNull()
+    suspects = rows.where(maybe)
+    return suspects.join(wanted, key, "left_semi"), rows.where(~maybe).unionByName(suspects.join(known, key, "left_anti"))
+
+
 # --- groups that arrive sorted ----------------------------------------------------
 
 
@@ -213,16 +278,20 @@ def components(edges, label):
     Alternating large and small stars: every round joins each id to the least id it
     knows, with a map-side minimum before each shuffle, and is written to the shared
     folder. Rounds end when the edges stay the same, after about the logarithm of
-    the longest chain.
+    the longest chain. The minima are sent to the edges where these are few; else they are
+    written first, so that both sides of the join are plain shuffles whose hubs the skew join splits.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = materialize(edges.distinct(), label)
     seen = _print(edges)
     while seen[0]:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        few = seen[0] <= BROADCAST_KEYS
+        side = F.broadcast if few else lambda minima: materialize(minima, label)
+        least = side(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = large if few else materialize(large, label)
+        least = side(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a")
         small = small.select("a", F.col("m").alias("b")).union(
             small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stewardry.functions.scale import reference_join
+from stewardry.llm.common import quoted
 from stewardry.session import materialize
 
 # Words of one block; a source has at most MAX_BLOCKS blocks, beyond which blocks grow.
@@ -129,14 +130,18 @@ def mix(docs, budget=None, max_repeats=None, target_entropy=None, seed="mix", so
     with which the source's quota is not passed. Repeated rows share their keys and
     stay or go together.
 
+    The row travels in one struct, so its columns may have any name; those named like a result are replaced.
+
     Documents are neither shuffled nor sorted: block sums and the documents of the one
     cut block per source give two thresholds per source, and a document compares its own
     keys with them. The text is read twice, once to count and once to draw.
     """
     sources = materialize(source_weights(docs, budget, max_repeats, target_entropy, source), "mix-weights")
-    keyed = docs.withColumns({"_s": _key(source), "_d": F.col(doc_id)})
+    new = ("epoch", "block", "block_key", "doc_key")
+    kept = [c for c in docs.columns if c not in new]
+    keyed = docs.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("row"), _key(source), F.col(doc_id).alias("_d"))
     narrow = reference_join(
-        keyed.select("_s", "_d", tokens_of("text").alias("n")),
+        docs.select(_key(source), F.col(doc_id).alias("_d"), tokens_of("text").alias("n")),
         sources.select("_s", "epochs", "rest", "blocks").where("quota > 0 or epochs > 0"),
         ["_s"],
         spread_by=["_d"],
@@ -169,5 +174,4 @@ def mix(docs, budget=None, max_repeats=None, target_entropy=None, seed="mix", so
     in_cut = (F.col("block_key") == F.col("cut_block")) & (F.col("doc_key") <= F.col("cut_doc"))
     partial = (F.col("rest") > 0) & (F.col("cut_block").isNull() | (F.col("block_key") < F.col("cut_block")) | in_cut)
     drawn = drawn.where((F.col("epoch") < F.col("epochs")) | F.coalesce(partial, F.lit(False)))
-    new = ("epoch", "block", "block_key", "doc_key")
-    return drawn.select(*[c for c in docs.columns if c not in new], *new)
+    return drawn.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in kept], *new)

@@ -13,7 +13,9 @@ from stewardry.llm.common import (
     hash_words,
     join_labels,
     mix,
+    named_rows,
     per_task,
+    quoted,
     slices,
     split_words,
 )
@@ -325,15 +327,10 @@ def keep_one(docs, found, text="text", doc_id="doc_id"):
 
     Rows without an id stay. Of several rows of a kept id the one with the least text hash stays.
     """
-    gone = found.where("not kept").select(F.col("doc_id").alias(doc_id)).distinct()
-    stay = docs.join(gone, doc_id, "left_anti")
-    twice = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(doc_id)).agg(F.count("*").alias("_n"))
-    twice = materialize(twice.where("_n > 1").select(doc_id), "doc-twice")
-    if twice.isEmpty():
-        return stay
-    from pyspark.sql.window import Window
-
-    once = stay.join(twice, doc_id, "left_semi")
-    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
-    once = once.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
-    return stay.join(twice, doc_id, "left_anti").unionByName(once)
+    of_id = found.where("doc_id is not null").groupBy(F.col("doc_id").alias(doc_id))
+    odd = of_id.agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    odd = materialize(odd.where("n > 1 or not stays").select(doc_id, "stays"), "doc-odd")
+    once, others = named_rows(docs, odd.where("stays").select(doc_id), odd.select(doc_id), doc_id)
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns])
+    once = once.groupBy(doc_id).agg(F.min_by(row, F.xxhash64(text)).alias("row"))
+    return others.unionByName(once.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns]))

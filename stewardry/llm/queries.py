@@ -115,7 +115,9 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 """,
 )
 def archive(spark, folder):
-    captures = warc.archive_pages(table(spark, folder, "pages"), payloads=False)
+    captures = warc.archive_pages(table(spark, folder, "pages"))
+    # one row per record written
+    captures = captures.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return captures.select(
         F.col("metadata.page_id").alias("page_id"),
         F.coalesce("response.payload_bytes", "refers_bytes").alias("payload_bytes"),

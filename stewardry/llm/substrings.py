@@ -7,8 +7,9 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from stewardry.llm.common import binary, bound_batches, few_rows, hash_words, mix, slices, split_rows, split_words
+from stewardry.llm.common import binary, bound_batches, few_rows, hash_words, mix, quoted, slices, split_rows, split_words
 from stewardry.session import materialize
 
 WINDOW = 50
@@ -266,7 +267,7 @@ def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
     id are judged apart. Repeated rows are judged alike.
     """
     bound_batches(docs.sparkSession)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *[row] * carry)
     rows = whole.select("doc_id", "text")
     signed = rows.where("doc_id is not null and text is not null")
@@ -299,5 +300,5 @@ def cut_repeats(docs, text="text", doc_id="doc_id", carry=False):
         *(p.withColumns({"copy": F.lit(None).cast("boolean"), "starts": F.lit(None).cast("array<int>")}) for p in parts[1:]),
     ]
     judged = reduce(DataFrame.unionByName, [p.select("doc_id", "text", "starts", "copy", *["row"] * carry) for p in parts])
-    schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    return judged.mapInArrow(_cut, schema + (f", row {dict(judged.dtypes)['row']}" if carry else ""))
+    schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string")
+    return judged.mapInArrow(_cut, StructType(schema.fields + judged.schema.fields[4:]))

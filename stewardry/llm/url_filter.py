@@ -7,8 +7,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rules of one trie. A longer list is judged in several tries, one after the other, each
 # keeping the longest match so far, so that no broadcast passes this bound.
 TRIE_RULES = 200_000
-# Keys that no label or segment can be.
-RULE, PARTS = "\0rule", "\0parts"
+# Keys beside labels and segments; those are strings, so none can be one of these.
+RULE, PARTS, PATHS = 0, 1, 2
 
 
 def _segments(path):
@@ -28,7 +28,7 @@ def build_trie(rules):
         node = root
         for label in reversed(host.split(".")):
             node = node.setdefault(label, {})
-        node = node.setdefault("", {})
+        node = node.setdefault(PATHS, {})
         segments = _segments(path)
         tail = segments.pop() if segments and not segments[-1].endswith("/") else None
         for segment in segments:
@@ -48,9 +48,9 @@ def longest_match(trie, host, path):
         node = node.get(label)
         if node is None:
             break
-        if "" not in node:
+        if PATHS not in node:
             continue
-        at = node[""]
+        at = node[PATHS]
         found = at.get(RULE)
         for segment in _segments(path):
             parts = at.get(PARTS)
@@ -102,8 +102,12 @@ def _judge(judged, trie):
 
     # a later trie's rule replaces an earlier one's when its host, then its path, is not shorter
     size = lambda rule: F.struct(F.length(F.substring_index(rule, "/", 1)), F.length(rule))
-    better = F.col("_m.rule").isNotNull() & (F.col("rule").isNull() | (size(F.col("_m.rule")) >= size(F.col("rule"))))
-    judged = judged.withColumn("_m", match("host", "path"))
+    own = "_match"
+    while own in judged.columns:
+        own += "_"
+    new = F.col(f"{own}.rule")
+    better = new.isNotNull() & (F.col("rule").isNull() | (size(new) >= size(F.col("rule"))))
+    judged = judged.withColumn(own, match("host", "path"))
     return judged.withColumns(
-        {c: F.when(better, F.col(f"_m.{c}")).otherwise(F.col(c)) for c in ("rule", "verdict")}
-    ).drop("_m")
+        {c: F.when(better, F.col(f"{own}.{c}")).otherwise(F.col(c)) for c in ("rule", "verdict")}
+    ).drop(own)

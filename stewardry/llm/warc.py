@@ -203,11 +203,13 @@ def assemble(records):
     """One nested row per capture: ``response``, ``request``, ``metadata``, and the page a revisit refers to.
 
     Requests and metadata are joined to their response or revisit through concurrent-to. Records
-    with one record id are copies and count once; of several requests or metadata records of one capture
+    with one record id are copies: one row whose ``copies`` counts them; of several requests or metadata records of one capture
     the least record id is kept beside their number, by a map-side minimum, so a capture
     that many records name stays one row. Captures without request or metadata keep nulls there.
     """
-    captures = records.where(F.col("type").isin("response", "revisit")).dropDuplicates(["record_id"])
+    captures = records.where(F.col("type").isin("response", "revisit")).groupBy("record_id")
+    fields = ("type", "uri", "payload", "payload_bytes", "payload_digest", "refers_to")
+    captures = captures.agg(*[F.first(c).alias(c) for c in fields], F.count("*").alias("copies"))
     sides = records.where(F.col("type").isin("request", "metadata")).groupBy(F.col("concurrent_to").alias("record_id"))
     side = lambda kind: F.min(F.when(F.col("type") == kind, F.struct("record_id", "uri", "page_id")))
     sides = sides.agg(
@@ -216,7 +218,7 @@ def assemble(records):
     whole = captures.join(sides, "record_id", "left")
     response = F.struct("record_id", "type", "uri", "payload", "payload_bytes", "payload_digest", "refers_to")
     return whole.select(
-        "record_id", response.alias("response"), "request", "metadata", F.coalesce("concurrent_records", F.lit(0)).alias("concurrent_records")
+        "record_id", response.alias("response"), "request", "metadata", F.coalesce("concurrent_records", F.lit(0)).alias("concurrent_records"), "copies"
     )
 
 
@@ -237,7 +239,7 @@ def resolve_revisits(captures):
 def archive_pages(pages, payloads=True):
     """Write the pages as archives in the shared folder, read them back and assemble their captures.
 
-    Repeated identical rows are one capture. Null urls leave out the target; see
+    Repeated identical rows are one capture, whose ``copies`` counts the records written for them. Null urls leave out the target; see
     ``mark_revisits`` for null html and ids. An empty table writes no archive.
     """
     manifest = write_archives(pages, scratch_dir(pages.sparkSession, "warc"))
