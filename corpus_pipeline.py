@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from stewardry.llm import mixing, near_docs, pieces, substrings, toxicity
+from stewardry.llm.common import quoted
 from stewardry.session import materialize
 
 # No source is cut; small ones are drawn up to twice.
@@ -12,22 +13,29 @@ MAX_REPEATS = 2.0
 ORACLE_SQL = None
 
 
+def same_columns(rows, docs):
+    return rows.select(*[quoted(c) for c in docs.columns])
+
+
 def drop_toxic(spark, docs, sf_dir):
     """Documents whose score passes the threshold of their language go; null and empty texts stay.
 
     The classifier is fitted on the labelled documents outside the held-out quarter.
     """
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_toxicity(docs, model, output="_toxic_score")
-    toxic = toxicity.toxic_by_language(F.col("_toxic_score"), F.col("lang"), model)
+    name = "_toxic_score"
+    while name in docs.columns:
+        name += "_"
+    scored = toxicity.score_toxicity(docs, model, output=name)
+    toxic = toxicity.toxic_by_language(F.col(name), F.col("lang"), model)
     empty = F.length(F.trim(F.coalesce("text", F.lit("")))) == 0
-    return scored.where(~toxic | empty).select(docs.columns)
+    return same_columns(scored.where(~toxic | empty), docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each class of near copies stays, that with the smallest doc_id."""
     found = materialize(near_docs.near_documents(docs), "pipeline-near")
-    return near_docs.keep_one(docs, found).select(docs.columns)
+    return same_columns(near_docs.keep_one(docs, found), docs)
 
 
 def cut_passages(spark, docs, sf_dir):
@@ -38,12 +46,12 @@ def cut_passages(spark, docs, sf_dir):
         "text": F.when(changed, F.col("kept_text")).otherwise(F.col("row.text")),
         "n_chars": F.when(changed, F.length("kept_text")).otherwise(F.col("row.n_chars")),
     }
-    return cut.select(*[new.get(c, F.col(f"row.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    return cut.select(*[new.get(c, F.col(f"row.{quoted(c)}")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark, docs, sf_dir):
     """Every document at least once; sources below the largest are repeated, at most twice, to flatten the mix."""
-    return mixing.mix(docs, max_repeats=MAX_REPEATS).select(docs.columns)
+    return same_columns(mixing.mix(docs, max_repeats=MAX_REPEATS), docs)
 
 
 def encode_pieces(spark, docs, sf_dir):
