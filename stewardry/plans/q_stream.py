@@ -2,20 +2,40 @@
 
 from pyspark.sql import functions as F
 
+from stewardry.functions.expr import asset_path
+from stewardry.operators import compose
 from stewardry.plans import estate
-from stewardry.plans.q_audit import CALLS
+from stewardry.plans.q_audit import CALLS, TABLE_PATH
 from stewardry.plans.q_gate import ACCESS_LOG
-from stewardry.plans.registry import query
+from stewardry.plans.registry import cte, query
 from stewardry.session import scratch_dir
-from stewardry.streaming import streams
+from stewardry.streaming import stateful, streams
+
+
+# The log arrives in this many slices of DAYS days each; every LATE-th event arrives two slices late.
+SLICES, DAYS, LATE, FILES = 4, 8, 40, 2
+_SLICE = f"greatest(0, least({SLICES - 1}, CAST(floor(datediff({{day}}, DATE '2024-01-01') / {DAYS}) AS INT)))"
+
+
+def arrivals(w, late=False):
+    """The events as files that arrived one slice after the other, in the order of their time, some of them ``late``."""
+    log = w.table("events")
+    slot = F.expr(_SLICE.format(day="CAST(ts AS DATE)"))
+    if late:
+        slot = F.least(F.lit(SLICES - 1), slot + F.when(F.col("event_id") % LATE == 0, 2).otherwise(0))
+    folder = scratch_dir(w.spark, "arrivals")
+    for number in range(SLICES):
+        log.where(slot == number).repartition(FILES).write.parquet(f"{folder}/slice-{number}")
+    found = w.spark.readStream.schema(log.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", FILES)
+    return found.parquet(folder)
 
 
 def events(w):
     return streams.file_stream(w.spark, w.folder, "events.parquet")
 
 
-def requests(w):
-    return w._asset_columns(w.sql(estate.REQUESTS, events=events(w)))
+def requests(w, log=None):
+    return w._asset_columns(w.sql(estate.REQUESTS, events=events(w) if log is None else log))
 
 
 def collected(w, writer, path, label):
@@ -34,25 +54,49 @@ def stream_decide(w):
 
 @query("stream_dedup_receipts", "SELECT DISTINCT signature, actor FROM signed", ["signed"])
 def stream_dedup_receipts(w):
+    """Ten minutes of state; retries that come later are known from the ledger."""
     path = scratch_dir(w.spark, "stream-receipts")
-    # the delay covers the whole log, so a retry is recognised however the log is cut into batches
-    kept = streams.dedup_receipts(requests(w), delay="40 days").select("signature", "actor")
-    return collected(w, kept.writeStream.foreachBatch(streams.batch_writer(path)), path, "dedup").select("signature", "actor")
+    return collected(w, stateful.receipts_once(requests(w, arrivals(w)), path), path, "dedup").select("signature", "actor")
+
+
+SIZE, SLIDE, DELAY = "12 hours", "6 hours", "1 day"
+
+
+def _slice_sql(day):
+    return f"greatest(0, least({SLICES - 1}, CAST(floor(date_diff('day', DATE '2024-01-01', CAST({day} AS DATE)) / {DAYS}) AS INT)))"
+
+
+cte(
+    "placed",
+    f"""SELECT request_id, requested_at, db || '.' || sch || '.' || tbl AS asset, decision,
+    least({SLICES - 1}, {_slice_sql("requested_at")} + CASE WHEN request_id % {LATE} = 0 THEN 2 ELSE 0 END) AS slot FROM answers""",
+    "answers",
+)
+cte("marks", "SELECT slot, max(requested_at) AS newest FROM placed GROUP BY slot", "placed")
 
 
 @query(
     "stream_verdict_windows",
-    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS label, count(*) AS n FROM events GROUP BY ALL""",
+    f"""SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, asset, decision,
+      CAST(count(*) FILTER (NOT late) AS BIGINT) AS n, CAST(count(*) FILTER (late) AS BIGINT) AS n_late FROM (
+      SELECT *, coalesce(window_start + INTERVAL {SIZE} <= (SELECT max(m.newest) FROM marks m WHERE m.slot < p.slot - 1) - INTERVAL {DELAY}, FALSE) AS late
+      FROM (SELECT *, unnest([time_bucket(INTERVAL {SLIDE}, requested_at), time_bucket(INTERVAL {SLIDE}, requested_at) - INTERVAL {SLIDE}]) AS window_start FROM placed) p)
+    GROUP BY 1, 2, 3""",
+    ["marks"],
 )
 def stream_verdict_windows(w):
-    path = scratch_dir(w.spark, "stream-windows")
-    counted = streams.verdict_windows(
-        events(w).withColumn("label", F.col("event_type")), "ts", ["label"], delay="2 days"
-    )
+    """Verdicts per asset in sliding windows; the rows that came after their window had closed are counted beside."""
+    path, log = scratch_dir(w.spark, "stream-windows"), arrivals(w, late=True)
+    verdicts = compose.decide_in_place(requests(w, log), w.rules()).select("requested_at", asset_path(*TABLE_PATH).alias("asset"), "decision")
+    keys = ["asset", "decision"]
+    counted = stateful.sliding_verdicts(verdicts, "requested_at", keys, SIZE, SLIDE, DELAY)
     writer = counted.writeStream.outputMode("update").foreachBatch(streams.batch_writer(path))
-    folded = streams.newest_per_key(collected(w, writer, path, "windows"), ["window_start", "label"])
-    return folded.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
-
+    folded = streams.newest_per_key(collected(w, writer, path, "windows"), ["window_start", *keys])
+    writer = stateful.late_verdicts(verdicts, "requested_at", keys, SIZE, SLIDE, DELAY, f"{path}-late")
+    late = collected(w, writer, f"{path}-late", "late").groupBy("window_start", *keys).agg(F.sum("n_late").alias("n_late"))
+    both = folded.withColumn("n_late", F.lit(0).cast("long")).unionByName(late.withColumn("n", F.lit(0).cast("long")))
+    both = both.groupBy(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), *keys)
+    return both.agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
 
 
 @query(
@@ -88,9 +132,8 @@ def closed_sessions(w):
     ["access_log"],
 )
 def stream_request_status(w):
+    """Stale rows come from the stream's own timers, over a log that arrives in slices."""
     path = scratch_dir(w.spark, "stream-status")
-    log = w.sql(ACCESS_LOG, events=events(w))
-    writer = streams.request_status(log).writeStream.outputMode("update").foreachBatch(streams.batch_writer(path))
-    return streams.status_now(collected(w, writer, path, "status"), 7).select(
-        "access_request_id", "status", "exception_state"
-    )
+    log = w.sql(ACCESS_LOG, events=arrivals(w))
+    writer = stateful.status_with_timers(log, 7).writeStream.outputMode("update").foreachBatch(streams.batch_writer(path))
+    return stateful.newest_status(collected(w, writer, path, "status")).select("access_request_id", "status", "exception_state")
