@@ -258,6 +258,43 @@ def resolve_chained(asked, recorded, fields, ref="ref"):
     )
 
 
+def resolve_references(nodes, key="ref", target="target", value="value"):
+    """(key, resolved, steps, problem) of nodes that hold a value or name another node, however long the chain.
+
+    Pointers jump, twice as far every round, and each round is written: after about the logarithm of the number of
+    nodes every chain has met its end. What still points at a reference then goes round: 'cycle'. A name that
+    no node has is 'unknown'. A key that stands twice keeps the least (target, value). Null keys are left out.
+    """
+    once = nodes.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key"))
+    once = once.agg(F.min(F.struct(F.col(target).alias("target"), F.col(value).alias("value"))).alias("n"))
+    once = materialize(once.select("key", "n.target", "n.value"), "refs")
+    known = once.select(F.col("key").alias("target"), F.lit(True).alias("known"))
+    starts = once.join(known, "target", "left")
+    lost = F.col("target").isNotNull() & F.col("known").isNull()
+    ends = F.col("target").isNull() | lost
+    starts = materialize(
+        starts.select("key", F.when(ends, F.col("key")).otherwise(F.col("target")).alias("at"), (~ends).cast("long").alias("steps"), lost.alias("lost"), "value", ends.alias("ends")),
+        "refs-starts",
+    )
+    jumps = starts.select("key", "at", "steps")
+    pending = starts.where("not ends").count()
+    reach = 1
+    while reach <= pending:
+        further = jumps.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
+        # both sides are read as written, so that the skew join can split a popular end
+        jumps = jumps.join(further, "at").select("key", F.col("next").alias("at"), (F.col("steps") + F.col("more")).alias("steps"))
+        jumps, reach = materialize(jumps, "refs-jumps"), reach * 2
+    terminal = starts.select(F.col("key").alias("at"), "lost", "value", "ends")
+    problem = F.when(~F.col("ends"), "cycle").when(F.col("lost"), "unknown")
+    found = jumps.join(terminal, "at").withColumn("problem", problem)
+    return found.select(
+        "key",
+        F.when(F.col("problem").isNull(), F.col("value")).alias("resolved"),
+        F.when(F.col("problem").isNull() | (F.col("problem") == "unknown"), F.col("steps")).alias("steps"),
+        "problem",
+    )
+
+
 # --- sessions ------------------------------------------------------------------------------
 
 

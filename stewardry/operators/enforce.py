@@ -198,27 +198,6 @@ def ingestion_gate(documents, corpora, key="source", derived=None):
     )
 
 
-def in_force_at(records, versions, keys, at):
-    """Each record with the rule version in force at its own date.
-
-    Versions of a rule travel as one short array on the equi key, so the interval
-    test is evaluated in place. Records no version covers keep NULL.
-    """
-    payload = [c for c in versions.columns if c not in keys]
-    grouped = versions.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*payload))).alias("_versions"))
-    joined = reference_join(records, grouped, keys, "left")
-    when = F.col(at)
-    hit = F.get(
-        F.filter(
-            "_versions",
-            lambda v: (v["effective_from"].isNull() | (v["effective_from"] <= when))
-            & (v["effective_until"].isNull() | (when < v["effective_until"])),
-        ),
-        F.lit(0),
-    )
-    return joined.withColumn("in_force", hit).drop("_versions")
-
-
 def determine(applicants, categorical, income, threshold):
     """A categorical qualifier wins over the income test; the test still shows."""
     met = income <= threshold

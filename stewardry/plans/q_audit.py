@@ -704,6 +704,48 @@ def decision_trend(w):
     return audit.decision_trend(answers).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
-@query("approx_actor_counts")
+@query(
+    "approx_actor_counts",
+    f"""SELECT {TBL} AS asset, CAST(count(DISTINCT CAST(requested_at AS DATE)) AS BIGINT) AS n_days, count(DISTINCT actor) AS n_exact, TRUE AS within
+    FROM requests GROUP BY 1""",
+    ["requests"],
+)
 def approx_actor_counts(w):
-    return audit.actor_counts(w.requests()).select(asset_path(*TABLE_PATH).alias("asset"), "actors")
+    """Sketches per asset and day, united per asset, held against the exact count: within three standard errors or not."""
+    asked = w.requests()
+    estimated = audit.united_actors(materialize(audit.actor_sketches(asked), "actor-sketches"))
+    exact = asked.groupBy(*TABLE_PATH).agg(F.count_distinct("actor").alias("n_exact"))
+    off = F.abs(F.col("actors") - F.col("n_exact"))
+    both = estimated.join(exact, list(TABLE_PATH))
+    within = off <= F.greatest(F.lit(1.0), 3 * audit.SKETCH_ERROR * F.col("n_exact"))
+    return both.select(asset_path(*TABLE_PATH).alias("asset"), "n_days", "n_exact", within.alias("within"))
+
+
+_NEXT = "CASE WHEN event_id % 97 = 0 THEN event_id + 1 WHEN event_id % 50 <> 0 THEN event_id - 1 END"
+REFERENCES = f"""
+SELECT event_id AS ref, CASE WHEN event_id % 1009 = 5 THEN -event_id ELSE {_NEXT} END AS target,
+  CASE WHEN event_id % 1009 <> 5 AND event_id % 97 <> 0 AND event_id % 50 = 0 THEN event_type END AS value
+FROM {{events}}
+"""
+cte("references_", REFERENCES)
+cte(
+    "walked",
+    """WITH RECURSIVE walk(ref, here, n) AS (
+    SELECT ref, ref, 0 FROM references_ UNION ALL
+    SELECT k.ref, r.target, n + 1 FROM walk k JOIN references_ r ON r.ref = k.here WHERE r.target IS NOT NULL AND n <= 120)
+  SELECT ref, arg_max(here, n) AS here, max(n) AS n FROM walk GROUP BY ref""",
+    "references_",
+)
+
+
+@query(
+    "resolve_reference_chains",
+    """SELECT k.ref, r.value AS resolved, CASE WHEN n <= 120 THEN CAST(n - CASE WHEN r.ref IS NULL THEN 1 ELSE 0 END AS BIGINT) END AS steps,
+    CASE WHEN n > 120 THEN 'cycle' WHEN r.ref IS NULL THEN 'unknown' END AS problem
+    FROM walked k LEFT JOIN references_ r ON r.ref = k.here""",
+    ["walked"],
+)
+def resolve_reference_chains(w):
+    """References that name references: chains of up to 50, some into a cycle, some to a name that is not there."""
+    found = contract.resolve_references(w.sql(REFERENCES))
+    return found.withColumnRenamed("key", "ref")

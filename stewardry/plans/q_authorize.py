@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from stewardry.functions.expr import purpose_category
-from stewardry.operators import compose, decide, prepare
+from stewardry.operators import compose, decide, prepare, publications
 from stewardry.plans import estate
 from stewardry.plans.registry import clone, cte, framed_sql, query, receipt_sql
 from stewardry.session import materialize
@@ -306,6 +306,30 @@ def decide_as_published(w):
     )
 
 
+_PUBLISHED = ("live", "enriched", "pairs", "ranked", "composed", "answers")
+clone("b", _PUBLISHED, "candidates", "SELECT * FROM candidates WHERE policy <> 'audience use'", "candidates")
+clone("a", _PUBLISHED, "candidates", "SELECT * FROM candidates WHERE policy NOT IN ('use guardrails', 'email masking')", "candidates")
+
+
+@query(
+    "publication_flips",
+    """SELECT b.request_id, b.state AS before_state, b.decision AS before_decision, b.reason_code AS before_reason,
+    a.state AS after_state, a.decision AS after_decision, a.reason_code AS after_reason FROM banswers b JOIN aanswers a USING (request_id)
+    WHERE b.state IS DISTINCT FROM a.state OR b.decision IS DISTINCT FROM a.decision OR b.reason_code IS DISTINCT FROM a.reason_code""",
+    ["banswers", "aanswers"],
+)
+def publication_flips(w):
+    """Answers that differ between the first and the last publication; only requests of changed scopes are decided."""
+    rules = w.rules()
+    flips = publications.publication_flips(
+        w.requests(), rules.filter("policy <> 'audience use'"), rules.filter("policy NOT IN ('use guardrails', 'email masking')")
+    )
+    return flips.select(
+        "request_id", "before_state", "before_decision", F.col("before_reason_code").alias("before_reason"),
+        "after_state", "after_decision", F.col("after_reason_code").alias("after_reason"),
+    )
+
+
 @query(
     "rank_instructions",
     f"SELECT request_id, rule_id, decision, {ORDERED} AS cited_rank FROM ranked",

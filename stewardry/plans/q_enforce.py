@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stewardry.functions import masks
-from stewardry.operators import compose, enforce
+from stewardry.operators import asof, compose, enforce
 from stewardry.plans import estate
 from stewardry.plans.registry import cte, query
 from stewardry.schemas import S
@@ -361,7 +361,7 @@ def statute_in_force_join(w):
         F.col("f").cast("timestamp_ntz").alias("effective_from"), F.col("u").cast("timestamp_ntz").alias("effective_until"),
     )
     records = w.table("orders").select("o_orderkey", "o_orderdate", F.col("o_orderstatus").alias("law"))
-    return enforce.in_force_at(records, versions, ["law"], "o_orderdate").select(
+    return asof.in_force_at(records, versions, ["law"], "o_orderdate").select(
         "o_orderkey", F.col("in_force.statute").alias("statute")
     )
 
