@@ -7,6 +7,7 @@ from stewardry import vocab
 from stewardry.functions.expr import decision_of, lookup, severity
 from stewardry.functions.scale import fits, reference_join
 from stewardry.operators import decide
+from stewardry.operators.asof import asof_join
 from stewardry.operators.prepare import prepared, publication_at, receipts, signature
 from stewardry.schemas import CONDITION, OBLIGATION
 from stewardry.session import materialize
@@ -186,6 +187,19 @@ def authorize_rows(requests, rules, publication_id="current", limit=decide.BROAD
     return answers, cited.withColumn("rank", rank).select("row_id", "request_id", "rank", "c.*")
 
 
+def cited_rows(requests, rules, limit=decide.BROADCAST_ROWS):
+    """One row per request and rule in force that speaks, with the rule's conditions and obligations.
+
+    The rows of :func:`authorize_rows` without their rank; a scope may hold any number of rules. No request is
+    shuffled while the rule table fits the broadcast limit.
+    """
+    pairs = decide.decided_pairs(prepared(requests), rules, "inner", limit).filter("decision IS NOT NULL")
+    said = {"rule": F.col("rule"), "decision": F.col("decision")}
+    return pairs.select("request_id", "actor", "instant", _cited(said, decide.context()).alias("c")).select(
+        "request_id", "actor", "instant", "c.*"
+    )
+
+
 def next_action():
     return F.coalesce(
         lookup(F.col("reason_code"), NEXT_BY_REASON), lookup(F.col("decision"), NEXT_ACTIONS)
@@ -241,39 +255,46 @@ def decide_as_published(requests, rules, publications, limit=decide.BROADCAST_RO
     return decide_in_place(asked, rules, limit, by=("publication_id",))
 
 
+# An exception without an end.
+FOR_EVER = "9999-12-31 00:00:00"
+
+
 # --- exceptions -------------------------------------------------------------------
 
 
 def satisfy_conditions(decisions, exceptions, limit=decide.BROADCAST_ROWS):
     """Mark approvals an active exception of the same subject satisfies.
 
-    ``exceptions``: actor, kind, state, valid_from, valid_until. Intervals are cut
-    into days, so the lookup is an equi join even for an actor with a large share
-    of the log; an existence test emits no pairs. Consent is never satisfied by
-    an exception and a denial is never lifted.
+    ``exceptions``: actor, kind, state, valid_from, valid_until. Few of them are cut into days and
+    sent to the log. Beyond the limit grants and the calls that ask are swept in one order of
+    actor and time: a call is approved when the latest end of all grants begun before
+    it lies after it. An actor with a large share of the log is spread over tasks, and no pair is
+    written. Consent is never satisfied by an exception and a denial is never lifted.
     """
     active = exceptions.filter((F.col("state") == "active") & (F.col("kind") == "approval_required"))
+    asks = F.coalesce(F.exists("conditions", lambda c: c["kind"] == "approval_required"), F.lit(False))
     standing = active.filter("valid_until IS NULL").groupBy("actor").agg(F.min("valid_from").alias("standing_from"))
     days = (
         active.filter("valid_from < valid_until")
         .withColumn("day", F.explode(F.sequence(F.to_date("valid_from"), F.to_date("valid_until"))))
         .select("actor", "day", "valid_from", "valid_until")
     )
-    asked = reference_join(
-        decisions.withColumn("_day", F.to_date("instant")), standing, ["actor"], "left",
-        spread_by=["request_id"], derived="standing",
-    )
     if fits(days, limit):
-        marked = _has_approval(asked, F.broadcast(days))
+        asked = reference_join(
+            decisions.withColumn("_day", F.to_date("instant")), standing, ["actor"], "left",
+            spread_by=["request_id"], derived="standing",
+        )
+        # the flag speaks of rows that ask for an approval, in either form
+        marked = _has_approval(asked, F.broadcast(days)).withColumn("has_approval", F.col("has_approval") & asks)
+        marked = marked.drop("_day", "standing_from")
     else:
         # only rows that ask for an approval are moved to meet the exceptions
-        asks = F.coalesce(F.exists("conditions", lambda c: c["kind"] == "approval_required"), F.lit(False))
-        marked = _has_approval(asked.filter(asks), days).unionByName(
-            asked.filter(~asks).withColumn("has_approval", F.lit(False))
-        )
-    # the flag speaks of rows that ask for an approval, in either form
-    needs = F.coalesce(F.exists("conditions", lambda c: c["kind"] == "approval_required"), F.lit(False))
-    marked = marked.withColumn("has_approval", F.col("has_approval") & needs)
+        until = F.coalesce(F.col("valid_until").cast("timestamp_ntz"), F.lit(FOR_EVER).cast("timestamp_ntz"))
+        grants = active.select("actor", "valid_from", until.alias("until"))
+        swept = asof_join(decisions.filter(asks), grants, ["actor"], "instant", "valid_from", ["until"], largest=True)
+        approved = F.coalesce(F.col("instant").cast("timestamp_ntz") < F.col("found.until"), F.lit(False))
+        marked = swept.withColumn("has_approval", approved).drop("found")
+        marked = marked.unionByName(decisions.filter(~asks).withColumn("has_approval", F.lit(False)))
     met = F.transform(
         "conditions",
         lambda c: c.withField("satisfied", (c["kind"] == "approval_required") & F.col("has_approval")),
@@ -286,7 +307,6 @@ def satisfy_conditions(decisions, exceptions, limit=decide.BROADCAST_ROWS):
             & (F.size("conditions") > 0)
             & F.forall("conditions", lambda c: c["satisfied"]),
         )
-        .drop("_day", "standing_from")
     )
 
 

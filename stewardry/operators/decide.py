@@ -14,7 +14,6 @@ from stewardry.functions.scale import BROADCAST_ROWS, fits, salted_join
 from stewardry.schemas import CONDITION, OBLIGATION
 
 SCOPE = ["database", "schema", "table", "column_key", "scenario"]
-MAX_RULES_PER_SCOPE = 10_000
 
 
 def _keyed(df):
@@ -48,26 +47,18 @@ def with_rule_arrays(requests, rules, limit=BROADCAST_ROWS, small=None, by=()):
     """Each request with the rules of its scope as one array; no request is shuffled
     while the rule table fits the broadcast limit.
 
-    A scope's array is as long as its rules; beyond ``MAX_RULES_PER_SCOPE`` the row
-    forms (:func:`decided_pairs` and the aggregates over it) answer instead.
+    A scope's array is as long as its rules. Where scopes are crowded, the row forms
+    (:func:`decided_pairs` and the aggregates over it) give the same answers without arrays.
     """
     keyed, packed, keys = _keyed(requests), packed_rules(rules, by), [*by, *SCOPE]
     grouped = packed.groupBy(*keys).agg(F.collect_list("rule").alias("rules"))
     if fits(rules, limit) if small is None else small:
         out = keyed.join(F.broadcast(grouped), keys, "left")
     else:
-        check_scopes(packed, keys)
         out = salted_join(keyed, grouped, keys, "left", spread_by=["request_id"])
     return out.drop("column_key")
 
 
-def check_scopes(packed, scope):
-    """Refuse array forms for a scope whose rules would not fit one row."""
-    crowded = packed.groupBy(*scope).agg(F.count("*").alias("n")).filter(F.col("n") > MAX_RULES_PER_SCOPE)
-    if crowded.limit(1).collect():
-        raise ValueError("a scope holds too many rules for one answer row; use decided_pairs and compose_pairs")
-
-
 def judged(rules, q):
     """Rules in force with what each says: array of (rule, decision), NULLs dropped.
 

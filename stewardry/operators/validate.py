@@ -111,7 +111,6 @@ def _meet_rules(refs, rules, limit):
     if fits(packed, limit):
         met = asked.join(F.broadcast(per_table), TABLE, "left").join(F.broadcast(per_intent), [*TABLE, "intent"], "left")
     else:
-        decide.check_scopes(packed, TABLE)
         spread = ["query_id", "ref_no"]
         met = salted_join(asked, per_table, TABLE, "left", spread_by=spread)
         met = salted_join(met, per_intent, [*TABLE, "intent"], "left", spread_by=spread)

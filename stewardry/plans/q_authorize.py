@@ -373,7 +373,7 @@ UNION ALL SELECT request_id, policy, 'ai_restriction', restriction, NULL, instan
     ["conditions"],
 )
 def collect_conditions(w):
-    return authorized(w).select("request_id", F.explode("conditions").alias("c")).select(
+    return compose.cited_rows(w.requests(), w.rules()).select("request_id", F.explode("conditions").alias("c")).select(
         "request_id", "c.kind", "c.requirement", "c.policy", "c.required_role", F.lit(False).alias("satisfied")
     )
 
@@ -389,7 +389,7 @@ UNION ALL SELECT request_id, 'retain', NULL, policy, db || '.' || sch || '.' ||
 
 @query("collect_obligations", "SELECT request_id, type, target, method, policy FROM obligations", ["obligations"])
 def collect_obligations(w):
-    return authorized(w).select("request_id", F.explode("obligations").alias("o")).select(
+    return compose.cited_rows(w.requests(), w.rules()).select("request_id", F.explode("obligations").alias("o")).select(
         "request_id", "o.type", "o.target", "o.method", "o.policy"
     )
 
@@ -400,8 +400,23 @@ def collect_obligations(w):
     ["pairs"],
 )
 def collect_prohibitions(w):
-    return authorized(w).select("request_id", F.explode("prohibitions").alias("p")).select(
-        "request_id", "p.policy", "p.instruction_key"
+    return compose.cited_rows(w.requests(), w.rules()).filter("decision = 'deny'").select("request_id", "policy", "instruction_key")
+
+
+@query(
+    "authorize_rows",
+    """SELECT a.request_id, a.state, a.decision, a.reason_code, a.n_rules, a.n_live, coalesce(n_cited, 0) AS n_cited, first_rule
+    FROM answers a LEFT JOIN (SELECT request_id, count(*) AS n_cited, arg_min(rule_id, cited_rank) AS first_rule FROM (
+      SELECT request_id, rule_id, """ + ORDERED + """ AS cited_rank FROM ranked) GROUP BY 1) USING (request_id)""",
+    ["answers", "ranked"],
+)
+def authorize_rows(w):
+    """Full answers as two tables, for scopes of any size: the answers, and the rules they cite in order."""
+    answers, cited = compose.authorize_rows(w.requests(), w.rules(), "pub-1")
+    of_row = cited.groupBy("row_id").agg(F.count("*").alias("n_cited"), F.min_by("rule_id", "rank").alias("first_rule"))
+    return answers.join(of_row, "row_id", "left").select(
+        "request_id", "state", "decision", "reason_code", F.col("n_rules").cast("long"), F.col("n_live").cast("long"),
+        F.coalesce("n_cited", F.lit(0)).cast("long").alias("n_cited"), "first_rule",
     )
 
 

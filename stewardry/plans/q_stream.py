@@ -101,19 +101,20 @@ def stream_verdict_windows(w):
 
 @query(
     "stream_agent_sessions",
-    """SELECT user_id, strftime(started, '%Y-%m-%d %H:%M:%S') AS started, strftime(ended, '%Y-%m-%d %H:%M:%S') AS ended, n_calls, n_revised, n_denied FROM (
+    """SELECT user_id, strftime(started, '%Y-%m-%d %H:%M:%S') AS started, strftime(ended, '%Y-%m-%d %H:%M:%S') AS ended, n_calls, n_revised, n_denied,
+      ended > (SELECT max(ts) FROM calls) - INTERVAL 10 MINUTE AS open FROM (
       SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS n_calls,
         count(*) FILTER (WHERE label = 'warn') AS n_revised, count(*) FILTER (WHERE label = 'deny') AS n_denied
       FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session_no FROM (
         SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM calls))
-      GROUP BY user_id, session_no)
-    WHERE ended <= (SELECT max(ts) FROM calls) - INTERVAL 10 MINUTE""",
+      GROUP BY user_id, session_no)""",
     ["calls"],
 )
 def stream_agent_sessions(w):
-    """Sessions the watermark has closed by the end of the log."""
-    closed = closed_sessions(w)
-    return closed.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")})
+    """Sessions the watermark has closed by the end of the log, and those that were open then."""
+    calls = w.sql(CALLS).select("user_id", "ts", "label")
+    found = streams.with_open_sessions(closed_sessions(w), calls, "ts", "user_id")
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")})
 
 
 def closed_sessions(w):

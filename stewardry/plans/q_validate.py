@@ -184,6 +184,21 @@ def finding_decision(w):
     return found(w).select("query_id", "ref_no", "finding_decision")
 
 
+@query(
+    "finding_rows",
+    """SELECT query_id, ref_no, CASE WHEN governed THEN 'evaluated' ELSE 'not_enough_published_state' END AS status, finding_decision,
+    coalesce(n_cited, 0) AS n_cited FROM vfindings LEFT JOIN (SELECT query_id, ref_no, count(*) AS n_cited FROM vpairs GROUP BY 1, 2) USING (query_id, ref_no)""",
+    ["vfindings", "vpairs"],
+)
+def finding_rows(w):
+    """Findings as two tables, for tables with any number of rules: one row per reference, and the rules it meets."""
+    refs_found, cited_rules = validate.finding_rows(validate.expand_star(refs(w), w.catalog()), w.rules())
+    of_row = cited_rules.groupBy("row_id").agg(F.count("*").alias("n_cited"))
+    return refs_found.join(of_row, "row_id", "left").select(
+        "query_id", "ref_no", "status", "finding_decision", F.coalesce("n_cited", F.lit(0)).cast("long").alias("n_cited")
+    )
+
+
 def judged(w):
     return validate.verdicts(found(w))
 

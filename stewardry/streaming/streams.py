@@ -99,10 +99,12 @@ def newest_per_key(batches, keys):
 
 def agent_sessions(calls, at, actor, gap="30 minutes", delay="10 minutes"):
     """Session windows over agent calls, emitted once the watermark closes them."""
+    return _sessions(event_time(calls, at).withWatermark(at, delay), at, actor, gap)
+
+
+def _sessions(calls, at, actor, gap):
     return (
-        event_time(calls, at)
-        .withWatermark(at, delay)
-        .groupBy(F.session_window(at, gap).alias("session"), actor)
+        calls.groupBy(F.session_window(at, gap).alias("session"), actor)
         .agg(
             F.count("*").alias("n_calls"),
             F.count_if(F.col("label") == "warn").alias("n_revised"),
@@ -115,6 +117,18 @@ def agent_sessions(calls, at, actor, gap="30 minutes", delay="10 minutes"):
     )
 
 
+def with_open_sessions(closed, calls, at, actor, gap="30 minutes"):
+    """``closed`` sessions of the stream with those still open at the end of the log, flagged ``open``.
+
+    Sessions of an actor close in the order of time, so the calls after an actor's last closed session are the open ones.
+    """
+    last = closed.groupBy(F.col(actor).alias("_actor")).agg(F.max("ended").alias("_closed"))
+    left = event_time(calls, at).join(last, F.col(actor).eqNullSafe(F.col("_actor")), "left")
+    left = left.where(F.col("_closed").isNull() | (F.col(at) >= F.col("_closed"))).drop("_actor", "_closed")
+    ongoing = _sessions(left, at, actor, gap)
+    return closed.select(*ongoing.columns).withColumn("open", F.lit(False)).unionByName(ongoing.withColumn("open", F.lit(True)))
+
+
 def request_status(log, delay="2 days"):
     """Latest state per access request and day; days the watermark has passed leave state."""
     newest = F.max_by(F.struct("ts", "event_id", "status", "exception_state"), F.struct("ts", "event_id"))

@@ -122,12 +122,6 @@ def test_salted_answers_equal_broadcast_answers(w, monkeypatch):
     assert small.exceptAll(large).count() == 0
 
 
-def test_crowded_scopes_are_refused_not_cut(w, monkeypatch):
-    monkeypatch.setattr(decide, "MAX_RULES_PER_SCOPE", 1)
-    with pytest.raises(ValueError):
-        compose.authorize(w.requests(), w.rules(), limit=3)
-
-
 def test_result_does_not_depend_on_order_or_partitions(w):
     fields = ["request_id", "decision", "decision_id"]
     a = compose.authorize(w.requests(), w.rules()).select(*fields)
