@@ -120,8 +120,9 @@ def archive(spark, folder):
     captures = captures.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return captures.select(
         F.col("metadata.page_id").alias("page_id"),
-        F.coalesce("response.payload_bytes", "refers_bytes").alias("payload_bytes"),
-        F.col("response.payload_digest").alias("payload_digest"),
+        # of the payload that the capture holds; a revisit has that of the record it names
+        F.coalesce(F.octet_length("response.payload").cast("long"), "refers_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("response.payload"), "response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.when(F.col("response.type") == "revisit", F.col("refers_to")).alias("refers_to"),
     )

@@ -7,7 +7,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stewardry.llm.common import bound_batches, shuffle_tasks, slices
+from stewardry.functions.scale import fits
+from stewardry.llm.common import BROADCAST_KEYS, bound_batches, shuffle_tasks, slices
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -17,8 +18,8 @@ REVISIT_BYTES = 1_000
 ARCHIVE_BYTES = 64 << 20
 # Members are small; higher levels cost several times the time for a few percent.
 LEVEL = 1
-# Read and decompressed at a time; also the payload bytes of one Arrow batch.
-CHUNK = 4 << 20
+# Read at a time, which is also the payload bytes of one Arrow batch; and given to a decompressor, which copies what it leaves.
+CHUNK, FED = 4 << 20, 1 << 14
 # Fixed values of the format.
 VERSION, REVISIT_PROFILE = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -85,7 +86,8 @@ def mark_revisits(pages, page_id="page_id", url="url", html="html"):
     best = F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url")))
     repeated = seen.agg(best.alias("best"), F.count("*").alias("times")).where("times > 1").drop("times")
     repeated = materialize(repeated, "warc-repeated")
-    marked = rows.join(repeated, ["digest", "n"], "left")
+    # payloads stay where they are as long as the repeated digests are few enough to send
+    marked = rows.join(F.broadcast(repeated) if fits(repeated, BROADCAST_KEYS) else repeated, ["digest", "n"], "left")
     refers = F.when(F.col("page_id") < F.col("best.page_id"), F.col("best"))
     marked = marked.withColumn("refers", refers)
     return marked.select("page_id", "url", "payload", "digest", F.col("refers.page_id").alias("refers_id"), F.col("refers.url").alias("refers_url"))
@@ -129,16 +131,17 @@ def write_archives(pages, folder, archive_bytes=ARCHIVE_BYTES):
 
 def _members(file):
     """The decompressed gzip members of an archive, read in chunks."""
-    unzip, parts, data = zlib.decompressobj(31), [], file.read(CHUNK)
-    while data:
-        parts.append(unzip.decompress(data))
-        if unzip.eof:
-            yield b"".join(parts)
-            data, parts, unzip = unzip.unused_data, [], zlib.decompressobj(31)
-            if not data:
-                data = file.read(CHUNK)
-        else:
-            data = file.read(CHUNK)
+    unzip, parts = zlib.decompressobj(31), []
+    while data := file.read(CHUNK):
+        data, at = memoryview(data), 0
+        while at < len(data):
+            fed = data[at : at + FED]
+            parts.append(unzip.decompress(fed))
+            at += len(fed)
+            if unzip.eof:
+                at -= len(unzip.unused_data)
+                yield b"".join(parts)
+                unzip, parts = zlib.decompressobj(31), []
     if parts:
         raise ValueError("an archive ends inside a record")
 
@@ -200,40 +203,42 @@ def read_records(manifest, payloads=True):
 
 
 def assemble(records):
-    """One nested row per capture: ``response``, ``request``, ``metadata``, and the page a revisit refers to.
+    """One nested row per capture: ``response``, ``request``, ``metadata``, and the page and length a revisit refers to.
 
-    Requests and metadata are joined to their response or revisit through concurrent-to. Records
-    with one record id are copies: one row whose ``copies`` counts them; of several requests or metadata records of one capture
+    Requests and metadata are joined to their response or revisit through concurrent-to, and revisits to the
+    page and length of the record they name (null where there is none): on ids alone, so that a payload moves
+    once, to what belongs to it. Records with one record id are copies: one row whose ``copies`` counts them; of several requests or metadata records of one capture
     the least record id is kept beside their number, by a map-side minimum, so a capture
     that many records name stays one row. Captures without request or metadata keep nulls there.
     """
-    captures = records.where(F.col("type").isin("response", "revisit")).groupBy("record_id")
-    fields = ("type", "uri", "payload", "payload_bytes", "payload_digest", "refers_to")
-    captures = captures.agg(*[F.first(c).alias(c) for c in fields], F.count("*").alias("copies"))
     sides = records.where(F.col("type").isin("request", "metadata")).groupBy(F.col("concurrent_to").alias("record_id"))
     side = lambda kind: F.min(F.when(F.col("type") == kind, F.struct("record_id", "uri", "page_id")))
     sides = sides.agg(
         side("request").alias("request"), side("metadata").alias("metadata"), F.count("*").alias("concurrent_records")
     )
-    whole = captures.join(sides, "record_id", "left")
-    response = F.struct("record_id", "type", "uri", "payload", "payload_bytes", "payload_digest", "refers_to")
-    return whole.select(
-        "record_id", response.alias("response"), "request", "metadata", F.coalesce("concurrent_records", F.lit(0)).alias("concurrent_records"), "copies"
+    captures = records.where(F.col("type").isin("response", "revisit"))
+    ids = captures.groupBy("record_id").agg(F.first("type").alias("kind"), F.first("refers_to").alias("_target"), F.first("payload_bytes").alias("n"))
+    whole = materialize(ids.join(sides, "record_id", "left"), "warc-sides")
+    # a target with a third of all revisits is split by the adaptive skew join
+    targets = whole.where("kind = 'response'").select(
+        F.col("record_id").alias("_target"), F.col("metadata.page_id").alias("refers_to"), F.col("n").alias("refers_bytes")
     )
-
-
-def resolve_revisits(captures):
-    """Adds page and payload length of the record a revisit refers to (null where there is none).
-
-    Only the targets' ids and lengths move; a target with a third of all revisits is split by
-    the adaptive skew join.
-    """
-    targets = captures.where(F.col("response.type") == "response").select(
-        F.col("record_id").alias("_target"),
-        F.col("metadata.page_id").alias("refers_to"),
-        F.col("response.payload_bytes").alias("refers_bytes"),
+    named = whole.where("_target is not null").join(targets, "_target", "left")
+    named = named.select("record_id", F.struct("refers_to", "refers_bytes").alias("refers"))
+    whole = whole.join(named, "record_id", "left").drop("kind", "n", "_target")
+    fields = ("type", "uri", "payload", "payload_bytes", "payload_digest", "refers_to")
+    stored = captures.groupBy("record_id").agg(F.first(F.struct(*fields)).alias("r"), F.count("*").alias("copies"))
+    response = F.struct("record_id", "r.type", "r.uri", "r.payload", "r.payload_bytes", "r.payload_digest", "r.refers_to")
+    return stored.join(whole, "record_id").select(
+        "record_id",
+        response.alias("response"),
+        "request",
+        "metadata",
+        F.coalesce("concurrent_records", F.lit(0)).alias("concurrent_records"),
+        "copies",
+        F.col("refers.refers_to").alias("refers_to"),
+        F.col("refers.refers_bytes").alias("refers_bytes"),
     )
-    return captures.withColumn("_target", F.col("response.refers_to")).join(targets, "_target", "left").drop("_target")
 
 
 def archive_pages(pages, payloads=True):
@@ -245,4 +250,4 @@ def archive_pages(pages, payloads=True):
     manifest = write_archives(pages, scratch_dir(pages.sparkSession, "warc"))
     # written once: captures and their side records are both taken from it
     records = materialize(read_records(manifest, payloads), "warc-records")
-    return resolve_revisits(materialize(assemble(records), "warc-captures"))
+    return assemble(records)

@@ -41,7 +41,7 @@ def test_missing_and_repeated_sides(spark):
         ("revisit", "r2", None, "gone"), ("request", "q9", "none", None), ("response", "r1", None, None),
     ]
     rows = [(t, i, c, f, "u", bytearray(b"x"), 1, "d", None) for t, i, c, f in rows]
-    whole = warc.resolve_revisits(warc.assemble(spark.createDataFrame(rows, warc.RECORDS)))
+    whole = warc.assemble(spark.createDataFrame(rows, warc.RECORDS))
     got = {r["record_id"]: r for r in whole.collect()}
     assert set(got) == {"r1", "r2"}
     assert got["r1"]["request"]["record_id"] == "q1" and got["r1"]["concurrent_records"] == 3
