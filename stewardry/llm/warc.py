@@ -16,8 +16,8 @@ from stewardry.session import materialize, scratch_dir
 REVISIT_BYTES = 1_000
 # An archive is closed once it holds this many compressed bytes.
 ARCHIVE_BYTES = 64 << 20
-# Members are small; higher levels cost several times the time for a few percent.
-LEVEL = 1
+# The level of the archives' members.
+LEVEL = 6
 # Read at a time, which is also the payload bytes of one Arrow batch; and given to a decompressor, which copies what it leaves.
 CHUNK, FED = 4 << 20, 1 << 14
 # Fixed values of the format.
@@ -202,23 +202,24 @@ def read_records(manifest, payloads=True):
     return files.mapInArrow(read, RECORDS)
 
 
-def assemble(records):
+def assemble(records, ids=None):
     """One nested row per capture: ``response``, ``request``, ``metadata``, and the page and length a revisit refers to.
 
     Requests and metadata are joined to their response or revisit through concurrent-to, and revisits to the
     page and length of the record they name (null where there is none): on ids alone, so that a payload moves
-    once, to what belongs to it. Records with one record id are copies: one row whose ``copies`` counts them; of several requests or metadata records of one capture
+    once, to what belongs to it (``ids``: the records without payloads, where they are at hand). Records with one record id are copies: one row whose ``copies`` counts them; of several requests or metadata records of one capture
     the least record id is kept beside their number, by a map-side minimum, so a capture
     that many records name stays one row. Captures without request or metadata keep nulls there.
     """
-    sides = records.where(F.col("type").isin("request", "metadata")).groupBy(F.col("concurrent_to").alias("record_id"))
+    narrow = records if ids is None else ids
+    sides = narrow.where(F.col("type").isin("request", "metadata")).groupBy(F.col("concurrent_to").alias("record_id"))
     side = lambda kind: F.min(F.when(F.col("type") == kind, F.struct("record_id", "uri", "page_id")))
     sides = sides.agg(
         side("request").alias("request"), side("metadata").alias("metadata"), F.count("*").alias("concurrent_records")
     )
-    captures = records.where(F.col("type").isin("response", "revisit"))
-    ids = captures.groupBy("record_id").agg(F.first("type").alias("kind"), F.first("refers_to").alias("_target"), F.first("payload_bytes").alias("n"))
-    whole = materialize(ids.join(sides, "record_id", "left"), "warc-sides")
+    known = narrow.where(F.col("type").isin("response", "revisit"))
+    known = known.groupBy("record_id").agg(F.first("type").alias("kind"), F.first("refers_to").alias("_target"), F.first("payload_bytes").alias("n"))
+    whole = materialize(known.join(sides, "record_id", "left"), "warc-sides")
     # a target with a third of all revisits is split by the adaptive skew join
     targets = whole.where("kind = 'response'").select(
         F.col("record_id").alias("_target"), F.col("metadata.page_id").alias("refers_to"), F.col("n").alias("refers_bytes")
@@ -227,7 +228,7 @@ def assemble(records):
     named = named.select("record_id", F.struct("refers_to", "refers_bytes").alias("refers"))
     whole = whole.join(named, "record_id", "left").drop("kind", "n", "_target")
     fields = ("type", "uri", "payload", "payload_bytes", "payload_digest", "refers_to")
-    stored = captures.groupBy("record_id").agg(F.first(F.struct(*fields)).alias("r"), F.count("*").alias("copies"))
+    stored = records.where(F.col("type").isin("response", "revisit")).groupBy("record_id").agg(F.first(F.struct(*fields)).alias("r"), F.count("*").alias("copies"))
     response = F.struct("record_id", "r.type", "r.uri", "r.payload", "r.payload_bytes", "r.payload_digest", "r.refers_to")
     return stored.join(whole, "record_id").select(
         "record_id",
@@ -249,5 +250,8 @@ def archive_pages(pages, payloads=True):
     """
     manifest = write_archives(pages, scratch_dir(pages.sparkSession, "warc"))
     # written once: captures and their side records are both taken from it
-    records = materialize(read_records(manifest, payloads), "warc-records")
-    return assemble(records)
+    # ids are read first and written; payloads are read where they are joined, and kept nowhere in between
+    path = scratch_dir(pages.sparkSession, "warc-ids")
+    ids = read_records(manifest, payloads=False).drop("payload")
+    ids.write.option("compression", "zstd").parquet(path)
+    return assemble(read_records(manifest, payloads), pages.sparkSession.read.schema(ids.schema).parquet(path))
