@@ -12,22 +12,22 @@ from stewardry.operators.prepare import prepared, publication_at, receipts, sign
 from stewardry.schemas import CONDITION, OBLIGATION
 from stewardry.session import materialize
 
-# What the caller should do next, by decision.
+# What the caller may do next, by decision.
 NEXT_ACTIONS = {
-    "allow": "Proceed and record the decision id with the workflow.",
-    "log_only": "Proceed and record the decision id with the workflow.",
-    "retain": "Proceed and keep the data for the stated period.",
-    "conditional": "Satisfy the stated conditions, then ask again.",
-    "mask_full": "Apply the stated masks before use.",
-    "mask_partial": "Apply the stated masks before use.",
-    "deny": "Do not proceed; published policy prohibits this use.",
-    "require_review": "Route to governance review.",
+    "allow": "Go ahead; keep the decision id as proof.",
+    "log_only": "Go ahead; keep the decision id as proof.",
+    "retain": "Go ahead, and hold the data as long as the rule says.",
+    "conditional": "Meet every listed condition and ask once more.",
+    "mask_full": "Mask the named columns first.",
+    "mask_partial": "Mask the named columns first.",
+    "deny": "Stop: a rule in force forbids it.",
+    "require_review": "Wait for someone responsible for the rules.",
 }
 NEXT_BY_REASON = {
-    vocab.REASON_NO_STATE: "Publish policy for this asset before asking again.",
-    vocab.REASON_NOT_EFFECTIVE: "No rule is in force at this instant; publish one or change the as-of date.",
-    vocab.REASON_CONFLICT: "Resolve the conflicting policies, then publish again.",
-    vocab.REASON_WINDOW: "State a purpose and, for as-of windows, an as-of instant.",
+    vocab.REASON_NO_STATE: "No rule speaks of this asset yet; one has to be served first.",
+    vocab.REASON_NOT_EFFECTIVE: "Rules exist, but none at this instant; ask for another date.",
+    vocab.REASON_CONFLICT: "Two rules contradict each other; their owners have to settle it.",
+    vocab.REASON_WINDOW: "Name the purpose, and the instant it is meant for.",
     vocab.REASON_CONSENT: "State a purpose that has a consent rule.",
     vocab.REASON_SCENARIO: "Name a scenario key.",
 }
