@@ -491,6 +491,7 @@ POLICIES = f"""
 SELECT c_custkey AS policy_id, 'policy-' || CAST(c_custkey AS VARCHAR(20)) AS name,
   c_custkey % 10 AS family_no, {div('c_custkey', 10)} % 5 AS selector_no, c_custkey AS k,
   CASE WHEN c_custkey % 3 = 0 THEN 'master' END AS only_db,
+  CASE WHEN c_custkey % 11 = 3 THEN 'public' WHEN c_custkey % 11 = 7 THEN 'finance' END AS only_sch,
   {pick('c_custkey % 7', (850, 600, 550, 550, 300, 90, 700))} AS priority,
   c_nationkey AS nation, {_KPATH.replace('k %', 'c_custkey %').replace('CAST(k ', 'CAST(c_custkey ')} AS target_path
 FROM {{customer}}

@@ -48,6 +48,14 @@ UNION ALL SELECT policy_id, 'masking', NULL, 'masking:spec.accessControl.masking
   CASE {_MASK} WHEN 'partial' THEN 'mask_partial' WHEN 'custom.vault' THEN 'require_review' ELSE 'mask_full' END, NULL
   FROM pol WHERE family_no IN (5, 6)
 UNION ALL SELECT policy_id, 'retention', NULL, 'retention:spec.retention', 'retention.lifecycle', 'retain', NULL FROM pol WHERE family_no = 7
+UNION ALL SELECT policy_id, 'row_access', NULL, 'row_access:spec.rowFilter.rules', 'access.row_filter', 'conditional', NULL
+  FROM pol WHERE k % 20 = 8
+UNION ALL SELECT policy_id, 'transfer_governance', NULL, 'transfer_governance:spec.transferGovernance', 'residency.cross_border_transfer',
+  CASE WHEN k % 40 = 18 THEN 'deny' ELSE 'conditional' END, NULL FROM pol WHERE k % 20 = 18
+UNION ALL SELECT policy_id, 'access_window', NULL, 'access_window:spec.accessWindows', 'access.read', 'conditional', NULL
+  FROM pol WHERE k % 20 = 9
+UNION ALL SELECT policy_id, 'consent_requirement', NULL, 'consent_requirement:spec.consentRequirements', 'consent.required', 'conditional', NULL
+  FROM pol WHERE k % 20 = 19
 UNION ALL SELECT policy_id, 'compliance', NULL, 'compliance:spec.compliance.regulations:' || r, 'compliance.regulatory', 'log_only', NULL
   FROM pol, (VALUES ('gdpr'), ('hipaa')) g(r) WHERE family_no = 8
 UNION ALL SELECT policy_id, 'business_context', NULL, 'business_context:metadata.businessContext', 'metadata.domain', 'log_only', NULL
@@ -70,20 +78,21 @@ cte(
 cte(
     "targets_all",
     """
-SELECT policy_id, only_db, db, sch, t.name AS tbl, CAST(NULL AS VARCHAR) AS col, 'selector' AS source, CAST(NULL AS VARCHAR) AS ref
+SELECT policy_id, only_db, only_sch, db, sch, t.name AS tbl, CAST(NULL AS VARCHAR) AS col, 'selector' AS source, CAST(NULL AS VARCHAR) AS ref
   FROM pol JOIN cat_tables t ON (selector_no = 0 AND t.table_no IN (k, k + 1)) OR (selector_no = 4 AND k % 2 = 0 AND t.table_no = k)
-UNION ALL SELECT policy_id, only_db, db, sch, c.tbl, c.col, 'selector', NULL
+UNION ALL SELECT policy_id, only_db, only_sch, db, sch, c.tbl, c.col, 'selector', NULL
   FROM pol JOIN cat_columns c ON selector_no = 1 AND c.table_no = k AND c.col = 'contact_email'
-UNION ALL SELECT policy_id, only_db, db, sch, c.tbl, c.col, 'taxonomy', c.data_type_id
+UNION ALL SELECT policy_id, only_db, only_sch, db, sch, c.tbl, c.col, 'taxonomy', c.data_type_id
   FROM pol JOIN cat_columns c ON selector_no = 2 AND c.data_type_id = 'custom.type' || CAST(k // 8 AS VARCHAR)
-UNION ALL SELECT policy_id, only_db, db, sch, t.name, NULL, 'collection', t.collection
+UNION ALL SELECT policy_id, only_db, only_sch, db, sch, t.name, NULL, 'collection', t.collection
   FROM pol JOIN cat_tables t ON selector_no = 3 AND t.collection = 'c' || CAST(k // 5 AS VARCHAR)
-UNION ALL SELECT policy_id, only_db, db, sch, t.name, NULL, 'tag', t.tag
+UNION ALL SELECT policy_id, only_db, only_sch, db, sch, t.name, NULL, 'tag', t.tag
   FROM pol JOIN cat_tables t ON selector_no = 4 AND t.tag = 'tag' || CAST(k // 4 AS VARCHAR)
 """,
     "pol", "cat_tables", "cat_columns",
 )
-cte("targets", "SELECT * FROM targets_all WHERE only_db IS NULL OR only_db = db", "targets_all")
+_IN_SCOPE = "(only_db IS NULL OR only_db = db) AND (only_sch IS NULL OR only_sch = sch)"
+cte("targets", f"SELECT * FROM targets_all WHERE {_IN_SCOPE}", "targets_all")
 cte(
     "reached",
     """
@@ -129,7 +138,7 @@ expansion("expand_role_grants", "role", "family = 'role_grant'")
 expansion("expand_masking", "masking", "family = 'masking'")
 expansion(
     "expand_context_families", "context",
-    "family IN ('retention', 'compliance', 'business_context', 'classification')",
+    "family NOT IN ('usage_guidance', 'ai_governance', 'role_grant', 'masking')",
 )
 
 # --- selectors -----------------------------------------------------------------------
@@ -174,7 +183,7 @@ selector(
 
 @query(
     "scope_filter_db_schema",
-    "SELECT policy_id, db || '.' || sch || '.' || tbl AS asset, only_db IS NULL OR only_db = db AS in_scope "
+    f"SELECT policy_id, db || '.' || sch || '.' || tbl AS asset, {_IN_SCOPE} AS in_scope "
     "FROM targets_all WHERE source = 'tag'",
     ["targets_all"],
 )

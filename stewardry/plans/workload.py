@@ -147,6 +147,8 @@ class Workload:
         def words(*values):
             return F.array(*[F.lit(v) for v in values])
 
+        null_words = F.lit(None).cast("array<string>")
+
         def text(prefix, size):
             return F.concat(F.lit(prefix), F.floor(k / size).cast("string"))
 
@@ -154,7 +156,7 @@ class Workload:
         null = {f.name: F.lit(None).cast(f.dataType) for f in shape.fields}
         selector = F.struct(
             F.when(F.col("only_db").isNotNull(), F.array("only_db")).alias("databases"),
-            F.lit(None).cast("array<string>").alias("schemas"),
+            F.when(F.col("only_sch").isNotNull(), F.array("only_sch")).alias("schemas"),
             F.when(
                 sel == 0, F.array(F.concat(F.lit("t"), k.cast("string")), F.concat(F.lit("t"), (k + 1).cast("string")))
             )
@@ -201,6 +203,45 @@ class Workload:
             retention=only(
                 7, F.struct(F.lit("7 years").alias("period"), F.lit("closed").alias("trigger"), F.lit("delete").alias("action"))
             ),
+            row_filter=F.when(
+                k % 20 == 8,
+                F.struct(words("ANALYST", "AUDITOR").alias("roles"), F.concat(F.lit("nation = "), F.col("nation")).alias("expression")),
+            ),
+            transfer=F.when(
+                k % 20 == 18,
+                F.struct(
+                    F.when(k % 40 == 18, "deny").otherwise("conditional").alias("default_effect"),
+                    F.array(
+                        F.struct(
+                            F.lit("conditional").alias("effect"), words("export").alias("operations"),
+                            words("INTERNAL_WAREHOUSE").alias("systems"), null_words.alias("dest_jurisdictions"),
+                            null_words.alias("consumer_jurisdictions"), F.lit(True).alias("requires_approval"),
+                            (k % 40 == 18).alias("requires_anonymization"), F.lit(None).cast("string").alias("required_role"),
+                        )
+                    ).alias("rules"),
+                ),
+            ),
+            window=F.when(
+                k % 20 == 9,
+                F.struct(
+                    words("ANALYST").alias("actor_roles"), F.lit("updated_at").alias("time_column"),
+                    F.array(
+                        F.struct(
+                            F.lit("research.general").alias("purpose"), F.lit("rolling").alias("type"),
+                            (30 + k % 3 * 30).cast("int").alias("lookback_days"),
+                        )
+                    ).alias("rules"),
+                ),
+            ),
+            consent=F.when(
+                k % 20 == 19,
+                F.array(
+                    F.struct(
+                        F.lit("marketing.personalization").alias("purpose"), F.lit("consent_personalization").alias("basis_column"),
+                        F.lit("An opt-in is needed.").alias("requirement"),
+                    )
+                ),
+            ),
             regulations=only(8, words("GDPR", "HIPAA")),
             business_context=only(9, F.lit("customer domain")),
             effective_from=F.when(k % 4 == 1, F.lit("2024-01-10T00:00:00Z")),
