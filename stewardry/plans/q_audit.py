@@ -4,19 +4,20 @@ from pyspark.sql import functions as F
 
 from stewardry import vocab
 from stewardry.functions.expr import asset_path
-from stewardry.operators import audit, classify, compose, contract, decide, prepare, resolve
+from stewardry.operators import audit, classify, compose, contract, decide, prepare, publications, resolve
+from stewardry.plans import estate, q_resolve  # noqa: F401 - its checking tables are cloned below
 from stewardry.plans.estate import div, pick
 from stewardry.plans.q_authorize import authorized, pairs, signed
-from stewardry.plans.registry import cte, query, receipt_sql
+from stewardry.plans.registry import clone, cte, query, receipt_sql
 from stewardry.session import materialize
 
 TBL = "db || '.' || sch || '.' || tbl"
 TABLE_PATH = ("database", "schema", "table")
 
 
-def served(w):
-    """Rules at scale as an evaluation reads them: resolved once, written, read back."""
-    return materialize(resolve.flatten(w.instructions()), "instructions")
+def served(w, part=None):
+    """Rules at scale as an evaluation reads them: resolved once, written, read back; of the policies in ``part``, where given."""
+    return materialize(resolve.flatten(w.instructions(part)), "instructions")
 
 
 def before(day):
@@ -264,6 +265,29 @@ def coverage_delta(w):
     return delta.select(asset_path(*TABLE_PATH).alias("asset"), "before_state", "after_state")
 
 
+# Two publications: one policy in six is not in the first yet, one in thirteen is gone from the second.
+_RESOLVED = ("prules", "targets_all", "targets", "reached", "instr", "contested", "base_late", "late")
+clone("was_", _RESOLVED, "pol", estate.POLICIES + " WHERE c_custkey % 6 <> 1")
+clone("now_", _RESOLVED, "pol", estate.POLICIES + " WHERE c_custkey % 13 <> 5")
+
+
+@query(
+    "coverage_delta_publications",
+    f"""SELECT {TBL} AS asset, b.state AS before_state, a.state AS after_state FROM was_late b JOIN now_late a USING (db, sch, tbl)
+    WHERE b.state IS DISTINCT FROM a.state""",
+    ["was_late", "now_late"],
+)
+def coverage_delta_publications(w):
+    """Tables whose baseline answer differs between two publications; only tables of changed scopes are asked."""
+    first, second = (
+        materialize(resolve.mark_conflicts(served(w, part)).drop("conflict_group_id"), "marked")
+        for part in ("policy_id % 6 <> 1", "policy_id % 13 <> 5")
+    )
+    flips = publications.publication_flips(audit.baseline_requests(w.scoped_tables(), LATE), first, second)
+    flips = flips.where(~F.col("before_state").eqNullSafe(F.col("after_state")))
+    return flips.select(asset_path(*TABLE_PATH).alias("asset"), "before_state", "after_state")
+
+
 @query(
     "ungoverned_tables",
     f"""SELECT t.db || '.' || t.sch || '.' || t.name AS asset, CASE WHEN count(i.policy_id) = 0 THEN 'ungoverned' ELSE 'thin' END AS status

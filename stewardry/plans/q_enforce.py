@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stewardry.functions import masks
-from stewardry.operators import asof, compose, enforce
+from stewardry.operators import asof, compose, enforce, lattice
 from stewardry.plans import estate
 from stewardry.plans.registry import cte, query
 from stewardry.schemas import S
@@ -274,6 +274,83 @@ def anonymize(w):
     return kept.groupBy("region", "segment", "arr_band").agg(F.count("*").alias("n_rows"))
 
 
+# Levels of each quasi-identifier from fine to coarse, as the checking SQL writes them.
+LADDERS = {
+    "place": ("country", "region", "'*'"),
+    "segment": ("segment", "'*'"),
+    "arr_band": (
+        "CAST(CAST(floor(arr / 2500) AS BIGINT) AS VARCHAR)", "CAST(CAST(floor(arr / 5000) AS BIGINT) AS VARCHAR)", "'*'",
+    ),
+}
+FEWEST = 5
+
+
+def _over_nodes(select):
+    """One SELECT per node of the lattice; {0}, {1}, {2} are its expressions, {levels} its level numbers, {height} their sum."""
+    for node in lattice.nodes(LADDERS):
+        steps = [levels[n] for levels, n in zip(LADDERS.values(), node)]
+        numbers = ", ".join(f"{n} AS {name}_level" for name, n in zip(LADDERS, node))
+        yield select.format(*steps, levels=numbers, height=sum(node))
+
+
+cte(
+    "node_groups",
+    " UNION ALL ".join(
+        _over_nodes(
+            "SELECT {levels}, {height} AS height, {0} AS place, {1} AS segment, {2} AS arr_band, count(*) AS n "
+            "FROM customers GROUP BY ALL"
+        )
+    ),
+    "customers",
+)
+cte(
+    "node_losses",
+    f"""SELECT *, row_number() OVER (ORDER BY n_lost > 0, CASE WHEN n_lost > 0 THEN n_lost ELSE height END, height,
+      place_level, segment_level, arr_band_level) = 1 AS chosen FROM (
+      SELECT place_level, segment_level, arr_band_level, height, count(*) AS n_groups,
+        CAST(sum(CASE WHEN n < {FEWEST} THEN n ELSE 0 END) AS BIGINT) AS n_lost FROM node_groups GROUP BY 1, 2, 3, 4)""",
+    "node_groups",
+)
+
+
+def ladders():
+    def band(width):
+        return F.floor(F.col("arr") / width).cast("long").cast("string")
+
+    star = F.lit("*")
+    return {
+        "place": [F.col("country"), F.col("region"), star],
+        "segment": [F.col("segment"), star],
+        "arr_band": [band(2500), band(5000), star],
+    }
+
+
+@query(
+    "anonymity_levels",
+    "SELECT place_level, segment_level, arr_band_level, height, n_groups, n_lost, chosen FROM node_losses",
+    ["node_losses"],
+)
+def anonymity_levels(w):
+    steps = ladders()
+    losses = lattice.node_losses(lattice.finest_groups(w.customers(), steps), steps, FEWEST)
+    node, _, _ = lattice.choose(losses, steps)
+    levels = F.struct(*[F.col(f"{name}_level") for name in steps])
+    return losses.withColumn("chosen", levels == F.struct(*[F.lit(n) for n in node]))
+
+
+@query(
+    "anonymize_lattice",
+    f"""SELECT g.place, g.segment, g.arr_band, g.n AS n_rows FROM node_groups g JOIN node_losses USING (place_level, segment_level, arr_band_level)
+    WHERE chosen AND n >= {FEWEST}""",
+    ["node_groups", "node_losses"],
+)
+def anonymize_lattice(w):
+    """Customers at the lowest levels under which no group is smaller than five, counted by group."""
+    drop = ["customer_id", "customer_name", "email", "country", "region", "arr"]
+    kept = lattice.generalise(w.customers(), drop, ladders(), FEWEST)
+    return kept.groupBy("place", "segment", "arr_band").agg(F.count("*").alias("n_rows"))
+
+
 EXPORTS = f"""
 SELECT c_custkey AS export_id, {estate.pick('c_custkey % 4', estate.SYSTEMS)} AS dest_system,
   CASE WHEN {estate.div('c_custkey', 4)} % 3 = 0 THEN 'product' ELSE 'master' END AS db,

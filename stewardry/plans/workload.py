@@ -122,10 +122,11 @@ class Workload:
             "authored_entry string, resolved_key string, resolved_category string, do_not_map boolean, ruled_kind string",
         )
 
-    def instructions(self):
-        """Policies at scale resolved against the catalog at scale."""
+    def instructions(self, part=None):
+        """Policies at scale (those in ``part``, where given) resolved against the catalog at scale."""
+        policies = self.policies()
         return resolve.instructions(
-            self.policies(), self.scoped_tables(), self.catalog_columns(), self.collections()
+            policies.where(part) if part else policies, self.scoped_tables(), self.catalog_columns(), self.collections()
         )
 
     def collections(self):
