@@ -16,6 +16,8 @@ WIDTH, GROWTH = 0.5, 1.4
 FRACTION, SPARE = 0.08, 3
 # Vectors of one block and queries of one pass over it; both bound a task.
 BLOCK, QUERIES = 8_192, 1_024
+# A table of up to SPREAD * SMALL_BLOCK vectors is cut into smaller blocks, for as many tasks.
+SMALL_BLOCK, SPREAD = 1_024, 64
 
 
 def _unit_projections(dims, seed=3):
@@ -122,9 +124,9 @@ def nearest_vectors(queries, vectors, k=10, vec_id="vec_id", embedding="embeddin
         F.col("id").isNotNull() & usable(F.col("embedding"))
     )
     rows, asked = pick(vectors), pick(queries).dropDuplicates(["id"])
-    # spread small tables over all tasks, large ones into blocks of bounded size
+    # small tables are spread over tasks, large ones cut into blocks of bounded size; the rows alone decide
     n, q = rows.count(), asked.count()
-    blocks = max(-(-n // BLOCK), min(-(-n // 1_024), 2 * shuffle_tasks(spark)), 1)
+    blocks = max(-(-n // BLOCK), min(-(-n // SMALL_BLOCK), SPREAD), 1)
     parts = max(-(-q // QUERIES), 1)
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -17,8 +17,8 @@ SLICE_BYTES = 2 << 20
 # Bytes of a batch between the JVM and a Python worker.
 BATCH_BYTES = 8 << 20
 _BYTES_PER_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-# Entries of a per-worker word cache; it is emptied when full.
-CACHE_WORDS = 200_000
+# Entries of a per-worker word cache; it is emptied when full. Longer words are not kept, so that it is bounded in bytes too.
+CACHE_WORDS, CACHED_LENGTH = 200_000, 64
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -36,7 +36,7 @@ def mix(x):
 class Memo(dict):
     """A bounded memo of a function of one argument, kept until its Python worker uses another one.
 
-    When full it is emptied; with ``keep`` one older generation stays, whose entries come back with use.
+    Words over CACHED_LENGTH are worked out anew each time. When full it is emptied; with ``keep`` one older generation stays, whose entries come back with use.
     """
 
     _used = None
@@ -55,6 +55,8 @@ class Memo(dict):
         return map(self.__getitem__, keys)
 
     def __missing__(self, key):
+        if len(key) > CACHED_LENGTH:
+            return self.function(key)
         if len(self) >= self.limit:
             self.older = dict(self) if self.keep else {}
             self.clear()

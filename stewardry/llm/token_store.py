@@ -11,12 +11,13 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stewardry.llm.common import bound_batches, shuffle_tasks, slices
+from stewardry.llm.common import CACHED_LENGTH, bound_batches, shuffle_tasks, slices
 from stewardry.llm.files import new_file, reader, writer
 from stewardry.session import materialize, scratch_dir
 
@@ -24,9 +25,9 @@ MAGIC = b"IDSHARD1"
 # Index at the end of a shard: null count, document count, offset of the index, magic.
 TAIL = struct.Struct("<QQQ8s")
 END_ID = 1
-# The dictionary learns from this many documents at most, and from this many ids of each.
-# It only changes the size of the files, never what is read from them.
-SAMPLE_DOCS, SAMPLE_IDS = 512, 4_096
+# The dictionary learns from this many documents at most, and from this many runs of so many ids of each,
+# at hashed places of the whole document. It only changes the size of the files, never what is read from them.
+SAMPLE_DOCS, SAMPLE_RUNS, RUN_IDS = 512, 16, 256
 # Words of a generation of a worker's two memos: words as they stand, and their parts.
 WHOLE_WORDS, PART_WORDS = 400_000, 400_000
 DICTIONARY_BYTES = 64 * 1024
@@ -40,7 +41,10 @@ def _load(path):
 
 
 class Recent:
-    """A bounded memo. Past its limit it starts anew and keeps one older generation, whose entries come back with use."""
+    """A bounded memo. Past its limit it starts anew and keeps one older generation, whose entries come back with use.
+
+    Keys over CACHED_LENGTH are not kept, so that the memo is bounded in bytes too.
+    """
 
     def __init__(self, limit, make):
         self.limit, self.make, self.now, self.older = limit, make, {}, {}
@@ -58,7 +62,7 @@ class Recent:
                 unknown.append(k)
         for k, value in zip(unknown, self.make([keys[k] for k in unknown])):
             found[k] = value
-        self.now.update((keys[k], found[k]) for k in gaps)
+        self.now.update((keys[k], found[k]) for k in gaps if len(keys[k]) <= CACHED_LENGTH)
         return found
 
 
@@ -135,20 +139,31 @@ def encoder(path):
     return _encoders[path]
 
 
+def _sampled(ids):
+    """All ids of a short document, runs of ids at hashed places of a long one."""
+    if len(ids) <= SAMPLE_RUNS * RUN_IDS:
+        return ids
+    data = ids.tobytes()
+    starts = [xxhash.xxh64_intdigest(data, seed=k) % (len(ids) - RUN_IDS + 1) for k in range(SAMPLE_RUNS)]
+    return np.concatenate([ids[s : s + RUN_IDS] for s in sorted(starts)])
+
+
 def train_dictionary(docs, tokenizer_path, text="text", doc_id="doc_id"):
     """Bytes of a dictionary trained on the serialized ids of a bounded sample; empty where there is too little to learn."""
     ids = docs.select(F.col(doc_id).alias("_i")).where("_i is not null").distinct()
     drawn = ids.orderBy(F.xxhash64("_i"), "_i").limit(SAMPLE_DOCS)
-    texts = docs.select(F.col(doc_id).alias("_i"), text).join(F.broadcast(drawn), "_i")
+    texts = docs.select(F.col(doc_id).alias("_i"), F.col(text).alias("_t")).join(F.broadcast(drawn), "_i")
+    # one text per drawn id, however often the id stands
+    texts = texts.groupBy("_i").agg(F.min_by("_t", F.xxhash64("_t")).alias("_t"))
 
     def code(batches):
         tool = encoder(tokenizer_path)
         for b in slices(batches, 1):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[:SAMPLE_IDS].tobytes() for x in tool.encode_all(b.column(1))], pa.binary())], names=["ids"]
+                [pa.array([_sampled(x).tobytes() for x in tool.encode_all(b.column(1))], pa.binary())], names=["ids"]
             )
 
-    samples = sorted(bytes(r[0]) for r in texts.mapInArrow(code, "ids binary").limit(2 * SAMPLE_DOCS).collect())
+    samples = sorted(bytes(r[0]) for r in texts.mapInArrow(code, "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [s for s in samples if s]).as_bytes()
     except (zstandard.ZstdError, ValueError):

@@ -48,3 +48,25 @@ def test_windows_reach_everything():
     index = cs.CollisionIndex(x)
     score, ids = index.nearest(x[3], 39, np.arange(40), 3)
     assert len(ids) == 39 and list(score) == sorted(score)
+
+
+def test_the_number_of_shuffle_tasks_changes_nothing(spark):
+    rows = np.random.default_rng(5).normal(size=(3_000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for tasks in ("4", "31"):
+            spark.conf.set("spark.sql.shuffle.partitions", tasks)
+            found.append(sorted(map(tuple, cs.nearest_vectors(table.where("vec_id % 100 = 0"), table).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len(found[0]) == 300
+
+
+def test_many_equal_vectors_are_told_apart_by_id(spark):
+    rows = [(i, [1.0, 0.5]) for i in range(60)] + [(100, [1.0, 0.5]), (200, None), (60, [9.0, 9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = cs.nearest_vectors(df.where("vec_id % 100 = 0"), df, k=10).collect()
+    by_query = {q: [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 100)}
+    assert by_query[0] == [(n, n, 0.0) for n in range(1, 11)]
+    assert by_query[100] == [(n + 1, n, 0.0) for n in range(10)]

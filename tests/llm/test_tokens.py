@@ -5,7 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from stewardry.llm import pieces, token_store
+from stewardry.llm import common, pieces, token_store
 from stewardry.llm.queries import QUERIES
 from tests.llm.conftest import FOLDER
 
@@ -138,3 +138,22 @@ def test_a_full_memo_forgets_nothing_it_returns():
     memo = token_store.Recent(3, lambda keys: [k.upper().encode() for k in keys])
     for keys in (["a", "b"], ["c", "d", "e"], ["a", "f"], ["e", "a", "g"], []):
         assert memo.all(keys) == [k.upper().encode() for k in keys]
+
+
+def test_long_words_are_not_kept():
+    memo = token_store.Recent(10, lambda keys: [k.encode() for k in keys])
+    words = ["x" * n for n in (1, 64, 65, 5_000)]
+    for _ in range(2):
+        assert memo.all(words) == [w.encode() for w in words]
+    assert set(memo.now) == set(words[:2])
+    calls = []
+    single = common.Memo(lambda w: calls.append(w) or len(w), keep=True)
+    assert [list(single.all(words)) for _ in range(2)] == [[1, 64, 65, 5_000]] * 2
+    assert set(single) == set(words[:2]) and calls.count(words[0]) == 1 and calls.count(words[3]) == 2
+
+
+def test_the_sample_reaches_the_end_of_a_document():
+    ids = np.arange(200_000, dtype="<u4")
+    drawn = token_store._sampled(ids)
+    assert len(drawn) == token_store.SAMPLE_RUNS * token_store.RUN_IDS and drawn.max() > 100_000
+    assert token_store._sampled(ids[:50]).tolist() == list(range(50))
