@@ -6,6 +6,7 @@ from stewardry import vocab
 from stewardry.functions.expr import asset_path
 from stewardry.functions.scale import reference_join, salted_join
 from stewardry.operators import compose
+from stewardry.session import materialize
 
 TABLE = ["database", "schema", "table"]
 
@@ -181,6 +182,31 @@ def decision_trend(answers, span=7):
     )
 
 
+def decision_calendar(answers, span=7):
+    """Decisions per scenario and calendar day, days without requests included, with the mean over the last ``span`` days.
+
+    Every (scenario, decision) seen has a row for each day from the first of the log to the last; before the first
+    day nothing counts, so early means are over the days there are. An answer without a decision counts as ``none``.
+    Only daily aggregates meet the calendar, which is as long as the log has days.
+    """
+    daily = materialize(
+        answers.groupBy("scenario", F.coalesce("decision", F.lit("none")).alias("decision"), F.to_date("requested_at").alias("day"))
+        .agg(F.count("*").alias("n"))
+        .where("day is not null"),
+        "daily-decisions",
+    )
+    first, last = daily.agg(F.min("day"), F.max("day")).first()
+    days = F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    every = daily.select("scenario", "decision").distinct().withColumn("day", days)
+    # zeros beside the counts and one more aggregate, so that a null scenario meets itself
+    dense = daily.unionByName(every.withColumn("n", F.lit(0).cast("long")))
+    dense = dense.groupBy("scenario", "decision", "day").agg(F.sum("n").alias("n"))
+    recent = Window.partitionBy("scenario", "decision").orderBy("day").rowsBetween(-(span - 1), 0)
+    of_day = Window.partitionBy("scenario", "day")
+    total = F.sum("n").over(of_day)
+    return dense.withColumn("share", F.when(total > 0, F.col("n") / total)).withColumn("moving_n", F.avg("n").over(recent))
+
+
 # Registers of a sketch as a power of two; the relative standard error of its estimate.
 SKETCH_BITS = 12
 SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)

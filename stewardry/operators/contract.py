@@ -61,6 +61,17 @@ def use_inventory(occurrences, served, dispositions):
     )
 
 
+def inventory_totals(inventory):
+    """Entries, authored occurrences and (entry, case) pairs per classification, and of all (a null classification)."""
+    return inventory.rollup("classification").agg(
+        F.count("*").alias("n_entries"),
+        F.count_if("in_pack").alias("n_authored"),
+        F.sum("n_occurrences").cast("long").alias("n_occurrences"),
+        F.sum("n_cases").cast("long").alias("n_pairs"),
+        F.count_if(F.col("n_cases") == 0).alias("n_never_served"),
+    )
+
+
 DISPOSED = ("registry_category", "normalized_key", "deliberate_conflict")
 
 

@@ -363,6 +363,17 @@ def use_inventory(w):
     )
 
 
+@query(
+    "use_inventory_totals",
+    """SELECT classification, count(*) AS n_entries, count(*) FILTER (WHERE in_pack) AS n_authored,
+    CAST(sum(n_occurrences) AS BIGINT) AS n_occurrences, CAST(sum(n_cases) AS BIGINT) AS n_pairs,
+    count(*) FILTER (WHERE n_cases = 0) AS n_never_served FROM inventory GROUP BY ROLLUP (classification)""",
+    ["inventory"],
+)
+def use_inventory_totals(w):
+    return contract.inventory_totals(contract.use_inventory(resolve.use_entries(w.policies()), served_uses(w), w.dispositions()))
+
+
 _CASE = (
     "'case-' || request_id || CASE WHEN request_id % 3 = 0 THEN '-purpose-missing' WHEN request_id % 3 = 1 THEN '-purpose-inexpressible' ELSE '' END"
 )
@@ -728,6 +739,23 @@ def decision_trend(w):
     return audit.decision_trend(answers).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@query(
+    "decision_calendar",
+    """SELECT strftime(day, '%Y-%m-%d') AS day, scenario, decision, n, CASE WHEN sum(n) OVER (PARTITION BY scenario, day) > 0
+      THEN n / sum(n) OVER (PARTITION BY scenario, day) END AS share,
+    avg(n) OVER (PARTITION BY scenario, decision ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS moving_n FROM (
+      SELECT c.day, p.scenario, p.decision, coalesce(n, 0) AS n
+      FROM (SELECT DISTINCT scenario, coalesce(decision, 'none') AS decision FROM answers) p
+      CROSS JOIN (SELECT CAST(unnest(generate_series(min(CAST(requested_at AS DATE)), max(CAST(requested_at AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM answers) c
+      LEFT JOIN (SELECT scenario, coalesce(decision, 'none') AS decision, CAST(requested_at AS DATE) AS day, count(*) AS n FROM answers GROUP BY ALL) d
+        ON d.scenario IS NOT DISTINCT FROM p.scenario AND d.decision = p.decision AND d.day = c.day)""",
+    ["answers"],
+)
+def decision_calendar(w):
+    answers = compose.decide_in_place(w.requests(), w.rules())
+    return audit.decision_calendar(answers).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 @query(
     "approx_actor_counts",
     f"""SELECT {TBL} AS asset, CAST(count(DISTINCT CAST(requested_at AS DATE)) AS BIGINT) AS n_days, count(DISTINCT actor) AS n_exact, TRUE AS within

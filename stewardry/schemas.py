@@ -175,6 +175,9 @@ MANIFEST = struct(
     project=S, nodes=T.MapType(S, MANIFEST_NODE), exposures=T.MapType(S, MANIFEST_NODE)
 )
 
+CONDITION = struct(kind=S, requirement=S, policy=S, required_role=S)
+OBLIGATION = struct(type=S, target=S, method=S, policy=S)
+
 RECORDED_ANSWER = struct(
     case_id=S,
     tool=S,
@@ -184,8 +187,8 @@ RECORDED_ANSWER = struct(
         reason_code=S,
         decision_id=S,
         instructions=array(struct(instruction_key=S, decision=S, scenario_key=S)),
+        conditions=array(CONDITION),
+        obligations=array(OBLIGATION),
+        findings=array(struct(table=S, column=S, decision=S, severity=S, rationale=S)),
     ),
 )
-
-CONDITION = struct(kind=S, requirement=S, policy=S, required_role=S)
-OBLIGATION = struct(type=S, target=S, method=S, policy=S)

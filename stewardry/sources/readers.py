@@ -76,6 +76,9 @@ def changed_files(spark, path):
     )
 
 
-def recorded_answers(spark, path):
-    """A folder of nested answers with the file each came from."""
-    return spark.read.schema(schemas.RECORDED_ANSWER).json(path).withColumn("file", F.input_file_name())
+def recorded_answers(spark, path, indented=False):
+    """A folder of nested answers with the file each came from.
+
+    One answer per line, or with ``indented`` one document (or array of documents) per file, over as many lines as it likes.
+    """
+    return spark.read.schema(schemas.RECORDED_ANSWER).json(path, multiLine=indented).withColumn("file", F.input_file_name())
