@@ -12,6 +12,8 @@ from stewardry.operators.prepare import prepared, publication_at, receipts, sign
 from stewardry.schemas import CONDITION, OBLIGATION
 from stewardry.session import materialize
 
+# Scenarios are a closed vocabulary; a log that names more than this is joined with all rules.
+ASKED_SCENARIOS = 1_000
 # What the caller may do next, by decision.
 NEXT_ACTIONS = {
     "allow": "Go ahead; keep the decision id as proof.",
@@ -206,6 +208,12 @@ def next_action():
     )
 
 
+def asked_rules(requests, rules):
+    """Rules of the scenarios that ``requests`` ask about: no other can match, so none of them is moved."""
+    asked = requests.select("scenario").distinct()
+    return rules.join(F.broadcast(asked), "scenario", "left_semi") if fits(asked, ASKED_SCENARIOS) else rules
+
+
 def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS, by=()):
     """State and decision only: the narrow hot path. One row out per row in, whatever its ``request_id``.
 
@@ -218,7 +226,7 @@ def decide_in_place(requests, rules, limit=decide.BROADCAST_ROWS, by=()):
     columns_out = [*asked.columns, "n_rules", "n_live", "state", "decision", "reason_code"]
     if not fits(rules, limit):
         numbered = materialize(asked.withColumn("_row", F.monotonically_increasing_id()), "asked")
-        pairs = decide.decided_pairs(numbered, rules, "left", limit, by, spread_by="_row")
+        pairs = decide.decided_pairs(numbered, asked_rules(numbered, rules), "left", limit, by, spread_by="_row")
         return numbered.join(compose_pairs(pairs, "_row"), "_row").select(*columns_out)
     q = decide.context()
     matched = decide.with_rule_arrays(asked, rules, limit, small=True, by=by)

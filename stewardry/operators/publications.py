@@ -16,9 +16,9 @@ def _keyed(df):
 def scope_fingerprints(rules):
     """(scope, n_rules, fingerprint): the sum of the rules' hashes, whatever their order; equal rules count as often as they stand."""
     body = sorted(c for c in rules.columns if c not in SCOPE)
-    # a row's fields are hashed with their places, so that a null cannot pass for its neighbour
-    fields = [F.struct(F.lit(i), F.col(c).isNull(), F.col(c)) for i, c in enumerate(body)]
-    h = F.xxhash64(*fields).cast("decimal(38,0)")
+    # the places of a row's nulls are hashed beside its fields, so that a null cannot pass for its neighbour
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in body])
+    h = F.xxhash64(nulls, *body).cast("decimal(38,0)")
     return _keyed(rules).groupBy(*SCOPE).agg(F.count("*").alias("n_rules"), F.sum(h).alias("fingerprint"))
 
 

@@ -17,7 +17,7 @@ TABLE_PATH = ("database", "schema", "table")
 
 def served(w, part=None):
     """Rules at scale as an evaluation reads them: resolved once, written, read back; of the policies in ``part``, where given."""
-    return materialize(resolve.flatten(w.instructions(part)), "instructions")
+    return materialize(resolve.flatten(w.instructions(part, paths=False)), "instructions")
 
 
 def before(day):
@@ -157,7 +157,7 @@ def cited_policy_usage(w):
     ["instr"],
 )
 def discover_assets(w):
-    found = audit.discover(resolve.flatten(w.instructions()), database="master")
+    found = audit.discover(resolve.flatten(w.instructions(paths=False)), database="master")
     return found.select(
         asset_path(*resolve.SCOPE).alias("asset"), "instruction_count", F.concat_ws(",", "scenario_keys").alias("scenario_keys")
     )
@@ -171,7 +171,7 @@ def discover_assets(w):
 )
 def asset_rulebook(w):
     rules = audit.rulebook(
-        resolve.flatten(w.instructions()), "product", "public", scenario="purpose.allowed_use"
+        resolve.flatten(w.instructions(paths=False)), "product", "public", scenario="purpose.allowed_use"
     )
     return rules.select(
         asset_path(*resolve.SCOPE).alias("asset"),
@@ -197,7 +197,7 @@ cte(
     ["cat_columns", "mask_rules"],
 )
 def asset_meaning(w):
-    return audit.meaning(w.catalog_columns(), resolve.flatten(w.instructions())).select(
+    return audit.meaning(w.catalog_columns(), resolve.flatten(w.instructions(paths=False))).select(
         asset_path(*resolve.SCOPE).alias("asset"), "data_type", "data_type_id", "sensitivity", "is_pii", "mask_method"
     )
 
@@ -213,7 +213,7 @@ def asset_meaning(w):
 )
 def decision_context(w):
     facts = classify.rollup(w.catalog_columns(), list(TABLE_PATH))
-    rows = audit.decision_context(facts, resolve.flatten(w.instructions()))
+    rows = audit.decision_context(facts, resolve.flatten(w.instructions(paths=False)))
     text = F.transform("families", lambda f: F.concat(f["family"], F.lit("="), f["n"].cast("string")))
     return rows.select(
         asset_path(*TABLE_PATH).alias("asset"), "sensitivity", "n_rules",
@@ -245,7 +245,8 @@ for _name, _at in (("early", EARLY), ("late", LATE)):
 
 
 def marked(w):
-    return materialize(resolve.mark_conflicts(served(w)).drop("conflict_group_id"), "marked")
+    """The written rules with their conflicts marked as they are read, so that only what a question needs is."""
+    return resolve.mark_conflicts(served(w)).drop("conflict_group_id")
 
 
 @query("coverage_baseline", "SELECT state, count(*) AS n_tables FROM late GROUP BY 1", ["late"])
@@ -279,9 +280,11 @@ clone("now_", _RESOLVED, "pol", estate.POLICIES + " WHERE c_custkey % 13 <> 5")
 )
 def coverage_delta_publications(w):
     """Tables whose baseline answer differs between two publications; only tables of changed scopes are asked."""
+    # a rule follows from its own policy and the catalog, so what both publications serve is resolved once
+    parts = ("policy_id % 6 <> 1", "policy_id % 13 <> 5")
+    resolved = materialize(w.instructions(" OR ".join(parts), paths=False), "instructions")
     first, second = (
-        materialize(resolve.mark_conflicts(served(w, part)).drop("conflict_group_id"), "marked")
-        for part in ("policy_id % 6 <> 1", "policy_id % 13 <> 5")
+        resolve.mark_conflicts(resolve.flatten(resolved.where(part))).drop("conflict_group_id") for part in parts
     )
     flips = publications.publication_flips(audit.baseline_requests(w.scoped_tables(), LATE), first, second)
     flips = flips.where(~F.col("before_state").eqNullSafe(F.col("after_state")))
@@ -296,7 +299,7 @@ def coverage_delta_publications(w):
     ["cat_tables", "instr"],
 )
 def ungoverned_tables(w):
-    rows = audit.ungoverned(w.scoped_tables(), resolve.flatten(w.instructions()))
+    rows = audit.ungoverned(w.scoped_tables(), resolve.flatten(w.instructions(paths=False)))
     return rows.select(asset_path(*TABLE_PATH).alias("asset"), "status")
 
 
