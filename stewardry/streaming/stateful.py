@@ -13,29 +13,50 @@ LEDGER_BUCKETS = 32
 # --- status with timers ----------------------------------------------------------------
 
 
-STATUS = "access_request_id long, ts timestamp, event_id long, status string, exception_state string"
-_STATE = "ts timestamp, event_id long, status string, exception_state string"
+# Requests share groups: a call per request costs milliseconds of the worker, a request inside one microseconds.
+STATUS_BUCKETS = 1024
+STATUS = "access_request_id long, at_us long, event_id long, status string, exception_state string"
+_STATE = (
+    "ids array<long>, at_us array<long>, event_ids array<long>, statuses array<string>, exceptions array<string>, "
+    "timers array<long>"
+)
+_FIELDS = ["id", "no_id", "at_us", "seq", "status", "exception_state"]
+_FIRST, _LAST = -(2**63), 2**63 - 1
+
+
+def _order(event):
+    """Events of one batch by (ts, event_id), one without an instant last."""
+    return event[0] == _FIRST, *event[:2]
 
 
 def _follow(timeout_ms):
     def step(key, batches, state):
-        if state.hasTimedOut:
-            ts, event_id, _, exception = state.get
-            state.remove()
-            rows = [(key[0], ts, event_id, "stale", exception)]
-        else:
-            newest = state.get if state.exists else None
-            for batch in batches:
-                last = batch.sort_values(["ts", "event_id"]).iloc[-1]
-                seen = (last["ts"], int(last["event_id"]), last["status"], last["exception_state"])
-                newest = seen if newest is None or seen[:2] > (pd.Timestamp(newest[0]), newest[1]) else newest
-            newest = (pd.Timestamp(newest[0]).to_pydatetime(), *(None if pd.isna(v) else v for v in newest[1:]))
-            state.update(newest)
+        now = state.getCurrentWatermarkMs()
+        live = {r[0]: r[1:] for r in zip(*state.get)} if state.exists else {}
+        seen = {}
+        for batch in () if state.hasTimedOut else batches:
+            for request, no_id, *event in zip(*[batch[c].tolist() for c in _FIELDS]):
+                request = None if no_id else request
+                if request not in seen or _order(event) >= _order(seen[request]):
+                    seen[request] = event
+        rows = []
+        for request, event in seen.items():
+            known = live.get(request)
+            newest = event if known is None or tuple(event[:2]) > known[:2] else known[:4]
             # a timer must lie beyond the watermark; one that is due already fires with the next batch
-            due = int(pd.Timestamp(newest[0]).timestamp() * 1000) + timeout_ms
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-            rows = [(key[0], *newest)]
-        yield pd.DataFrame(rows, columns=["access_request_id", "ts", "event_id", "status", "exception_state"])
+            live[request] = (*newest, max(newest[0] // 1000 + timeout_ms, now + 1))
+            rows.append((request, *newest))
+        for request in [r for r, kept in live.items() if r not in seen and kept[4] < now]:
+            at_us, event_id, _, exception, _ = live.pop(request)
+            rows.append((request, at_us, event_id, "stale", exception))
+        if live:
+            state.update(tuple(list(c) for c in zip(*[(r, *kept) for r, kept in live.items()])))
+            state.setTimeoutTimestamp(max(min(kept[4] for kept in live.values()), now))
+        elif state.exists:
+            state.remove()
+        out = pd.DataFrame(rows, columns=["access_request_id", "at_us", "event_id", "status", "exception_state"])
+        out["access_request_id"] = pd.array([r[0] for r in rows], dtype="Int64")
+        yield out
 
     return step
 
@@ -43,15 +64,27 @@ def _follow(timeout_ms):
 def status_with_timers(log, timeout_days, delay_days=2):
     """Status changes per access request, and 'stale' from the stream itself when a request has been silent for the timeout.
 
-    The state is one row per live request: the newest event by (ts, event_id). An event-time timer turns it stale
-    once the newest instant of the log is more than ``timeout_days`` after it, without a later event of the request,
-    and frees the state. A later event makes the request live again. Rows older than the watermark are dropped.
+    The state is one entry per live request, kept in buckets of requests: the newest event by (ts, event_id), and a timer.
+    An event-time timer turns it stale once the newest instant of the log is more than ``timeout_days`` after it, without
+    a later event of the request, and frees the entry. A bucket wakes for the first of its timers. A later event makes
+    the request live again. Rows older than the watermark are dropped.
     """
     wait = (timeout_days - delay_days) * 86_400_000
     seen = event_time(log, "ts").withWatermark("ts", f"{delay_days} days")
-    return seen.groupBy("access_request_id").applyInPandasWithState(
+    # nulls would turn whole columns of a bucket to floats
+    seen = seen.select(
+        "ts", F.pmod(F.xxhash64("access_request_id"), F.lit(STATUS_BUCKETS)).alias("bucket"),
+        F.coalesce("access_request_id", F.lit(0)).cast("long").alias("id"), F.col("access_request_id").isNull().alias("no_id"),
+        F.coalesce(F.unix_micros("ts"), F.lit(_FIRST)).alias("at_us"), F.coalesce("event_id", F.lit(_LAST)).cast("long").alias("seq"),
+        "status", "exception_state",
+    )
+    changes = seen.groupBy("bucket").applyInPandasWithState(
         _follow(wait), STATUS, _STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
+    return changes.select(
+        "access_request_id", F.timestamp_micros(F.nullif("at_us", F.lit(_FIRST))).alias("ts"),
+        F.nullif("event_id", F.lit(_LAST)).alias("event_id"), "status", "exception_state",
+    )
 
 
 def newest_status(batches):
@@ -108,7 +141,7 @@ def sliding_verdicts(verdicts, at, keys, size, slide, delay):
 def late_verdicts(verdicts, at, keys, size, slide, delay, path):
     """A writer of the rows that ``sliding_verdicts`` drops, counted per window and key.
 
-    Each batch leaves its newest instant beside its counts. As in the window state, a batch drops what the watermark
+    A batch is counted once, per window, and written with its newest instants; the late windows are read from that. As in the window state, a batch drops what the watermark
     at the start of the batch before had passed: the newest instant of all batches but the last two, less the delay.
     """
     marks = f"{path}-marks"
@@ -116,12 +149,13 @@ def late_verdicts(verdicts, at, keys, size, slide, delay, path):
 
     def late(batch, batch_id):
         spark = batch.sparkSession
-        mark(batch.agg(F.max(at).alias("newest")), batch_id)
-        seen = spark.read.option("basePath", marks).parquet(marks).where(F.col("batch_id") < batch_id - 1)
+        window = F.window(at, size, slide).alias("window")
+        mark(batch.groupBy(window, *keys).agg(F.count("*").alias("n_late"), F.max(at).alias("newest")), batch_id)
+        counted = spark.read.option("basePath", marks).parquet(marks)
+        seen = counted.where(F.col("batch_id") < batch_id - 1)
         passed = seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("passed")).first()["passed"]
-        window = F.window(at, size, slide)
-        rows = batch.select(window.alias("window"), *keys)
+        rows = counted.where(F.col("batch_id") == batch_id)
         rows = rows.where(F.col("window.end") <= F.lit(passed)) if passed else rows.where("false")
-        return rows.groupBy(F.col("window.start").alias("window_start"), *keys).agg(F.count("*").alias("n_late"))
+        return rows.select(F.col("window.start").alias("window_start"), *keys, "n_late")
 
     return event_time(verdicts, at).writeStream.foreachBatch(batch_writer(path, late))
