@@ -1,5 +1,7 @@
 """Inventory, parity, drift, identity and session checks."""
 
+from functools import reduce
+
 from pyspark.sql import Window, functions as F
 
 from stewardry.functions.scale import reference_join, salted_join
@@ -272,9 +274,9 @@ def resolve_chained(asked, recorded, fields, ref="ref"):
 def resolve_references(nodes, key="ref", target="target", value="value"):
     """(key, resolved, steps, problem) of nodes that hold a value or name another node, however long the chain.
 
-    Pointers jump, twice as far every round, and each round is written: after about the logarithm of the number of
-    nodes every chain has met its end. What still points at a reference then goes round: 'cycle'. A name that
-    no node has is 'unknown'. A key that stands twice keeps the least (target, value). Null keys are left out.
+    Pointers jump, twice as far every round, and only those that have not met their end go on. Nodes on the way to an
+    end stand at every distance from it, so after the first round in which none arrives all others go round: 'cycle'.
+    A name that no node has is 'unknown'. A key that stands twice keeps the least (target, value). Null keys are left out.
     """
     once = nodes.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key"))
     once = once.agg(F.min(F.struct(F.col(target).alias("target"), F.col(value).alias("value"))).alias("n"))
@@ -287,23 +289,24 @@ def resolve_references(nodes, key="ref", target="target", value="value"):
         starts.select("key", F.when(ends, F.col("key")).otherwise(F.col("target")).alias("at"), (~ends).cast("long").alias("steps"), lost.alias("lost"), "value", ends.alias("ends")),
         "refs-starts",
     )
-    jumps = starts.select("key", "at", "steps")
-    pending = starts.where("not ends").count()
-    reach = 1
-    while reach <= pending:
-        further = jumps.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
+    # pointers that have met their end, and those of the last round, some of which just did
+    there, latest = [], starts.select("key", "at", "steps", F.col("ends").alias("there"))
+    while True:
+        known = reduce(lambda a, b: a.unionByName(b), there, latest)
+        further = known.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"), "there")
         # both sides are read as written, so that the skew join can split a popular end
-        jumps = jumps.join(further, "at").select("key", F.col("next").alias("at"), (F.col("steps") + F.col("more")).alias("steps"))
-        jumps, reach = materialize(jumps, "refs-jumps"), reach * 2
-    terminal = starts.select(F.col("key").alias("at"), "lost", "value", "ends")
-    problem = F.when(~F.col("ends"), "cycle").when(F.col("lost"), "unknown")
-    found = jumps.join(terminal, "at").withColumn("problem", problem)
-    return found.select(
-        "key",
-        F.when(F.col("problem").isNull(), F.col("value")).alias("resolved"),
-        F.when(F.col("problem").isNull() | (F.col("problem") == "unknown"), F.col("steps")).alias("steps"),
-        "problem",
+        jumps = latest.where("not there").drop("there").join(further, "at")
+        jumps = jumps.select("key", F.col("next").alias("at"), (F.col("steps") + F.col("more")).alias("steps"), "there")
+        there.append(latest.where("there"))
+        latest = materialize(jumps, "refs-jumps")
+        if not latest.where("there").limit(1).collect():
+            break
+    terminal = starts.where("ends").select(F.col("key").alias("at"), "lost", "value")
+    ended = reduce(lambda a, b: a.unionByName(b), there).join(terminal, "at").select(
+        "key", F.when(~F.col("lost"), F.col("value")).alias("resolved"), "steps", F.when(F.col("lost"), "unknown").alias("problem")
     )
+    none = [F.lit(None).cast(ended.schema[c].dataType).alias(c) for c in ("resolved", "steps")]
+    return ended.unionByName(latest.select("key", *none, F.lit("cycle").alias("problem")))
 
 
 # --- sessions ------------------------------------------------------------------------------
