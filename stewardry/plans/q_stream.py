@@ -14,6 +14,8 @@ from stewardry.streaming import stateful, streams
 
 # The log arrives in this many slices of DAYS days each; every LATE-th event arrives two slices late.
 SLICES, DAYS, LATE, FILES = 4, 8, 40, 2
+# A slice is one batch. Where each holds this many rows a file, it comes in more files, up to two a core.
+FILE_ROWS = 10_000
 _SLICE = f"greatest(0, least({SLICES - 1}, CAST(floor(datediff({{day}}, DATE '2024-01-01') / {DAYS}) AS INT)))"
 
 
@@ -24,9 +26,12 @@ def arrivals(w, late=False):
     if late:
         slot = F.least(F.lit(SLICES - 1), slot + F.when(F.col("event_id") % LATE == 0, 2).otherwise(0))
     folder = scratch_dir(w.spark, "arrivals")
+    sizes = log.where(slot.isNotNull()).groupBy(slot.alias("slot")).count().select("count").collect()
+    least = min((r["count"] for r in sizes), default=0) if len(sizes) == SLICES else 0
+    files = max(FILES, min(2 * w.spark.sparkContext.defaultParallelism, least // FILE_ROWS))
     for number in range(SLICES):
-        log.where(slot == number).repartition(FILES).write.parquet(f"{folder}/slice-{number}")
-    found = w.spark.readStream.schema(log.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", FILES)
+        log.where(slot == number).repartition(files).write.parquet(f"{folder}/slice-{number}")
+    found = w.spark.readStream.schema(log.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files)
     return found.parquet(folder)
 
 
