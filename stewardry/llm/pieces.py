@@ -5,13 +5,18 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 
-from stewardry.llm.common import Memo, bound_batches, slices
+from stewardry.llm.common import binary, bound_batches, slices
 
 MARK = "▁"
 # Natural-log penalty of a character that only bytes can spell, below the rarest piece.
 FALLBACK_PENALTY = 10.0
+# Bytes of distinct units that are segmented together; a longer unit than LONG_UNIT goes alone.
+SEGMENT_BYTES, LONG_UNIT = 1 << 17, 256
+# Bytes of a character by its first one.
+_WIDTHS = np.repeat(np.array([1, 2, 3, 4], np.int32), [0xC0, 0x20, 0x10, 0x10])
 
 
 def load_pieces(path):
@@ -119,7 +124,10 @@ class Segmenter:
     def __init__(self, pieces):
         self.pieces = pieces
         self.base, self.check, self.leaf = (x.tolist() for x in (pieces.base, pieces.check, pieces.leaf))
-        self.units = Memo(self._unit, keep=True)
+        self.ids = np.array(pieces.ids, np.int32)
+        self.byte_ids = np.array(pieces.byte_ids, np.int32)
+        # the last score is that of a character spelt in bytes, whose edge is named -1
+        self.scores = np.array([*pieces.scores, pieces.fallback])
         self._spell = pieces.spelling
 
     def viterbi(self, data):
@@ -159,19 +167,119 @@ class Segmenter:
             end = start
         return path[::-1]
 
-    def _unit(self, unit):
-        return np.array(self.viterbi(unit.encode()), np.int32).tobytes()
+    def _edges(self, codes, data, starts):
+        """(place, length, piece) of all pieces at the characters ``starts``, by length; -1 spells a character in bytes."""
+        base, check, leaf = self.pieces.base, self.pieces.check, self.pieces.leaf
+        width = _WIDTHS[data]
+        single = np.zeros(len(data), bool)
+        at, state, size, found = starts, np.zeros(len(starts), np.int32), 0, []
+        while len(at):
+            t = base[state] + codes[at + size]
+            go = np.flatnonzero(check[t] == state)
+            at, state, size = at[go], t[go], size + 1
+            piece = leaf[state]
+            hit = np.flatnonzero(piece >= 0)
+            first = at[hit]
+            found.append((first, np.full(len(hit), size, np.int32), piece[hit]))
+            if size <= 4:
+                single[first[width[first] == size]] = True
+        spelt = starts[~single[starts]]
+        found.append((spelt, width[spelt], np.full(len(spelt), -1, np.int32)))
+        return [np.concatenate(x) for x in zip(*found)]
+
+    def _paths(self, words):
+        """(ids, number of ids of each) of words, UTF-8 bytes that are not empty.
+
+        :meth:`viterbi` for many words at once: step k takes the edges that start at byte k of any word. No two
+        of them end at the same place, and the steps go in the order of the single form, so ties fall alike.
+        """
+        # each word has one place more than bytes, its end, whose code no piece goes on with
+        data = np.frombuffer(b"\0".join([*words, b""]), np.uint8)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(size + 1) - 1
+        starts = ends - size
+        codes = data.astype(np.int32) + 1
+        codes[ends] = 257
+        within = np.arange(len(data)) - np.repeat(starts, size + 1)
+        out = np.full(len(data), -1, np.int32)
+        firsts = (data & 0xC0) != 0x80
+        firsts[ends] = False
+        short = size <= LONG_UNIT
+        for w in np.flatnonzero(~short):
+            path = self.viterbi(words[w])
+            out[starts[w] :][: len(path)] = path
+            firsts[starts[w] : ends[w]] = False
+        at, long, piece = self._edges(codes, data, np.flatnonzero(firsts))
+        order = np.argsort(within[at].astype(np.uint16), kind="stable")
+        at, long, piece = at[order], long[order], piece[order]
+        after, score = at + long, self.scores[piece]
+        best, back = np.full(len(data), -np.inf), np.zeros(len(data), np.int64)
+        best[starts] = 0.0
+        steps = np.cumsum(np.bincount(within[at], minlength=1)).tolist()
+        for a, z in zip([0, *steps], steps):
+            sums, places = best[at[a:z]] + score[a:z], after[a:z]
+            better = np.flatnonzero(sums > best[places])
+            places = places[better]
+            best[places], back[places] = sums[better], better + a
+        place = ends[short]
+        while len(place):
+            edge = back[place]
+            place, chosen = at[edge], piece[edge]
+            spelt = np.flatnonzero(chosen < 0)
+            out[place] = self.ids[chosen]
+            for k in range(4):
+                byte = place[spelt[long[edge[spelt]] > k]] + k
+                out[byte] = self.byte_ids[data[byte]]
+            place = place[within[place] > 0]
+        return out[out >= 0], np.add.reduceat(out >= 0, starts, dtype=np.int64)
+
+    def _units(self, data, starts):
+        """Where the units of texts start that lie end to end from ``starts``, each behind a blank."""
+        begin = np.zeros(len(data) + 3, bool)
+        begin[starts] = True
+        blank, line = data == 0x20, data == 0x0A
+        if self.pieces.by_word:
+            begin[: len(data)] |= blank
+            begin[1 : len(data)] &= ~(blank[1:] & blank[:-1])
+            if self.pieces.by_line:
+                begin[: len(data)] |= line
+                begin[1 : len(data) + 1] |= line
+        begin[starts] = True
+        a, b, c = MARK.encode()
+        marks = np.flatnonzero((data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c))
+        begin[marks] = begin[marks + 3] = True
+        return np.flatnonzero(begin[: len(data)])
+
+    def encode_all(self, texts):
+        """(int32 ids, ends of each text's ids) of a list of UTF-8 bytes or None. Blanks become marks, one mark goes first;
+        a mark of the text itself is spelt in bytes. Equal units are segmented once a call."""
+        size = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        data = np.frombuffer(b"".join(b" " + t for t in texts if t), np.uint8)
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        stops = np.cumsum(size)
+        first = self._units(data, (stops - size)[size > 0])
+        bounds = pa.py_buffer(np.append(first, len(data)).astype(np.int64))
+        units = pa.Array.from_buffers(pa.large_binary(), len(first), [None, bounds, pa.py_buffer(data)])
+        coded = units.dictionary_encode()
+        which, distinct = coded.indices.to_numpy(), coded.dictionary
+        marked = pc.replace_substring(distinct, b" ", MARK.encode())
+        ends = np.cumsum(pc.binary_length(marked).to_numpy())
+        found = [self._paths(marked.slice(a, z - a).to_pylist()) for a, z in _runs(ends, SEGMENT_BYTES)]
+        ids, n_ids = (np.concatenate(x) for x in zip(*found))
+        from_ = np.cumsum(n_ids) - n_ids
+        mark = pc.index(distinct, pa.scalar(MARK.encode(), distinct.type)).as_py()
+        if mark >= 0:
+            from_[mark], n_ids[mark] = len(ids), len(MARK.encode())
+            ids = np.append(ids, self.byte_ids[list(MARK.encode())])
+        long = n_ids[which]
+        upto = np.concatenate([[0], np.cumsum(long)])
+        places = np.arange(upto[-1]) + np.repeat(from_[which] - upto[:-1], long)
+        return ids[places], upto[np.searchsorted(first, stops)]
 
     def encode(self, text):
-        """int32 ids as bytes. Blanks become marks, one mark goes first; a mark of the text itself is spelt in bytes."""
-        if not text:
-            return b""
-        if MARK not in text:
-            return b"".join(self.units.all(self.pieces.units(MARK + text.replace(" ", MARK))))
-        spelt = np.array([self.pieces.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
-        plain = text.split(MARK)
-        marked = [(MARK if k == 0 else "") + p.replace(" ", MARK) for k, p in enumerate(plain)]
-        return spelt.join(b"".join(self.units.all(self.pieces.units(p))) for p in marked)
+        """int32 ids of one text as bytes."""
+        return self.encode_all([text.encode() if text else None])[0].tobytes()
 
     def decode(self, ids):
         """The text of a list of ids: marks are blanks, the first one goes; broken UTF-8 is replaced."""
@@ -179,11 +287,21 @@ class Segmenter:
         return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
+def _runs(ends, size):
+    """Runs (from, to) of items with the given running ends, each of at most ``size`` or one item."""
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield start, stop
+        start = stop
+
+
 _segmenters = {}
 
 
 def _segmenter(shared):
-    """One segmenter, with its memo of words, per Python worker and vocabulary."""
+    """One segmenter per Python worker and vocabulary."""
     key = hash((tuple(shared.ids[:64]), len(shared.ids), tuple(shared.byte_ids[:4])))
     if key not in _segmenters:
         _segmenters.clear()
@@ -203,14 +321,13 @@ def encode_pieces(docs, path, text="text", doc_id="doc_id"):
 
     def run(batches):
         tool = _segmenter(shared.value)
-        byte_ids = np.array(shared.value.byte_ids, np.int32)
+        spells = np.zeros(max(shared.value.spelling) + 1, bool)
+        spells[shared.value.byte_ids] = True
         for batch in slices(batches, 1):
-            coded = [tool.encode(t) for t in batch.column(1).to_pylist()]
-            ids = np.frombuffer(b"".join(coded), np.int32)
-            ends = np.cumsum([0] + [len(c) // 4 for c in coded]).astype(np.int32)
-            is_byte = np.concatenate([[0], np.cumsum(np.isin(ids, byte_ids))])
-            flat = ids.tolist()
-            decoded = [tool.decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
+            ids, ends = tool.encode_all(binary(batch.column(1)))
+            ends = np.append(0, ends).astype(np.int32)
+            is_byte = np.concatenate([[0], np.cumsum(spells[ids], dtype=np.int32)])
+            decoded = [tool.decode(ids[a:b].tolist()) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -157,3 +157,26 @@ def test_the_sample_reaches_the_end_of_a_document():
     drawn = token_store._sampled(ids)
     assert len(drawn) == token_store.SAMPLE_RUNS * token_store.RUN_IDS and drawn.max() > 100_000
     assert token_store._sampled(ids[:50]).tolist() == list(range(50))
+
+
+def test_units_are_segmented_together_and_none_is_kept(monkeypatch):
+    shared = pieces.Pieces(*pieces.load_pieces(PIECES))
+    single, tool = pieces.Segmenter(shared), pieces.Segmenter(shared)
+    rng = np.random.default_rng(8)
+    parts = ["the ", "ing", "é", "🙂", "\n", "  ", "▁", "中", "\u0000", "q", "zx", "w" * (pieces.LONG_UNIT + 3)]
+    texts = [None, "", *("".join(rng.choice(parts, 25)) for _ in range(40)), " lead", "▁", "\n\n"]
+    calls = []
+    monkeypatch.setattr(tool, "viterbi", lambda data: calls.append(len(data)) or single.viterbi(data))
+    ids, ends = tool.encode_all([t if t is None else t.encode() for t in texts])
+    spelt = [shared.byte_ids[b] for b in pieces.MARK.encode()]
+    for text, a, z in zip(texts, [0, *ends], ends):
+        plain = (text or "").split(pieces.MARK)
+        marked = [(pieces.MARK if k == 0 and text else "") + p.replace(" ", pieces.MARK) for k, p in enumerate(plain)]
+        want = []
+        for k, part in enumerate(marked):
+            want += (spelt if k else []) + [i for u in shared.units(part) for i in single.viterbi(u.encode())]
+        assert ids[a:z].tolist() == want
+        assert tool.decode(want) == (text or "")
+    # only long units go one by one, and a worker holds nothing of the texts it has seen
+    assert calls and min(calls) > pieces.LONG_UNIT
+    assert not any(isinstance(v, dict) and v is not shared.spelling for v in vars(tool).values())
