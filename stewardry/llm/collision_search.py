@@ -34,7 +34,7 @@ class CollisionIndex:
         self.projection = _unit_projections(vectors.shape[1])
         values = vectors @ self.projection
         self.spread = float(values.std()) or 1.0
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32)
+        self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         # all arrays end to end, each moved into its own range, so that one search finds all ends of a window
         self.low, top = values.min(axis=0), values.max(axis=0)
         self.step = 3 * max(float((top - self.low).max()), 1e-300)
@@ -43,33 +43,52 @@ class CollisionIndex:
         self.flat = (np.sort(values, axis=0) + self.shift).T.ravel()
         self.first = np.arange(PROJECTIONS) * len(vectors)
         self.need = max(int(FRACTION * len(vectors)), 1)
+        # widths of the windows so far, and the step at which the last query had enough rows
+        self.radii, self.usual = [WIDTH * self.spread], 0
 
     def _rank(self, values, side):
         """Where values stand in their own arrays."""
         inside = np.clip(values - self.low, -self.step / 3, self.length + self.step / 3)
         return np.searchsorted(self.flat, inside + self.low + self.shift, side) - self.first
 
+    def _reach(self, at, step):
+        """Ends of the windows ``step`` widenings wide around ``at`` in all arrays."""
+        while len(self.radii) <= step:
+            self.radii.append(self.radii[-1] * GROWTH)
+        return self._rank(at - self.radii[step], "left"), self._rank(at + self.radii[step], "right")
+
+    def _tally(self, *spans):
+        """How often each row lies between the given ends, over all arrays."""
+        rows = [o[a:b] for low, high in spans for o, a, b in zip(self.order, low.tolist(), high.tolist())]
+        return np.bincount(np.concatenate(rows), minlength=len(self.vectors))
+
     def candidates(self, query, k):
         """Rows that collide with the query in at least CROWD arrays, at the first radius with enough of them.
 
-        Virtual rehashing: the windows around the query only ever widen, and every array
-        adds the rows that its window newly covers to the rows' counters.
+        Virtual rehashing: windows widen step by step. A wider one only adds rows, so the search starts at the step
+        where the last query ended and moves from there. At that width most rows lie in most windows, so it
+        counts the arrays in which a row lies outside: the counter changes by the rows between two widths.
         """
         n, need = len(self.vectors), min(len(self.vectors), max(self.need, SPARE * k))
-        at = query @ self.projection
-        counts = np.zeros(n, np.int64)
-        low = high = self._rank(at, "left")
-        radius = WIDTH * self.spread
-        while True:
-            left, right = self._rank(at - radius, "left"), self._rank(at + radius, "right")
-            fresh = [o[a:b] for o, a, b in zip(self.order, left.tolist(), low.tolist())]
-            fresh += [o[a:b] for o, a, b in zip(self.order, high.tolist(), right.tolist())]
-            counts += np.bincount(np.concatenate(fresh), minlength=n)
-            low, high = left, right
-            found = np.flatnonzero(counts >= CROWD)
-            if len(found) >= need or (left == 0).all() and (right == n).all():
-                return found
-            radius *= GROWTH
+        at, step = query @ self.projection, self.usual
+        left, right = self._reach(at, step)
+        missed = self._tally((np.zeros_like(left), left), (right, np.full_like(right, n)))
+        found = np.flatnonzero(missed <= PROJECTIONS - CROWD)
+        narrow = len(found) >= need
+        while len(found) < need:
+            step += 1
+            low, high = self._reach(at, step)
+            missed -= self._tally((low, left), (right, high))
+            left, right, found = low, high, np.flatnonzero(missed <= PROJECTIONS - CROWD)
+        while narrow and step:
+            low, high = self._reach(at, step - 1)
+            missed += self._tally((left, low), (high, right))
+            fewer = np.flatnonzero(missed <= PROJECTIONS - CROWD)
+            narrow = len(fewer) >= need
+            if narrow:
+                step, left, right, found = step - 1, low, high, fewer
+        self.usual = step
+        return found
 
     def nearest(self, query, k, ids, own):
         """The k nearest verified rows but those whose id is ``own``: (distance, id) in order."""

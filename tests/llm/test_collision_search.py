@@ -70,3 +70,19 @@ def test_many_equal_vectors_are_told_apart_by_id(spark):
     by_query = {q: [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 100)}
     assert by_query[0] == [(n, n, 0.0) for n in range(1, 11)]
     assert by_query[100] == [(n + 1, n, 0.0) for n in range(10)]
+
+
+def test_few_rows_are_counted_and_the_first_radius_with_enough_is_found(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 24))
+    index = cs.CollisionIndex(x)
+    values, counted, plain = x @ index.projection, [], np.bincount
+    monkeypatch.setattr(cs.np, "bincount", lambda rows, **kw: counted.append(len(rows)) or plain(rows, **kw))
+    queries = [*x[:30], *rng.normal(size=(10, 24)), 50 + x[0], *x[30:40]]
+    for query in queries:
+        apart, radius = np.abs(values - query @ index.projection), cs.WIDTH * index.spread
+        while ((apart <= radius).sum(axis=1) >= cs.CROWD).sum() < index.need:
+            radius *= cs.GROWTH
+        assert index.candidates(query, 10).tolist() == np.flatnonzero((apart <= radius).sum(axis=1) >= cs.CROWD).tolist()
+    # the windows hold most of the block; what is counted is the smaller rest
+    assert sum(counted) < 0.55 * len(queries) * x.shape[0] * cs.PROJECTIONS
