@@ -1,5 +1,7 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy."""
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -216,8 +218,8 @@ def held_out(doc_id="doc_id"):
 def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
     """Fit on at most ``sample_docs`` labelled documents outside the held-out quarter; calibrate on all others.
 
-    Ids are drawn by a hash within each label before any text is read, so the driver gets a bounded number
-    of documents, as hashed words. One fifth of them is kept from the fit; it and all labelled documents that
+    Ids are drawn by a hash within each label before any text is read, so the fit, one task, gets a bounded number
+    of documents, as hashed words, and the driver only the net. One fifth of them is kept from the fit; it and all labelled documents that
     were not drawn calibrate the thresholds per language (:func:`calibrate`). Rows with a null id, text or
     label are not learnt from; of several labels of one id the largest counts.
     """
@@ -247,20 +249,41 @@ def fit_toxicity(docs, labels, sample_docs=SAMPLE_DOCS, seed="toxic"):
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     # a repeated id brings one document, that with the least text hash
     texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic"))
-    rows = texts.mapInArrow(hashed, f"doc_id {id_type}, words binary, toxic int")
-    rows = sorted(rows.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), bytes(r["words"])))
-    words = [np.frombuffer(r["words"], np.int64) for r in rows]
-    toxic = np.array([r["toxic"] for r in rows], np.int64)
-    net = TextCnn()
-    if len(set(toxic.tolist())) < 2:
-        return ToxicityModel(net, {})
-    cut = len(rows) - len(rows) // 5
-    net.fit(words[:cut], toxic[:cut])
-    # the sample holds more toxic documents than the labels do: back to the odds of the labels
-    n_toxic = int(toxic.sum())
-    net.bias += np.float32(np.log(sizes[1] / sizes[0]) - np.log(n_toxic / (len(toxic) - n_toxic)))
-    fitted = docs.sparkSession.createDataFrame([(i,) for i in {r["doc_id"] for r in rows[:cut]}], f"doc_id {id_type}")
-    return calibrate(docs, ids, fitted, net)
+    rows = texts.mapInArrow(hashed, f"doc_id {id_type}, words binary, toxic int").repartition(1)
+    kept = materialize(rows.mapInArrow(_fit_task(sizes), f"doc_id {id_type}, net binary, trained boolean"), "toxic-fit")
+    found = kept.where("net is not null").select("net", "trained").first()
+    if found is None or not found["trained"]:
+        return ToxicityModel(TextCnn(), {})
+    return calibrate(docs, ids, kept.where("net is null").select("doc_id").distinct(), pickle.loads(found["net"]))
+
+
+def _fit_task(sizes):
+    """Fits in one task, as its rows are bounded: the driver holds no documents, only the net. Yields the net, then the ids fitted on."""
+
+    def fit(batches):
+        ids, words, toxic = [], [], []
+        for b in batches:
+            ids += b.column(0).to_pylist()
+            words += [np.frombuffer(w, np.int64) for w in binary(b.column(1))]
+            toxic += b.column(2).to_pylist()
+        order = sorted(range(len(ids)), key=lambda k: (xxhash.xxh64_intdigest(str(ids[k])), words[k].tobytes()))
+        words, toxic = [words[k] for k in order], np.array([toxic[k] for k in order], np.int64)
+        net, trained = TextCnn(), len(set(toxic.tolist())) == 2
+        cut = len(order) - len(order) // 5 if trained else 0
+        if trained:
+            net.fit(words[:cut], toxic[:cut])
+            # the sample holds more toxic documents than the labels do: back to the odds of the labels
+            n_toxic = int(toxic.sum())
+            net.bias += np.float32(np.log(sizes[1] / sizes[0]) - np.log(n_toxic / (len(toxic) - n_toxic)))
+        if ids:
+            columns = [
+                pa.array([None, *[ids[k] for k in order[:cut]]], b.schema.field(0).type),
+                pa.array([pickle.dumps(net), *[None] * cut], pa.binary()),
+                pa.array([trained, *[None] * cut], pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "net", "trained"])
+
+    return fit
 
 
 def calibrate(docs, ids, fitted, net):

@@ -76,6 +76,28 @@ def test_components_by_either_join(spark, monkeypatch):
         assert {r["id"]: r["component"] for r in got} == want and len(got) == len(want)
 
 
+def test_rounds_over_few_edges_take_few_tasks(spark, monkeypatch):
+    files, write = [], common.materialize
+
+    def counted(df, label):
+        table = write(df, label)
+        files.append(len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(common, "materialize", counted)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "24"}
+    was = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = common.components(spark.createDataFrame(chains(4), "a long, b long"), "test-few").collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert {r["id"]: r["component"] for r in got} == {i: 0 for i in [*range(41), *range(1000, 1080)]} | {2000: 2000, 2001: 2000}
+    assert len(files) > 2 and max(files[1:]) == 1
+
+
 def test_urls_that_look_like_marks(spark):
     urls = ["http://com/\0rule", "http://com/\0parts/x", "http://example.com/en/\0rule", "http://\0rule.com/", "http://a..com/en", "http://.com/"]
     pages = spark.createDataFrame([(i, u, "mine", "own") for i, u in enumerate(urls)], "page_id long, url string, _m string, _match string")

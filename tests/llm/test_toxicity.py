@@ -49,6 +49,15 @@ def test_nothing_to_learn_from(small):
     assert tx.score_toxicity(docs.where("false"), model, output="s").collect() == []
 
 
+def test_the_driver_does_not_fit(small, monkeypatch):
+    docs, labels = small
+    want = tx.fit_toxicity(docs, labels)
+    monkeypatch.setattr(tx.TextCnn, "fit", lambda *_, **__: pytest.fail("the driver holds the documents"))
+    got = tx.fit_toxicity(docs, labels)
+    assert (got.net.table == want.net.table).all() and got.net.bias == want.net.bias and got.thresholds == want.thresholds
+    assert (got.net.table != tx.TextCnn().table).any()
+
+
 def test_split(spark):
     ids = spark.range(200).select(F.col("id").alias("doc_id"))
     got = {r["doc_id"]: r["h"] for r in ids.select("doc_id", tx.held_out().alias("h")).collect()}
