@@ -28,8 +28,8 @@ END_ID = 1
 # The dictionary learns from this many documents at most, and from this many runs of so many ids of each,
 # at hashed places of the whole document. It only changes the size of the files, never what is read from them.
 SAMPLE_DOCS, SAMPLE_RUNS, RUN_IDS = 512, 16, 256
-# Words of a generation of a worker's two memos: words as they stand, and their parts.
-WHOLE_WORDS, PART_WORDS = 400_000, 400_000
+# Parts of words in a generation of a worker's memo.
+PART_WORDS = 400_000
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 
@@ -67,18 +67,20 @@ class Recent:
 
 
 class WordIds:
-    """Ids of texts, word by word through the tokenizer, each distinct word once per worker.
+    """Ids of texts, word by word through the tokenizer.
 
     Right for tokenizers that never join across ASCII white space and drop it, fold case, and never
     join a letter to following ASCII punctuation. Words of Latin letters (ASCII and Latin-1, all
     composed) are then looked up in lower case and apart from their ending, and go straight
     to the tokenizer's model in its own byte letters; its other steps would hand them over the same way.
+    Words are cut and put together as Arrow columns; only the distinct parts of a column of texts become
+    Python objects, and those kept in the worker's memo are not tokenized again.
     """
 
     def __init__(self, path):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = _load(path)
-        self.words, self.parts = Recent(WHOLE_WORDS, self._of_words), Recent(PART_WORDS, self._of_parts)
+        self.parts = Recent(PART_WORDS, self._of_parts)
         spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.letters = {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100) if chr(c).isalpha()}
 
@@ -95,39 +97,29 @@ class WordIds:
         found.update((part, one.ids) for part, one in zip(others, coded))
         return [struct.pack(f"<{len(found[part])}I", *found[part]) for part in parts]
 
-    def _of_words(self, words):
-        cut = [_cut(w) for w in words]
-        parts = list({part for pair in cut for part in pair})
-        ids = dict(zip(parts, self.parts.all(parts)))
-        return [ids[core] + ids[end] for core, end in cut]
-
     def encode_all(self, texts):
         """The ids of each text of an Arrow column, as arrays of little-endian unsigned 32-bit integers; null is empty."""
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
-        ids = self.words.all(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        ids = np.frombuffer(b"".join(ids), "<u4")
-        at = coded.indices.to_numpy()
-        n = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        flat = ids[np.repeat(starts[at] - ends[:-1], n) + np.arange(ends[-1])]
-        bounds = ends[words.offsets.to_numpy()]
-        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        cores, ends = _cut(coded.dictionary)
+        parts = pa.concat_arrays([cores, ends]).dictionary_encode()
+        ids = self.parts.all(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(ids, pa.large_binary()).take(parts.indices)
+        ids = pc.binary_join_element_wise(ids[: len(cores)], ids[len(cores) :], _JOINED)
+        ids = pc.binary_join(pa.ListArray.from_arrays(words.offsets, ids.take(coded.indices)), _JOINED)
+        return [np.frombuffer(x, "<u4") for x in ids.to_pylist()]
 
 
 # Composed Latin letters and an ending of ASCII punctuation; without "<", which may open a special token.
-_LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:;=-@\[-`{-~]*)")
+_LATIN = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<end>[!-/:;=-@\[-`{-~]*)$"
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+_JOINED = pa.scalar(b"", pa.large_binary())
 
 
-def _cut(word):
-    """A word of Latin letters in lower case and its ending, which may be empty; any other word as it is."""
-    if word.isascii() and word.isalpha():
-        return word.lower(), ""
-    match = _LATIN.fullmatch(word)
-    return (match[1].lower(), match[2]) if match else (word, "")
+def _cut(words):
+    """Words of Latin letters in lower case and their endings, which may be empty; any other word as it is."""
+    cores, ends = pc.extract_regex(words, _LATIN).flatten()
+    return pc.coalesce(pc.utf8_lower(cores), words), pc.fill_null(ends, "")
 
 
 _encoders = {}

@@ -134,6 +134,19 @@ def test_ids_of_odd_words_equal_the_tokenizer():
         assert [ids.tolist() for ids in tool.encode_all(pa.array(texts, pa.string()))] == expected
 
 
+def test_only_distinct_parts_of_words_leave_the_columns(monkeypatch):
+    asked, known = [], token_store.Recent.all
+    monkeypatch.setattr(token_store.Recent, "all", lambda memo, keys: asked.append(sorted(keys)) or known(memo, keys))
+    tool = token_store.WordIds(WORDS)
+    texts = pa.array(["skipped", "Word word. WORD, <b> <b>", None, "ÉTÉ été! 4.5 word", "x" * 70], pa.string())[1:]
+    expected = [tool.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    for _ in range(2):
+        assert [ids.tolist() for ids in tool.encode_all(texts)] == expected
+    assert asked == [sorted(["word", "été", "<b>", "4.5", "x" * 70, "", ".", ",", "!"])] * 2
+    for empty in ([], [None], ["", " \n"]):
+        assert [ids.tolist() for ids in tool.encode_all(pa.array(empty, pa.string()))] == [[]] * len(empty)
+
+
 def test_a_full_memo_forgets_nothing_it_returns():
     memo = token_store.Recent(3, lambda keys: [k.upper().encode() for k in keys])
     for keys in (["a", "b"], ["c", "d", "e"], ["a", "f"], ["e", "a", "g"], []):
